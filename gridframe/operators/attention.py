@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 SLOPE = 0.2
@@ -41,8 +42,8 @@ def attention_layer(
     """New features of every node from itself and the nodes that point to it.
 
     Per head: h = W x, score leaky(a_src . h_s + a_dst . h_d), softmax over a node's incoming edges and its self-loop,
-    weighted sum of h. Heads are joined end to end, or averaged. A graph is one record, so a node's neighbours are
-    bounded by the record's levels; the largest possible score of a node is taken off before exp.
+    weighted sum of h. Heads are joined end to end, or averaged. A graph is one record, so the edges into a node are at
+    most as many as the record has levels; the greatest score of a node is taken off before exp.
     """
     heads, width = len(weights.w), len(weights.w[0])
     h = F.array(*[_dot(F.col(x), row) for head in weights.w for row in head])
@@ -57,16 +58,16 @@ def attention_layer(
     sent = sent.select(graph, F.col("dst").alias("node"), "h", "from")
     loops = scored.select(graph, "node", "h", "from")
     messages = sent.unionByName(loops)
-    # The score grows with the sender's term, so the greatest one of a node follows from its greatest sender.
-    top = messages.groupBy(graph, "node").agg(*[F.max(F.col("from")[k]).alias(f"top{k}") for k in range(heads)])
-    ends = scored.select(graph, "node", "to").join(top, [graph, "node"])
-    weighed = messages.join(ends, [graph, "node"])
+    weighed = messages.join(scored.select(graph, "node", "to"), [graph, "node"])
+    score = [_leaky(F.col("from")[k] + F.col("to")[k]) for k in range(heads)]
+    into = W.partitionBy(graph, "node")
+    weighed = weighed.select(
+        graph, "node", "h", *[F.exp(s - F.max(s).over(into)).alias(f"a{k}") for k, s in enumerate(score)]
+    )
     sums = []
     for k in range(heads):
-        to = F.col("to")[k]
-        a = F.exp(_leaky(F.col("from")[k] + to) - _leaky(F.col(f"top{k}") + to))
-        sums.append(F.sum(a).alias(f"z{k}"))
-        sums += [F.sum(a * F.col("h")[k * width + o]).alias(f"s{k}_{o}") for o in range(width)]
+        sums.append(F.sum(f"a{k}").alias(f"z{k}"))
+        sums += [F.sum(F.col(f"a{k}") * F.col("h")[k * width + o]).alias(f"s{k}_{o}") for o in range(width)]
     summed = weighed.groupBy(graph, "node").agg(*sums)
     share = [[F.col(f"s{k}_{o}") / F.col(f"z{k}") for o in range(width)] for k in range(heads)]
     if concat:

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from gridframe.functions.arrays import take_variable, to_unit_per_day
 from gridframe.operators.batches import batches
+from gridframe.operators.index import with_row_id
 from gridframe.operators.normalize import normalize
 from gridframe.schema import COLUMNS, FAMILIES, FLUXES, HEATING_RATES, family_of, variable_index
 
@@ -80,15 +81,13 @@ def load_batched(
     stats: DataFrame,
     timesteps: Sequence[int],
     filenums: Sequence[int],
-    position: str,
     batch_size: int,
+    order_by: Sequence[str] = ("timestep", "filenum", "column_id"),
 ) -> DataFrame:
-    """Records of the chosen timesteps and files, normalised, with the batch each belongs to.
-
-    ``position`` numbers the records of the choice; the statistics may come from a wider set.
-    """
+    """Records of the chosen timesteps and files, normalised, with their ``position`` and ``batch_id``."""
     chosen = df.where(F.col("timestep").isin(list(timesteps)) & F.col("filenum").isin(list(filenums)))
-    return batches(normalize(chosen, array, stats), position, batch_size)
+    placed = with_row_id(chosen, list(order_by), "position")
+    return batches(normalize(placed, array, stats), "position", batch_size)
 
 
 def union_parts(parts: Sequence[DataFrame]) -> DataFrame:

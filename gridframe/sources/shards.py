@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,12 +53,16 @@ def check_shapes(df: DataFrame, entry: Row) -> DataFrame:
             continue
         ok = F.size(name) == shape[0]
         if len(shape) > 1:
-            ok = ok & F.forall(name, lambda row, width=shape[1]: F.size(row) == width)
+            ok = ok & _rows_of_width(name, shape[1])
         wrong = F.raise_error(F.concat(F.lit(f"{name} is not of shape {list(shape)} but has length "), F.size(name)))
         df = df.withColumn(name, F.when(ok, F.col(name)).otherwise(wrong))
     return df
 
 
+def _rows_of_width(name: str, width: int) -> Column:
+    return F.forall(name, lambda row: F.size(row) == width)
+
+
 def read_rows(spark: SparkSession, path: str, start: int, end: int, schema: T.StructType, row_id: str = "column_id") -> DataFrame:
     """Rows of the half-open range [start, end); row groups outside it are skipped by their statistics."""
     df = spark.read.schema(schema).parquet(path)
