@@ -73,17 +73,22 @@ def _bucket_starts(keys: DataFrame, digits: int) -> DataFrame:
     )
 
 
-def shuffle_rows(df: DataFrame, row_id: str, seed, name: str = "position", digits: int = 4) -> DataFrame:
+def shuffle_rows(df: DataFrame, row_id: str, seed, name: str = "position", parts: int | None = None) -> DataFrame:
     """Random permutation fixed by the seed: every row gets its dense position in hash order.
 
-    ``row_id`` is unique, so the 16**digits buckets are of even size and each is ranked on its own.
+    ``row_id`` is unique, so equal ranges of the hash hold nearly equal numbers of rows: one task ranks each range, and
+    the rows lie in the new order afterwards. Rows are moved once.
     """
-    keyed = df.withColumn("_h", hash_key(row_id, seed)).withColumn("_b", F.substring("_h", 1, digits))
-    starts = _bucket_starts(df.select(hash_key(row_id, seed).alias("_h")), digits)
-    rank = F.row_number().over(W.partitionBy("_b").orderBy("_h", row_id))
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    key = hash_key(row_id, seed)
+    part = F.floor(F.conv(F.substring("_h", 1, 8), 16, 10).cast("double") / 4294967296.0 * parts).cast("int")
+    sizes = df.select(key.alias("_h")).groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
+    starts = sizes.select("_part", (F.sum("_n").over(W.orderBy("_part")) - F.col("_n")).alias("_start"))
+    placed = df.withColumn("_h", key).withColumn("_part", part).repartitionById(parts, F.col("_part"))
+    rank = F.row_number().over(W.partitionBy("_part").orderBy("_h", row_id))
     return (
-        keyed.withColumn("_rank", rank)
-        .join(F.broadcast(starts), "_b")
+        placed.withColumn("_rank", rank)
+        .join(F.broadcast(starts), "_part")
         .select(*df.columns, (F.col("_start") + F.col("_rank") - 1).cast("bigint").alias(name))
     )
 
