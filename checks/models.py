@@ -55,7 +55,7 @@ def _adam(n: int, name: str) -> str:
 @query("m1_fit_mlp", f"""WITH s AS (SELECT avg(CAST(o_custkey AS DOUBLE)) AS m, stddev_pop(CAST(o_custkey AS DOUBLE)) AS d, count(*) AS n FROM orders),
   p AS (SELECT (o_custkey - m) / (d + CAST(1e-8 AS DOUBLE)) AS x, o_totalprice / 100000 AS y, n,
     row_number() OVER (ORDER BY md5('42-' || o_orderkey), o_orderkey) - 1 AS pos FROM orders, s),
-  r AS (SELECT x, y, pos // 4 // (n // 2 // 4) AS batch FROM p),
+  r AS (SELECT x, y, pos // 4 // ((n + 7) // 8) AS batch FROM p),
   a AS (SELECT avg(2 * (0 - y) * x) AS wg1, avg(2 * (0 - y)) AS bg1, avg(y * y) AS l1, count(*) AS n1 FROM r WHERE batch = 0),
   w1 AS (SELECT *, 0 - {_adam(1, 'w')} AS w, 0 - {_adam(1, 'b')} AS b FROM a),
   c AS (SELECT avg(2 * (w * x + b - y) * x) AS wg2, avg(2 * (w * x + b - y)) AS bg2, avg((w * x + b - y) * (w * x + b - y)) AS l2, count(*) AS n2
@@ -67,7 +67,8 @@ def _(spark, sf):
     df = _pairs(spark, sf)
     stats = moments.position_moments(df, ["x"])
     start = [np.zeros((1, 1)), np.zeros(1)]
-    net = learn.fit_mlp(df, "x", "y", "o_orderkey", stats, hidden=(), batch=df.count() // 2, lr=0.05, world=4, weights=start)
+    half = (df.count() + 7) // 8 * 4
+    net = learn.fit_mlp(df, "x", "y", "o_orderkey", stats, hidden=(), batch=half, lr=0.05, world=4, weights=start)
     lines = [(step, n, loss) for _, step, loss, n in net.history]
     history = spark.createDataFrame(lines, "step bigint, n_rows bigint, loss double")
     return history.select(
