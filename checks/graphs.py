@@ -165,3 +165,18 @@ def _(spark, sf):
   FROM po p JOIN qo q USING (column_id, node)""")
 def _(spark, sf):
     return _two(attention.attention_layer(*_graph(spark, sf), TWO_HEADS, concat=False))
+
+
+@query("g4_path_attention", SQL["g4_attention_layer"])
+def _(spark, sf):
+    records = profiles(spark, sf).select("column_id", "m")
+    out = attention.path_attention(records, [ONE_HEAD], "m", concat_last=True)
+    levels = out.select("column_id", F.posexplode("out").alias("node", "out"))
+    return _two(levels.withColumn("node", big("node")))
+
+
+@query("g4_path_attention_heads_averaged", SQL["g4_attention_heads_averaged"])
+def _(spark, sf):
+    out = attention.path_attention(profiles(spark, sf).select("column_id", "m"), [TWO_HEADS], "m")
+    levels = out.select("column_id", F.posexplode("out").alias("node", "out"))
+    return _two(levels.withColumn("node", big("node")))

@@ -51,10 +51,11 @@ def weighted_mse(df: DataFrame, pairs: dict[str, tuple[str, str]], weights: dict
 
 def stage_metrics(df: DataFrame, stage: str, batch: str, pred: str, target: str) -> DataFrame:
     """Loss of every batch of every stage, with the rows it was taken over."""
-    values = _errors(df, {"": (pred, target)}, [stage, batch])
-    losses = values.groupBy(stage, batch).agg(F.avg(_square()).alias("loss"))
-    rows = df.groupBy(stage, batch).agg(F.count("*").alias("n_rows"))
-    return losses.join(rows, [stage, batch])
+    zipped = F.arrays_zip(
+        as_vector(df, pred).cast("array<double>").alias("p"), as_vector(df, target).cast("array<double>").alias("t")
+    )
+    values = df.select(stage, batch, F.posexplode(zipped).alias("at", "z")).select(stage, batch, "at", "z.p", "z.t")
+    return values.groupBy(stage, batch).agg(F.avg(_square()).alias("loss"), F.count_if(F.col("at") == 0).alias("n_rows"))
 
 
 def epoch_metrics(per_batch: DataFrame, stage: str) -> DataFrame:

@@ -155,7 +155,11 @@ def plan_shards(sizes: DataFrame, target: int, n_rows: str = "n_rows") -> DataFr
     )
 
 
-def rechunk_rows(df: DataFrame, row_id: str, shard_size: int, num_shards: int) -> DataFrame:
-    """Whole rows laid out so that each task holds exactly one shard, in row order."""
-    placed = with_shard(df, row_id, shard_size)
-    return placed.repartitionById(num_shards, F.col("shard")).sortWithinPartitions(row_id)
+def rechunk_rows(df: DataFrame, row_id: str, shard_size: int, num_shards: int, tasks_per_shard: int = 1) -> DataFrame:
+    """Whole rows laid out so that a task holds one shard, or an equal range of rows of one, in row order."""
+    shard, within = locate(row_id, shard_size)
+    share = -(-shard_size // tasks_per_shard)
+    task = shard * tasks_per_shard + int_div(within, share)
+    placed = df.withColumn("shard", shard.cast("int")).withColumn("_task", task.cast("int"))
+    laid_out = placed.repartitionById(num_shards * tasks_per_shard, F.col("_task"))
+    return laid_out.drop("_task").sortWithinPartitions(row_id)

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridframe.functions.arrow import matrix, nested
 from gridframe.functions.physics import DAY, GRAVITY, SPECIFIC_HEAT
 from gridframe.operators import evaluate as errors
 from gridframe.operators.batches import rank_batches
@@ -121,14 +122,6 @@ def gradient(net: Network, x: np.ndarray, truth: dict[str, np.ndarray], rng=None
     return loss, found
 
 
-def _matrix(column) -> np.ndarray:
-    """A column of equally long arrays as rows x values."""
-    rows = len(column)
-    while pa.types.is_list(column.type) or pa.types.is_large_list(column.type):
-        column = column.flatten()
-    return column.to_numpy(zero_copy_only=False).astype("f8").reshape(rows, -1)
-
-
 def _sum_gradients(net_b, columns: dict[str, str], seed: int, step: int) -> Callable:
     """Task side of one step: one row per block of the summed gradient."""
 
@@ -138,7 +131,7 @@ def _sum_gradients(net_b, columns: dict[str, str], seed: int, step: int) -> Call
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            data = {key: _matrix(batch.column(name)) for key, name in columns.items()}
+            data = {key: matrix(batch.column(name)) for key, name in columns.items()}
             part, found = gradient(net, data.pop("x"), data, rng)
             flat = np.concatenate([g.ravel() for g in found])
             total = flat if total is None else total + flat
@@ -161,7 +154,7 @@ def _add_blocks(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -
     """Sum of one block over all tasks of a step."""
     total, loss, rows = None, 0.0, 0
     for batch in batches:
-        part = _matrix(batch.column("slope")).sum(axis=0)
+        part = matrix(batch.column("slope")).sum(axis=0)
         total = part if total is None else total + part
         loss += float(np.sum(batch.column("loss").to_numpy(zero_copy_only=False)))
         rows += int(np.sum(batch.column("n_rows").to_numpy(zero_copy_only=False)))
@@ -273,7 +266,7 @@ def fit_mlp(
     """Normalise, dense layers with SiLU, a linear layer; mean squared error, one update per batch over all tasks."""
     mean, std = _record_stats(stats, x)
     if weights is None:
-        lengths = df.agg(F.max(F.size(x)), F.max(F.size(y))).first()
+        lengths = df.select(F.size(x), F.size(y)).first()
         weights = initial_weights([lengths[0], *hidden, lengths[1]], seed)
     net = Network(weights, mean, std)
     return _fit(df, net, {"x": x, "y": y}, row_id, epochs, batch, lr, seed, world, batches_per_chunk)
@@ -304,7 +297,7 @@ def fit_flux_heads(
     ``targets`` names the columns of sw, lw (levels x 2), hr_sw, hr_lw (levels - 1) and pressure (levels).
     """
     mean, std = _record_stats(stats, x)
-    n_in = df.agg(F.max(F.size(x))).first()[0]
+    n_in = df.select(F.size(x)).first()[0]
     weights = initial_weights([n_in, *[width] * depth, 4 * levels], seed, he=True)
     net = Network(weights, mean, std, dropout, l1, l2, levels, loss_weights or {})
     return _fit(df, net, {"x": x, **targets}, row_id, epochs, batch, lr, seed, world, batches_per_chunk)
@@ -317,21 +310,17 @@ def _score(net_b, x: str, pressure: str | None) -> Callable:
             if batch.num_rows == 0:
                 continue
             names = batch.schema.names
-            out, _ = forward(net, _matrix(batch.column(x)))
+            out, _ = forward(net, matrix(batch.column(x)))
             found = [out] if net.levels is None else []
             if net.levels is not None:
                 half = out.shape[1] // 2
                 for at in (0, half):
                     flux = out[:, at : at + half]
                     cube = flux.reshape(len(out), net.levels, 2)
-                    rate, _ = heating(cube, _matrix(batch.column(pressure)))
+                    rate, _ = heating(cube, matrix(batch.column(pressure)))
                     found += [flux, rate]
-            added = []
-            for m in found:
-                offsets = pa.array(np.arange(0, m.size + 1, m.shape[1]), pa.int32())
-                added.append(pa.ListArray.from_arrays(offsets, pa.array(np.ascontiguousarray(m).ravel())))
             labels = ["y_hat"] if net.levels is None else ["sw_hat", "hr_sw_hat", "lw_hat", "hr_lw_hat"]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=[*names, *labels])
+            yield pa.RecordBatch.from_arrays([*batch.columns, *map(nested, found)], names=[*names, *labels])
 
     return run
 

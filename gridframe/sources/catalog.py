@@ -52,7 +52,7 @@ def catalog_upsert(spark: SparkSession, path: str, entries: DataFrame) -> None:
         kept = stored.where(F.col("version") == latest).drop("version").join(entries, ["step", "kind"], "left_anti")
         entries = kept.select(*CATALOG.names).unionByName(entries.select(*CATALOG.names))
     version = 0 if latest is None else latest + 1
-    entries.coalesce(1).write.mode("overwrite").parquet(f"{path}/version={version}")
+    entries.repartition(1).write.mode("overwrite").parquet(f"{path}/version={version}")
 
 
 def read_catalog(spark: SparkSession, path: str) -> DataFrame:
@@ -76,7 +76,7 @@ def entry_of(spark: SparkSession, path: str, step: int, kind: str) -> Row:
 
 def save_stats(stats: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Store a statistics table (array, pos, n, mean, std): one row per array position."""
-    stats.select("array", "pos", "n", "mean", "std").coalesce(1).write.mode(mode).parquet(path)
+    stats.select("array", "pos", "n", "mean", "std").repartition(1).write.mode(mode).parquet(path)
 
 
 def load_stats(spark: SparkSession, path: str, arrays: Sequence[str] | None = None) -> DataFrame:

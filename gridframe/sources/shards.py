@@ -13,9 +13,16 @@ from gridframe.operators.index import rechunk_rows, with_shard
 
 
 def write_shards(
-    df: DataFrame, path: str, num_shards: int, row_id: str = "column_id", n_rows: int | None = None, mode: str = "overwrite"
+    df: DataFrame,
+    path: str,
+    num_shards: int,
+    row_id: str = "column_id",
+    n_rows: int | None = None,
+    mode: str = "overwrite",
+    files_per_shard: int = 1,
 ) -> None:
-    """Equal shards of consecutive rows, one file each, rows in order.
+    """Equal shards of consecutive rows, rows in order, one file each (or a few, where a shard is more than a task
+    should write).
 
     ``row_id`` is dense. The row count is taken from the caller (the catalogue knows it) or counted, and must be a
     multiple of ``num_shards``: see ``plan_shards``.
@@ -23,7 +30,7 @@ def write_shards(
     n_rows = df.count() if n_rows is None else n_rows
     if n_rows % num_shards:
         raise ValueError(f"{n_rows} rows cannot be cut into {num_shards} equal shards")
-    shards = rechunk_rows(df, row_id, n_rows // num_shards, num_shards)
+    shards = rechunk_rows(df, row_id, n_rows // num_shards, num_shards, files_per_shard)
     shards.write.mode(mode).partitionBy("shard").parquet(path)
 
 
