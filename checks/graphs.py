@@ -76,9 +76,7 @@ def _(spark, sf):
     FROM col JOIN tpl ON col.level = tpl.layer, n GROUP BY ALL""")
 def _(spark, sf):
     path = scratch_path(spark, "graphs")
-    feats = _features(spark, sf)
-    nodes, edges = pathgraph.build_graphs(feats)
-    shards.write_graphs(nodes.drop("y"), edges, path, 10, feats.count())
+    shards.write_graphs(_features(spark, sf), path, 10)
 
     def total(vector):
         return rnd(F.aggregate(vector, F.lit(0.0), lambda s, v: s + v)).alias("total")
@@ -106,9 +104,8 @@ def _(spark, sf):
 def _(spark, sf):
     path = scratch_path(spark, "graphs")
     feats = _features(spark, sf)
-    nodes, edges = pathgraph.build_graphs(feats)
     n = feats.count()
-    shards.write_graphs(nodes.select("column_id", "node"), edges.select("column_id", "src", "dst"), path, 10, n)
+    shards.write_graphs(feats, path, 10, n)
     nodes, edges = pathgraph.graph_get(spark.read.parquet(f"{path}/nodes"), spark.read.parquet(f"{path}/edges"), 137, n // 10)
     one = nodes.select(F.lit("node").alias("part"), "column_id", F.col("node").alias("src"), F.col("node").alias("dst"))
     return one.unionByName(edges.select(F.lit("edge").alias("part"), "column_id", "src", "dst"))

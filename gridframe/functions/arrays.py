@@ -1,7 +1,13 @@
-"""Array expressions: every function maps columns of one record to one column."""
+"""Array expressions: every function maps columns of one record to one column.
+
+An expression used inside a lambda is evaluated again for every element, and the optimiser moves derived columns into
+lambdas. Arrays are therefore passed as arguments of the outer function, or bound once with ``let``.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,6 +16,11 @@ def _col(value) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def let(value, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is evaluated once per record."""
+    return F.get(F.transform(F.array(_col(value)), lambda v: body(v)), F.lit(0))
+
+
 def int_div(value, by) -> Column:
     """Integer quotient, exact for the whole range of bigint."""
     return F.call_function("div", _col(value), F.lit(by))
@@ -45,15 +56,21 @@ def pad_levels(matrix, top: int = 1, bottom: int = 1, width: int | None = None,
 
 def node_features(half_level, inter, scalars, dtype: str = "float") -> Column:
     """Per node: half-level variables, padded interface variables, then the record's scalars."""
-    scalars = _col(scalars)
-    per_level = F.zip_with(_col(half_level), pad_levels(inter, dtype=dtype), lambda a, b: F.concat(a, b))
-    return F.transform(per_level, lambda row: F.concat(row, scalars))
+    half_level = _col(half_level)
+    per_level = F.zip_with(half_level, pad_levels(inter, dtype=dtype), lambda a, b: F.concat(a, b))
+    return F.zip_with(per_level, broadcast_to_levels(scalars, F.size(half_level)), lambda a, b: F.concat(a, b))
 
 
 def node_targets(first, *others) -> Column:
-    """Per node: one value of each profile."""
-    others = [_col(o) for o in others]
-    return F.transform(_col(first), lambda v, i: F.array(v, *[o[i] for o in others]))
+    """Per node: one value of each profile; profiles of different length fail the job."""
+    profiles = [_col(p) for p in (first, *others)]
+    same = F.lit(True)
+    for other in profiles[1:]:
+        same = same & (F.size(other) == F.size(profiles[0]))
+    names = [f"p{i}" for i in range(len(profiles))]
+    zipped = F.arrays_zip(*[p.alias(n) for p, n in zip(profiles, names)])
+    rows = F.transform(zipped, lambda r: F.array(*[r[n] for n in names]))
+    return F.when(same, rows).otherwise(F.raise_error(F.lit("profiles differ in length")))
 
 
 def take_variable(matrix, index: int) -> Column:
@@ -68,8 +85,8 @@ def squeeze(matrix) -> Column:
 
 def reshape_row(vector, rows: int, width: int) -> Column:
     """A vector of rows * width values as a rows x width matrix."""
-    vector = _col(vector)
-    return F.transform(F.sequence(F.lit(0), F.lit(rows - 1)), lambda i: F.slice(vector, i * width + 1, F.lit(width)))
+    starts = F.sequence(F.lit(1), F.lit((rows - 1) * width + 1), F.lit(width))
+    return let(vector, lambda v: F.transform(starts, lambda at: F.slice(v, at, F.lit(width))))
 
 
 def cast_to(array, element_type: str, rank: int = 1) -> Column:
@@ -81,8 +98,12 @@ def cast_to(array, element_type: str, rank: int = 1) -> Column:
 
 def level_diff(vector) -> Column:
     """Value minus the value one level above; one element shorter."""
-    vector = _col(vector)
-    return F.transform(F.slice(vector, F.lit(2), F.size(vector) - 1), lambda v, i: v - vector[i])
+
+    def steps(v: Column) -> Column:
+        n = F.size(v) - 1
+        return F.zip_with(F.slice(v, F.lit(2), n), F.slice(v, F.lit(1), n), lambda low, high: low - high)
+
+    return let(vector, steps)
 
 
 def to_unit_per_day(rate) -> Column:

@@ -60,13 +60,13 @@ def attention_layer(
 
     scored = projected.select(graph, "node", "h", scores(weights.src).alias("from"), scores(weights.dst).alias("to"))
     sent = edges.select(graph, F.col("src").alias("node"), "dst").join(scored.drop("to"), [graph, "node"])
-    sent = sent.select(graph, F.col("dst").alias("node"), "h", "from")
-    loops = scored.select(graph, "node", "h", "from")
-    messages = sent.unionByName(loops)
-    weighed = messages.join(scored.select(graph, "node", "to"), [graph, "node"])
-    score = [_leaky(F.col("from")[k] + F.col("to")[k]) for k in range(heads)]
+    sent = sent.select(graph, F.col("dst").alias("node"), "h", "from", F.lit(None).cast("array<double>").alias("to"))
+    # A node's self-loop carries its own term, so the receiving side needs no join of its own.
     into = W.partitionBy(graph, "node")
-    weighed = weighed.select(
+    own = F.max("to").over(into)
+    heard = sent.unionByName(scored).select(graph, "node", "h", "from", own.alias("to"))
+    score = [_leaky(F.col("from")[k] + F.col("to")[k]) for k in range(heads)]
+    weighed = heard.select(
         graph, "node", "h", *[F.exp(s - F.max(s).over(into)).alias(f"a{k}") for k, s in enumerate(score)]
     )
     sums = []

@@ -162,4 +162,4 @@ def rechunk_rows(df: DataFrame, row_id: str, shard_size: int, num_shards: int, t
     task = shard * tasks_per_shard + int_div(within, share)
     placed = df.withColumn("shard", shard.cast("int")).withColumn("_task", task.cast("int"))
     laid_out = placed.repartitionById(num_shards * tasks_per_shard, F.col("_task"))
-    return laid_out.drop("_task").sortWithinPartitions(row_id)
+    return laid_out.drop("_task").sortWithinPartitions("shard", row_id)

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridframe.functions.arrays import let
 from gridframe.operators.moments import stats_record
 from gridframe.operators.reshape import array_rank
 
@@ -29,12 +30,14 @@ def normalize(df: DataFrame, array: str, stats: DataFrame, epsilon: float = EPSI
     mean, std = F.col(f"{array}_mean"), F.col(f"{array}_std")
     attached = attach_stats(df, stats, [array])
     if array_rank(df, array) == 1:
-        scaled = F.transform(F.col(array), lambda v, i: (v - mean[i]) / (std[i] + F.lit(epsilon)))
+        centred = F.zip_with(array, mean, lambda v, m: v - m)
+        scaled = F.zip_with(centred, std, lambda v, s: v / (s + F.lit(epsilon)))
     else:
-        scaled = F.transform(
-            F.col(array),
-            lambda row, i: F.transform(
-                row, lambda v, j: (v - mean[i * F.size(row) + j]) / (std[i * F.size(row) + j] + F.lit(epsilon))
-            ),
-        )
+
+        def cells(m: Column, s: Column, row: Column, i: Column) -> Column:
+            start, width = i * F.size(row) + 1, F.size(row)
+            centred = F.zip_with(row, F.slice(m, start, width), lambda v, c: v - c)
+            return F.zip_with(centred, F.slice(s, start, width), lambda v, d: v / (d + F.lit(epsilon)))
+
+        scaled = let(mean, lambda m: let(std, lambda s: F.transform(array, lambda row, i: cells(m, s, row, i))))
     return attached.withColumn(name or array, scaled).drop(f"{array}_mean", f"{array}_std")

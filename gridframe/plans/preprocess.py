@@ -12,7 +12,6 @@ from gridframe.operators import reshape
 from gridframe.operators.index import plan_shards
 from gridframe.operators.moments import position_moments
 from gridframe.operators.normalize import normalize
-from gridframe.operators.pathgraph import build_graphs
 from gridframe.schema import CATALOG, MATRIX, VECTOR
 from gridframe.sources.catalog import catalog_upsert, entry_of, load_stats, save_stats
 from gridframe.sources.shards import write_graphs, write_shards
@@ -90,6 +89,4 @@ def normalized_table(spark: SparkSession, root: str, step: int, kind: str, array
 
 def build_graph_tables(spark: SparkSession, root: str, step: int) -> None:
     """Node and edge tables of the stored features, in the shards of the features."""
-    entry = entry_of(spark, f"{root}/catalog", step, "features")
-    nodes, edges = build_graphs(read_table(spark, root, step, "features").drop("shard"))
-    write_graphs(nodes, edges, f"{root}/graphs-{step}", entry["num_shards"], entry["dataset_len"])
+    write_graphs(read_table(spark, root, step, "features"), f"{root}/graphs-{step}")

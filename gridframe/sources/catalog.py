@@ -10,7 +10,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
 
 from gridframe.operators.reshape import array_rank, element_type
 from gridframe.schema import CATALOG, STATS
@@ -38,10 +37,10 @@ def describe_table(df: DataFrame, step: int, kind: str, shard: str | None = "sha
 
 
 def _versions(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.schema(_VERSIONED).parquet(path)
-    except AnalysisException:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
         return None
+    return spark.read.schema(_VERSIONED).parquet(path)
 
 
 def catalog_upsert(spark: SparkSession, path: str, entries: DataFrame) -> None:

@@ -4,12 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridframe.functions.arrays import int_div
 from gridframe.operators.index import rechunk_rows, with_shard
+from gridframe.operators.pathgraph import graph_edges, graph_nodes
+
+
+def _writer(df: DataFrame, mode: str) -> DataFrameWriter:
+    """A writer that spares float arrays the dictionary attempt: measurements hardly repeat."""
+    writer = df.write.mode(mode)
+    for field in df.schema.fields:
+        kind, path = field.dataType, field.name
+        while isinstance(kind, T.ArrayType):
+            kind, path = kind.elementType, f"{path}.list.element"
+        if isinstance(kind, (T.FloatType, T.DoubleType)) and path != field.name:
+            writer = writer.option(f"parquet.enable.dictionary#{path}", "false")
+    return writer
 
 
 def write_shards(
@@ -31,12 +44,12 @@ def write_shards(
     if n_rows % num_shards:
         raise ValueError(f"{n_rows} rows cannot be cut into {num_shards} equal shards")
     shards = rechunk_rows(df, row_id, n_rows // num_shards, num_shards, files_per_shard)
-    shards.write.mode(mode).partitionBy("shard").parquet(path)
+    _writer(shards, mode).partitionBy("shard").parquet(path)
 
 
 def write_container(df: DataFrame, path: str, row_id: str = "column_id", mode: str = "overwrite") -> None:
     """One table holding the arrays side by side, sorted by position so that ranges skip row groups."""
-    df.repartitionByRange(row_id).sortWithinPartitions(row_id).write.mode(mode).parquet(path)
+    _writer(df.repartitionByRange(row_id).sortWithinPartitions(row_id), mode).parquet(path)
 
 
 def read_shards(spark: SparkSession, path: str, arrays: Sequence[str], schema: T.StructType, keep: Sequence[str] = ()) -> DataFrame:
@@ -94,13 +107,26 @@ def reshard(
     if top is not None and top >= room:
         raise ValueError(f"position {top} does not fit into {room} rows")
     placed = with_shard(df, row_id, rows_per_file).withColumn("rank", int_div("shard", files_per_rank).cast("int"))
-    laid_out = placed.repartitionById(ranks * files_per_rank, F.col("shard")).sortWithinPartitions(row_id)
-    laid_out.write.mode(mode).partitionBy("rank", "shard").parquet(path)
+    laid_out = placed.repartitionById(ranks * files_per_rank, F.col("shard"))
+    laid_out = laid_out.sortWithinPartitions("rank", "shard", row_id)
+    _writer(laid_out, mode).partitionBy("rank", "shard").parquet(path)
 
 
 def write_graphs(
-    nodes: DataFrame, edges: DataFrame, path: str, num_shards: int, n_columns: int, row_id: str = "column_id", mode: str = "overwrite"
+    features: DataFrame,
+    path: str,
+    num_shards: int | None = None,
+    n_columns: int | None = None,
+    row_id: str = "column_id",
+    mode: str = "overwrite",
 ) -> None:
-    """Node and edge tables grouped by the shard their record came from."""
-    for name, table in (("nodes", nodes), ("edges", edges)):
-        write_shards(table, f"{path}/{name}", num_shards, row_id, n_columns, mode)
+    """Node and edge tables of the records' path graphs, grouped by the shard a record came from.
+
+    Records read from a shard stack carry ``shard`` and lie together already: their graphs are written where they are
+    built. Others are laid out in ``num_shards`` first, as records, which are far smaller than their edges.
+    """
+    if "shard" not in features.columns:
+        n_columns = features.count() if n_columns is None else n_columns
+        features = rechunk_rows(features, row_id, n_columns // num_shards, num_shards)
+    for name, build in (("nodes", graph_nodes), ("edges", graph_edges)):
+        _writer(build(features, ("shard", row_id)), mode).partitionBy("shard").parquet(f"{path}/{name}")
