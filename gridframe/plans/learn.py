@@ -177,7 +177,7 @@ def step_gradient(rows: DataFrame, net: Network, columns: dict[str, str], seed:
     shared = sc.broadcast(replace(net, history=[]))
     try:
         parts = rows.select(*columns.values()).mapInArrow(_sum_gradients(shared, columns, seed, step), _BLOCKS)
-        blocks = parts.groupBy("block").applyInArrow(_add_blocks, _BLOCKS).orderBy("block").collect()
+        blocks = sorted(parts.groupBy("block").applyInArrow(_add_blocks, _BLOCKS).collect(), key=lambda b: b["block"])
     finally:
         shared.destroy()
     n = blocks[0]["n_rows"]
