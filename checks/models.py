@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from checks.search import _TOY, _toy_trials
 from checks.tables import LVL, columns, profiles, rnd, sql_rnd, table
-from gridframe.functions.arrays import node_targets, take_variable
+from gridframe.functions.arrays import node_targets
 from gridframe.operators import moments, reshape, split
 from gridframe.plans import learn, search
 
@@ -162,13 +162,41 @@ def _(spark, sf):
     return _history(spark, net)
 
 
+def _measured(df, net, x):
+    """Losses and absolute errors of a network with flux heads, one row each."""
+    losses, absolute = learn.evaluate_flux_heads(df, net, x, _TARGETS)
+    lines = F.inline(F.array(*[F.struct(F.lit(c).alias("measure"), F.col(c).alias("value")) for c in losses.columns]))
+    return losses.select(lines).unionByName(absolute.select(F.concat(F.lit("mae_"), "output").alias("measure"), F.col("mae").alias("value")))
+
+
 @query("m4_evaluate_flux_heads")
 def _(spark, sf):
     df, net = _flux_net(spark, sf)
-    losses, absolute = learn.evaluate_flux_heads(df, net, "x", _TARGETS)
-    return losses.select(F.inline(F.array(*[F.struct(F.lit(c).alias("measure"), F.col(c).alias("value")) for c in losses.columns]))).unionByName(
-        absolute.select(F.concat(F.lit("mae_"), "output").alias("measure"), F.col("mae").alias("value"))
-    )
+    return _measured(df, net, "x")
+
+
+_BANDS = [(band, name) for band, name in enumerate(("sw", "lw"))]
+
+
+@query("m4_score_flux_heads", f"""WITH {LVL}, x AS (SELECT column_id, variable AS i, v FROM lvl WHERE level = 0),
+  o AS (SELECT column_id, k // 32 AS band, k % 32 // 2 AS level, k % 2 AS ch,
+      sum(v * ((i * 7 + k * 3) % 11 - 5) / CAST(10 AS DOUBLE)) + max(k) / CAST(64 AS DOUBLE) AS v FROM x, range(64) r(k) GROUP BY ALL),
+  t AS (SELECT column_id, variable // 2 AS band, level, variable % 2 AS ch, v FROM lvl),
+  p AS (SELECT column_id, level, level * 60 + 20 + abs(v) AS p FROM lvl WHERE variable = 1),
+  n AS (SELECT column_id, band, level, max(v) FILTER (ch = 0) - max(v) FILTER (ch = 1) AS net FROM o GROUP BY ALL),
+  s AS (SELECT column_id, band, level, lead(net) OVER w - net AS dn, lead(p) OVER w - p AS dp FROM n JOIN p USING (column_id, level)
+    WINDOW w AS (PARTITION BY column_id, band ORDER BY level)),
+  h AS (SELECT s.column_id, s.band, s.level, CAST(-9.80665 AS DOUBLE) / 1004 * 86400 * dn / dp - l.v AS gap
+    FROM s JOIN lvl l ON l.column_id = s.column_id AND l.level = s.level AND l.variable = s.band * 2 WHERE s.level < 15),
+  f AS (SELECT band, o.v - t.v AS gap FROM o JOIN t USING (column_id, band, level, ch)),
+  m AS ({" UNION ALL ".join(f"SELECT '{name}' AS k, avg(gap * gap) AS q, avg(abs(gap)) AS a FROM f WHERE band = {band} UNION ALL SELECT 'hr_{name}', avg(gap * gap), avg(abs(gap)) FROM h WHERE band = {band}" for band, name in _BANDS)})
+  SELECT 'mse_' || k AS measure, {sql_rnd('q', 5)} AS value FROM m UNION ALL SELECT 'mae_' || k, {sql_rnd('a', 5)} FROM m
+  UNION ALL SELECT 'loss', {sql_rnd('sum(q)', 5)} FROM m""")
+def _(spark, sf):
+    df = _flux_records(spark, sf).join(profiles(spark, sf).select("column_id", F.col("m")[0].alias("first")), "column_id")
+    w = np.array([[((i * 7 + k * 3) % 11 - 5) / 10.0 for k in range(64)] for i in range(4)])
+    net = learn.Network([w, np.arange(64) / 64.0], levels=16)
+    return _measured(df, net, "first").withColumn("value", rnd(F.col("value"), 5))
 
 
 # -- trials ----------------------------------------------------------------------------------------------------------

@@ -122,18 +122,19 @@ def path_attention(
     A graph never leaves its row, so no layer shuffles: this is the form for many records. The tables form above takes
     any edge list.
     """
-    weights = records.sparkSession.sparkContext.broadcast(list(layers))
+    weights = records.sparkSession.sparkContext.broadcast([vars(layer) for layer in layers])
     schema = T.StructType([*records.schema.fields, T.StructField(name, T.ArrayType(T.ArrayType(T.DoubleType())))])
 
     def run(batches):
+        stack = [AttentionWeights(**layer) for layer in weights.value]
         for batch in batches:
             if batch.num_rows == 0:
                 continue
             column = batch.column(x)
             levels = len(column[0])
             out = matrix(column).reshape(batch.num_rows, levels, -1)
-            for i, layer in enumerate(weights.value):
-                last = i == len(weights.value) - 1
+            for i, layer in enumerate(stack):
+                last = i == len(stack) - 1
                 out = _path_layer(out, layer, concat_last or not last)
                 if not last:
                     out = np.maximum(out, 0.0)

@@ -47,6 +47,11 @@ class Network:
     history: list[tuple[int, int, float, int]] = field(default_factory=list)
 
 
+def _plain(net: Network) -> dict:
+    """What tasks need of a network, in types that every executor knows."""
+    return {k: v for k, v in vars(net).items() if k != "history"}
+
+
 def initial_weights(sizes: Sequence[int], seed: int, he: bool = False) -> list[np.ndarray]:
     """Matrix and bias of each layer, drawn uniformly; ``he`` widens the range and starts from zero biases."""
     rng = np.random.default_rng(seed)
@@ -126,7 +131,7 @@ def _sum_gradients(net_b, columns: dict[str, str], seed: int, step: int) -> Call
     """Task side of one step: one row per block of the summed gradient."""
 
     def run(batches):
-        net, total, loss, rows = net_b.value, None, 0.0, 0
+        net, total, loss, rows = Network(**net_b.value), None, 0.0, 0
         rng = np.random.default_rng([seed, step, TaskContext.get().partitionId()]) if net.dropout else None
         for batch in batches:
             if batch.num_rows == 0:
@@ -174,7 +179,7 @@ _BLOCKS = "block int, slope array<double>, loss double, n_rows bigint"
 def step_gradient(rows: DataFrame, net: Network, columns: dict[str, str], seed: int = 0, step: int = 0):
     """Mean loss and mean gradient over the rows of one batch, penalties included."""
     sc = rows.sparkSession.sparkContext
-    shared = sc.broadcast(replace(net, history=[]))
+    shared = sc.broadcast(_plain(net))
     try:
         parts = rows.select(*columns.values()).mapInArrow(_sum_gradients(shared, columns, seed, step), _BLOCKS)
         blocks = sorted(parts.groupBy("block").applyInArrow(_add_blocks, _BLOCKS).collect(), key=lambda b: b["block"])
@@ -305,7 +310,7 @@ def fit_flux_heads(
 
 def _score(net_b, x: str, pressure: str | None) -> Callable:
     def run(batches):
-        net = net_b.value
+        net = Network(**net_b.value)
         for batch in batches:
             if batch.num_rows == 0:
                 continue
@@ -327,7 +332,7 @@ def _score(net_b, x: str, pressure: str | None) -> Callable:
 
 def predict(df: DataFrame, net: Network, x: str, pressure: str | None = None) -> DataFrame:
     """``y_hat`` of every row; from flux heads the fluxes and heating rates of both bands."""
-    shared = df.sparkSession.sparkContext.broadcast(replace(net, history=[]))
+    shared = df.sparkSession.sparkContext.broadcast(_plain(net))
     labels = ["y_hat"] if net.levels is None else ["sw_hat", "hr_sw_hat", "lw_hat", "hr_lw_hat"]
     added = [T.StructField(label, T.ArrayType(T.DoubleType())) for label in labels]
     schema = T.StructType([*df.schema.fields, *added])

@@ -27,13 +27,14 @@ def load_columns(
     hr_units: str = "K s-1",
     minimal_outputs: bool = False,
     raw_inputs: bool = False,
+    reject_missing: bool = False,
     schema: T.StructType = COLUMNS,
 ) -> DataFrame:
     """Records of the chosen timesteps, patches and date.
 
     ``timestep`` and ``patch`` are partition columns, so the choice is made on directories. Heating rates lie on disk
     per second and are given per day on request. ``minimal_outputs`` keeps the fluxes only; ``raw_inputs`` gives each
-    variable its own column in place of the grouped arrays.
+    variable its own column in place of the grouped arrays; ``reject_missing`` fails the job on a missing value.
     """
     df = spark.read.schema(schema).parquet(root)
     if timesteps is not None:
@@ -47,7 +48,8 @@ def load_columns(
     if not minimal_outputs:
         for name in [n for n in HEATING_RATES if n in df.columns]:
             outputs.append(to_unit_per_day(name).alias(name) if hr_units == "K d-1" else F.col(name))
-    return df.select(*[k for k in KEYS if k in df.columns], *inputs, *outputs)
+    chosen = df.select(*[k for k in KEYS if k in df.columns], *inputs, *outputs)
+    return reject_nulls(chosen, [c for c in chosen.columns if c not in KEYS]) if reject_missing else chosen
 
 
 def raw_columns(df: DataFrame) -> list:
