@@ -202,13 +202,15 @@ def _described(spark, sf, kind):
 def _entry(df):
     shapes = []
     for name in ("x", "y", "edge"):
-        shapes += [F.get(F.col(f"{name}_shape"), F.lit(i)).cast("bigint").alias(f"{name}_{i}") for i in (0, 1)]
+        axes = [F.get(F.col(f"{name}_shape"), F.lit(i)) for i in (0, 1)]
+        shapes += [F.coalesce(axis, F.lit(0)).cast("bigint").alias(f"{name}_{i}") for i, axis in enumerate(axes)]
     return df.select(big("step"), "kind", "dtype", "dataset_len", "num_shards", *shapes)
 
 
-_SHAPES = """(VALUES ('flattened', 468, NULL, 64, NULL, NULL, NULL), ('features', 16, 20, 16, 4, 15, 27))
+_SHAPES = """(VALUES ('flattened', 468, 0, 64, 0, 0, 0), ('features', 16, 20, 16, 4, 15, 27))
   t(kind, x_0, x_1, y_0, y_1, edge_0, edge_1)"""
-_ENTRY = f"""SELECT 250 AS step, kind, 'float32' AS dtype, dataset_len, num_shards, x_0, x_1, y_0, y_1, edge_0, edge_1
+_AXES = ", ".join(f"CAST({axis} AS BIGINT) AS {axis}" for axis in ("x_0", "x_1", "y_0", "y_1", "edge_0", "edge_1"))
+_ENTRY = f"""SELECT CAST(250 AS BIGINT) AS step, kind, 'float32' AS dtype, dataset_len, num_shards, {_AXES}
   FROM {_SHAPES}, (SELECT count(*) AS dataset_len, count(DISTINCT vec_id // 25) AS num_shards FROM embeddings)"""
 
 
