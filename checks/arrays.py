@@ -10,6 +10,7 @@ from checks.tables import (
 from gridframe.functions import arrays, physics
 from gridframe.operators import moments, normalize, reshape
 from gridframe.operators.index import with_shard
+from gridframe.schema import variables
 from gridframe.sources.columns import every_nth, pick_variable
 
 QUERIES = {}
@@ -142,7 +143,7 @@ def _(spark, sf):
 
 @query("s2_every_nth", f"WITH {FAM} SELECT column_id, timestep, patch FROM ids WHERE timestep IN (0, 500, 1000, 1500, 2000, 2500, 3000, 3500)")
 def _(spark, sf):
-    return every_nth(columns(spark, sf), 0, 3500, 500).select("column_id", big("timestep"), big("patch"))
+    return every_nth(columns(spark, sf), 500).select("column_id", big("timestep"), big("patch"))
 
 
 # -- moments ---------------------------------------------------------------------------------------------------------
@@ -157,8 +158,6 @@ def _rounded(df, *keys):
 @query("a1_variable_moments", f"""WITH {FAM}, named(variable, name) AS (VALUES (0, 'temperature_hl'), (1, 'pressure_hl'))
   SELECT name, count(*) AS n, {_MOMENTS} FROM hl JOIN named USING (variable) GROUP BY name""")
 def _(spark, sf):
-    from gridframe.schema import variables
-
     return _rounded(moments.variable_moments(columns(spark, sf), "hl_inputs", variables("hl_inputs")), "name", "n")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from checks.search import _TOY, _toy_trials
 from checks.tables import LVL, columns, profiles, rnd, sql_rnd, table
 from gridframe.functions.arrays import node_targets
-from gridframe.operators import moments, reshape, split
+from gridframe.operators import moments, reshape, split, trials
 from gridframe.plans import learn, search
 
 QUERIES = {}
@@ -221,8 +221,6 @@ def _(spark, sf):
 def _(spark, sf):
     flat = reshape.flattened(columns(spark, sf)).persist()
     stats = moments.position_moments(flat, ["x"]).persist()
-    from gridframe.operators import trials
-
     space = {"lr": trials.loguniform(1e-4, 1e-2), "width": trials.choice([8, 16])}
     drawn = trials.sample_space(spark.range(2).withColumnRenamed("id", "trial_id"), space, seed=1)
 
@@ -230,4 +228,7 @@ def _(spark, sf):
         net = learn.fit_mlp(flat, "x", "y", "column_id", stats, hidden=(params["width"],), batch=256, lr=params["lr"], world=4)
         return [(step + 1, "train_loss", loss) for _, step, loss, _ in net.history]
 
-    return search.train_trials(drawn, fit, at_once=2)
+    history = search.train_trials(drawn, fit, at_once=2)
+    flat.unpersist()
+    stats.unpersist()
+    return history

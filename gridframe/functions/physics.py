@@ -30,7 +30,3 @@ def silu(value) -> Column:
     """v * sigmoid(v) of a scalar column."""
     value = _col(value)
     return value / (F.lit(1.0) + F.exp(-value))
-
-
-def silu_array(vector) -> Column:
-    return F.transform(_col(vector), lambda v: v / (F.lit(1.0) + F.exp(-v)))

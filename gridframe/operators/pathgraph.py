@@ -7,10 +7,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridframe.operators.batches import batches
+from gridframe.schema import HALF_LEVELS
 
 
 def both_ways(edges: DataFrame) -> DataFrame:
@@ -20,7 +21,7 @@ def both_ways(edges: DataFrame) -> DataFrame:
     return edges.select(*others, "src", "dst").unionByName(back)
 
 
-def _links(levels) -> object:
+def _links(levels) -> Column:
     """i + 1 -> i for each layer i, as an array of one record."""
     size = levels if not isinstance(levels, int) else F.lit(levels)
     return F.transform(
@@ -28,12 +29,12 @@ def _links(levels) -> object:
     )
 
 
-def path_edges(records: DataFrame, keep: Sequence[str], levels) -> DataFrame:
+def path_edges(records: DataFrame, keep: Sequence[str], levels=HALF_LEVELS) -> DataFrame:
     """2 * (levels - 1) directed edges of each record's path; ``levels`` is a number or a column of the record."""
     return both_ways(records.select(*keep, F.inline(_links(levels))))
 
 
-def attach_edges(records: DataFrame, keep: Sequence[str], levels) -> DataFrame:
+def attach_edges(records: DataFrame, keep: Sequence[str], levels=HALF_LEVELS) -> DataFrame:
     """The same edge list on every record, with the layer an edge runs through, in one pass over the records."""
     ways = F.transform(
         _links(levels),
@@ -69,7 +70,7 @@ def build_graphs(features: DataFrame, keep: Sequence[str] = ("column_id",)) -> t
 
 
 def graph_batch(
-    nodes: DataFrame, edges: DataFrame, size: int, levels: int, row_id: str = "column_id"
+    nodes: DataFrame, edges: DataFrame, size: int, levels: int = HALF_LEVELS, row_id: str = "column_id"
 ) -> tuple[DataFrame, DataFrame]:
     """Graphs merged batch by batch: node numbers are moved by the graph's place in its batch."""
     shift = (F.col(row_id) % size) * levels

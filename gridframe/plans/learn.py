@@ -23,6 +23,7 @@ from gridframe.operators import evaluate as errors
 from gridframe.operators.batches import rank_batches
 from gridframe.operators.index import shuffle_rows
 from gridframe.operators.normalize import EPSILON
+from gridframe.schema import HALF_LEVELS
 from gridframe.session import scratch_path
 
 # Values of one block of summed gradients: what one reducing task holds at a time.
@@ -282,7 +283,7 @@ def fit_flux_heads(
     x: str,
     targets: dict[str, str],
     row_id: str,
-    levels: int,
+    levels: int = HALF_LEVELS,
     stats: DataFrame | None = None,
     width: int = 128,
     depth: int = 4,

@@ -58,13 +58,11 @@ FAMILIES = {
     "inter_inputs": ["overlap_param"],
 }
 
-# Half levels and layers of one column, the output arrays, and the loading selectors.
+# Half levels of one column, the output arrays, and the last timestep there is.
 HALF_LEVELS = 138
-LAYERS = 137
 FLUXES = ["flux_dn_sw", "flux_up_sw", "flux_dn_lw", "flux_up_lw"]
 HEATING_RATES = ["hr_sw", "hr_lw"]
 LAST_TIMESTEP = 3500
-PATCHES = 16
 
 # The eight variables that models are built from.
 FEATURES = ["sca_inputs", "col_inputs", "hl_inputs", "inter_inputs", *FLUXES]

@@ -13,7 +13,7 @@ from gridframe.functions.arrays import take_variable, to_unit_per_day
 from gridframe.operators.batches import batches
 from gridframe.operators.index import with_row_id
 from gridframe.operators.normalize import normalize
-from gridframe.schema import COLUMNS, FAMILIES, FLUXES, HEATING_RATES, family_of, variable_index
+from gridframe.schema import COLUMNS, FAMILIES, FLUXES, HEATING_RATES, LAST_TIMESTEP, family_of, variable_index
 
 KEYS = ["timestep", "patch", "date", "column_id"]
 
@@ -71,7 +71,7 @@ def pick_variable(df: DataFrame, name: str) -> DataFrame:
     return df.withColumn(name, F.col(family)[index] if flat else take_variable(family, index))
 
 
-def every_nth(df: DataFrame, low: int, high: int, step: int, column: str = "timestep") -> DataFrame:
+def every_nth(df: DataFrame, step: int, low: int = 0, high: int = LAST_TIMESTEP, column: str = "timestep") -> DataFrame:
     """Values low, low + step, ... up to high (inclusive)."""
     t = F.col(column)
     return df.where(t.between(low, high) & ((t - low) % step == 0))

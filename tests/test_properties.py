@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from gridframe.functions import arrays
 from gridframe.operators import index, moments, normalize
 
-quick = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+quick = settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 numbers = st.floats(-1e6, 1e6, allow_nan=False, width=32)
 
 
