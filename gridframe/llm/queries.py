@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridframe.llm import permutation, reputation
+from gridframe.llm import langid, pagetext, permutation, reputation, toxicity
 
 QUERIES = {}
 SQL = {}
@@ -83,3 +83,35 @@ def url_reputation(spark, sf):
 def permutation_index(spark, sf):
     vectors = table(spark, sf, "embeddings")
     return permutation.nearest(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+# -- language identification -----------------------------------------------------------------------------------------
+
+
+@query("op2_language_id")
+def language_id(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    docs = docs.withColumn("held_out", langid.held_out(F.col("doc_id"), 4, 2))
+    model = langid.fit(docs.where("NOT held_out AND doc_id IS NOT NULL"))
+    return langid.predict(docs.drop("lang"), model).select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
+# -- toxicity --------------------------------------------------------------------------------------------------------
+
+
+@query("op4_toxicity")
+def toxicity_scores(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    out = langid.held_out(F.col("doc_id"), 5, 0)
+    model = toxicity.fit(docs, table(spark, sf, "labels").where(~out))
+    scored = toxicity.score(docs, model)
+    predicted = F.when(F.col("score") >= 0.5, 1).otherwise(0)
+    return scored.select("doc_id", out.alias("held_out"), "score", predicted.alias("predicted"))
+
+
+# -- HTML extraction -------------------------------------------------------------------------------------------------
+
+
+@query("op6_main_text")
+def page_text(spark, sf):
+    return pagetext.extract(table(spark, sf, "pages").select("page_id", "url", "html"))
