@@ -106,10 +106,10 @@ def _feature_counts(docs: DataFrame) -> DataFrame:
 
 
 def _select(counts: DataFrame, toxic: int, clean: int, most: int, least: int) -> np.ndarray:
-    """The ``most`` features whose rates differ most between the labels, in standard errors."""
+    """The ``most`` features whose rate in toxic documents exceeds that in clean ones most, in standard errors."""
     rate = (F.col("toxic") + F.col("clean")) / (toxic + clean)
     error = F.sqrt(rate * (1 - rate) * (1 / toxic + 1 / clean) + 1e-12)
-    z = F.abs(F.col("toxic") / toxic - F.col("clean") / clean) / error
+    z = (F.col("toxic") / toxic - F.col("clean") / clean) / error
     rows = counts.where(F.col("toxic") + F.col("clean") >= least).orderBy(z.desc(), "feature").limit(most).collect()
     return np.sort(np.array([r["feature"] for r in rows], dtype="int64"))
 
