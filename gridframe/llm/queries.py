@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridframe.llm import langid, pagetext, permutation, reputation, toxicity
+from gridframe.llm import langid, pagetext, permutation, reputation, substring, toxicity
 
 QUERIES = {}
 SQL = {}
@@ -115,3 +115,13 @@ def toxicity_scores(spark, sf):
 @query("op6_main_text")
 def page_text(spark, sf):
     return pagetext.extract(table(spark, sf, "pages").select("page_id", "url", "html"))
+
+
+# -- substring removal -----------------------------------------------------------------------------------------------
+
+
+@query("op1_substring_dedup")
+def substring_dedup(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    kept = substring.remove_repeats(docs)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
