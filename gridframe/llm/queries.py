@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridframe.llm import langid, pagetext, permutation, reputation, substring, toxicity
+from gridframe.llm import langid, pagetext, partenum, permutation, reputation, substring, toxicity
 
 QUERIES = {}
 SQL = {}
@@ -125,3 +125,11 @@ def substring_dedup(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     kept = substring.remove_repeats(docs)
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+# -- n-gram Jaccard join ---------------------------------------------------------------------------------------------
+
+
+@query("op10_partenum_join")
+def partenum_join(spark, sf):
+    return partenum.similar_components(table(spark, sf, "documents"))
