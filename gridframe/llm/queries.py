@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridframe.llm import langid, pagetext, partenum, permutation, reputation, substring, toxicity
+from gridframe.llm import langid, pagetext, partenum, permutation, pieces, reputation, substring, tokencount, toxicity, vocabulary
 
 QUERIES = {}
 SQL = {}
@@ -133,3 +133,24 @@ def substring_dedup(spark, sf):
 @query("op10_partenum_join")
 def partenum_join(spark, sf):
     return partenum.similar_components(table(spark, sf, "documents"))
+
+
+# -- token counts, pieces --------------------------------------------------------------------------------------------
+
+
+@query("op3_token_count")
+def token_count(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return tokencount.count_tokens(docs, vocabulary.load()).drop("text")
+
+
+@query("op5_pieces")
+def piece_round_trip(spark, sf):
+    """Encode every text, decode the ids, and report the number of pieces, a digest of them and the decoded text's."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    words = vocabulary.load()
+    decoded = pieces.decode(pieces.encode(docs, words), words)
+    return decoded.select(
+        "doc_id", F.size("pieces").cast("long").alias("n_pieces"), F.xxhash64("pieces").alias("pieces_hash"),
+        F.sha2("decoded", 256).alias("decoded_sha256"), (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("exact"),
+    )

@@ -18,7 +18,7 @@ ASCII_LOWER = np.arange(256, dtype="uint8")
 ASCII_LOWER[0x41:0x5B] += 0x20
 
 _SEED = 20240229
-_BYTE = np.random.default_rng(_SEED).integers(1, 2**63, 256, dtype="uint64") * np.uint64(2) + np.uint64(1)
+BYTE_VALUES = np.random.default_rng(_SEED).integers(1, 2**63, 256, dtype="uint64") * np.uint64(2) + np.uint64(1)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -98,7 +98,7 @@ class Words:
             sizes = np.minimum(sizes, prefix)
         before = np.cumsum(sizes) - sizes
         place = np.arange(int(sizes.sum())) - np.repeat(before, sizes)
-        value = _BYTE[self.data[np.repeat(self.starts, sizes) + place]] * powers(int(sizes.max()))[place]
+        value = BYTE_VALUES[self.data[np.repeat(self.starts, sizes) + place]] * powers(int(sizes.max()))[place]
         return mix(np.add.reduceat(value, before) + sizes.astype("uint64"))
 
 
