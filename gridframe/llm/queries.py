@@ -5,7 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridframe.llm import langid, pagetext, partenum, permutation, pieces, reputation, substring, tokencount, toxicity, vocabulary
+from gridframe.llm import (
+    decontaminate,
+    langid,
+    pagetext,
+    partenum,
+    permutation,
+    pieces,
+    reputation,
+    substring,
+    tokencount,
+    toxicity,
+    vocabulary,
+)
 
 QUERIES = {}
 SQL = {}
@@ -154,3 +166,15 @@ def piece_round_trip(spark, sf):
         "doc_id", F.size("pieces").cast("long").alias("n_pieces"), F.xxhash64("pieces").alias("pieces_hash"),
         F.sha2("decoded", 256).alias("decoded_sha256"), (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("exact"),
     )
+
+
+# -- benchmark decontamination ---------------------------------------------------------------------------------------
+
+
+@query("op8_decontamination")
+def decontamination(spark, sf):
+    """One row for each document and benchmark item found in it."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    found = decontaminate.find_matches(docs, table(spark, sf, "benchmark"))
+    hits = found.where(F.size("matches") > 0).select("doc_id", F.explode("matches").alias("m"))
+    return hits.select("doc_id", "m.item_id", "m.start", "m.edits")
