@@ -16,10 +16,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridframe.llm.textbytes import Words, added, blocks, raw, window_hashes
+from gridframe.llm.textbytes import Words, added, blocks, mix, raw, window_hashes
 
 #: Bytes of an edge's own fingerprint; with the minimizer, an edge is known by 112 bits.
 PRINT_BYTES = 6
@@ -81,7 +81,7 @@ def _stretches(k: int, anchor: int):
                 later = (doc[text] > doc[text[source]]) | ((doc[text] == doc[text[source]]) & (start > start[source]))
                 follows = np.zeros(len(edge), dtype=bool)
                 follows[1:] = (text[1:] == text[:-1]) & (start[1:] == start[:-1] + 1)
-                # Edges already seen: pieces with their source.
+                # Edges already seen: pieces with their source, dealt out by document.
                 same = follows.copy()
                 same[1:] &= later[1:] & later[:-1] & (text[source[1:]] == text[source[:-1]])
                 same[1:] &= start[source[1:]] == start[source[:-1]] + 1
@@ -90,7 +90,7 @@ def _stretches(k: int, anchor: int):
                 at = source[first]
                 empty = pa.nulls(len(first), pa.binary())
                 yield _rows(
-                    [minimizer[first].view("int64"), doc[text[first]], tell[text[first]], start[first], n,
+                    [mix(doc[text[first]]).view("int64"), doc[text[first]], tell[text[first]], start[first], n,
                      doc[text[at]], start[at]], empty, _STRETCH
                 )
                 # The others: stretches of one minimizer with the fingerprints of their edges.
@@ -169,7 +169,7 @@ def _repeated(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
     return _rows([doc[first], tell[first], start[first], length, doc[at], start[at]], None, _PIECE)
 
 
-def repeated_paths(docs: DataFrame, k: int = 20, anchor: int = 8, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def repeated_paths(docs: DataFrame, k: int = 20, anchor: int = 6, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Repeated sequences of words: ``doc_id, part, paths``, the last an array of (start, n, source_id, source_start).
 
     A path says that ``n`` consecutive edges from word ``start`` on also start earlier: in a document with a smaller id,
@@ -183,36 +183,24 @@ def repeated_paths(docs: DataFrame, k: int = 20, anchor: int = 8, doc_id: str =
     chosen = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     edges = chosen.where("doc_id IS NOT NULL AND text IS NOT NULL").mapInArrow(_stretches(k, anchor), _STRETCH)
     dealt = edges.repartition("minimizer").sortWithinPartitions("minimizer", "doc_id", "start")
-    pieces = dealt.mapInArrow(_pieces, _PIECE).distinct()
-    # Pieces follow each other in both documents: join them to paths.
-    here = F.struct("start", "n", "source_id", "source_start")
-    joined = F.aggregate(
-        F.array_sort(F.collect_list(here)),
-        F.lit([]).cast("array<struct<start:int,n:int,source_id:bigint,source_start:int>>"),
-        _extend,
-    )
-    return pieces.groupBy("doc_id", "part").agg(joined.alias("paths"))
-
-
-def _extend(paths, piece):
-    """Append a piece to the sorted paths before it, or lengthen the last one."""
-    last = F.element_at(paths, -1)
+    pieces = dealt.mapInArrow(_pieces, _PIECE)
+    # Pieces that follow each other in both documents are one path: number the paths of a document, then join them.
+    order = Window.partitionBy("doc_id", "part").orderBy("start", "source_id", "source_start")
+    before = F.lag(F.struct("start", "n", "source_id", "source_start")).over(order)
     goes_on = (
-        (F.size(paths) > 0)
-        & (last["start"] + last["n"] == piece["start"])
-        & (last["source_id"] == piece["source_id"])
-        & (last["source_start"] + last["n"] == piece["source_start"])
-    )
-    longer = F.struct(
-        last["start"].alias("start"), (last["n"] + piece["n"]).alias("n"), last["source_id"].alias("source_id"),
-        last["source_start"].alias("source_start"),
-    )
-    return F.when(goes_on, F.concat(F.slice(paths, 1, F.size(paths) - 1), F.array(longer))).otherwise(
-        F.concat(paths, F.array(piece))
+        (before["start"] + before["n"] == F.col("start"))
+        & (before["source_id"] == F.col("source_id"))
+        & (before["source_start"] + before["n"] == F.col("source_start"))
     )
+    begins = F.when(F.coalesce(goes_on, F.lit(False)), 0).otherwise(1)
+    numbered = pieces.withColumn("begins", begins).withColumn("path", F.sum("begins").over(order))
+    path = F.min(F.struct("start", "source_id", "source_start")).alias("first")
+    joined = numbered.groupBy("doc_id", "part", "path").agg(path, F.sum("n").cast("int").alias("n"))
+    whole = F.struct(F.col("first.start"), F.col("n"), F.col("first.source_id"), F.col("first.source_start"))
+    return joined.groupBy("doc_id", "part").agg(F.collect_set(whole).alias("paths"))
 
 
-def remove_repeats(docs: DataFrame, k: int = 20, anchor: int = 8) -> DataFrame:
+def remove_repeats(docs: DataFrame, k: int = 20, anchor: int = 6) -> DataFrame:
     """``docs`` (with ``doc_id, text``) and ``n_words``, ``n_removed``, ``kept``.
 
     Words are runs of bytes other than space and 0x09 to 0x0D. A word is removed if it lies in a run of ``k`` words that
