@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from gridframe.llm import (
     decontaminate,
     langid,
@@ -178,3 +179,10 @@ def decontamination(spark, sf):
     found = decontaminate.find_matches(docs, table(spark, sf, "benchmark"))
     hits = found.where(F.size("matches") > 0).select("doc_id", F.explode("matches").alias("m"))
     return hits.select("doc_id", "m.item_id", "m.start", "m.edits")
+
+
+# -- pipeline --------------------------------------------------------------------------------------------------------
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
