@@ -10,7 +10,7 @@ from checks.tables import (
 from gridframe.functions import arrays, physics
 from gridframe.operators import moments, normalize, reshape
 from gridframe.operators.index import with_shard
-from gridframe.schema import variables
+from gridframe.schema import LAST_TIMESTEP, variables
 from gridframe.sources.columns import every_nth, pick_variable
 
 QUERIES = {}
@@ -143,7 +143,12 @@ def _(spark, sf):
 
 @query("s2_every_nth", f"WITH {FAM} SELECT column_id, timestep, patch FROM ids WHERE timestep IN (0, 500, 1000, 1500, 2000, 2500, 3000, 3500)")
 def _(spark, sf):
-    return every_nth(columns(spark, sf), 500).select("column_id", big("timestep"), big("patch"))
+    return every_nth(columns(spark, sf), 500, high=LAST_TIMESTEP).select("column_id", big("timestep"), big("patch"))
+
+
+@query("s2_every_nth_open", "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey >= 100 AND (o_orderkey - 100) % 250 = 0")
+def _(spark, sf):
+    return every_nth(table(spark, sf, "orders").select("o_orderkey", "o_custkey"), 250, 100, column="o_orderkey")
 
 
 # -- moments ---------------------------------------------------------------------------------------------------------

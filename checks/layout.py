@@ -276,6 +276,13 @@ def _(spark, sf):
     return index.with_group_position(events, ["user_id"], ["ts", "event_id"]).drop("ts")
 
 
+@query("x1_group_position_nulls", """SELECT nullif(user_id % 7, 0) AS grp, event_id,
+  row_number() OVER (PARTITION BY nullif(user_id % 7, 0) ORDER BY ts, event_id) - 1 AS position FROM events""")
+def _(spark, sf):
+    events = table(spark, sf, "events").select(F.nullif(F.col("user_id") % 7, F.lit(0)).alias("grp"), "event_id", "ts")
+    return index.with_group_position(events, ["grp"], ["ts", "event_id"]).drop("ts")
+
+
 @query("x1_file_position", "SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS row_id FROM orders")
 def _(spark, sf):
     return index.with_file_position(table(spark, sf, "orders")).select("o_orderkey", "row_id")

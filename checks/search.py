@@ -118,11 +118,14 @@ def _(spark, sf):
     return history.select("trial_id", "p", "cumulate", big("iteration"), rnd(F.col("score")).alias("score"))
 
 
-@query("o3_history", f"""WITH {_HISTORY} SELECT trial_id, iteration, max(score) FILTER (event_type = 'click') AS click,
-  max(score) FILTER (event_type = 'purchase') AS purchase FROM hist GROUP BY ALL""")
+_EVENTS = ["click", "purchase", "view", "signup", "error"]
+_KINDS = ", ".join(f"max(score) FILTER (event_type = '{e}') AS {e}" for e in _EVENTS)
+
+
+@query("o3_history", f"""WITH {_HISTORY} SELECT trial_id, iteration, {_KINDS} FROM hist GROUP BY ALL""")
 def _(spark, sf):
     reported = _history(spark, sf).select("trial_id", "iteration", F.col("event_type").alias("name"), F.col("score").alias("value"))
-    return trials.reports(reported, ["click", "purchase"])
+    return trials.reports(reported, _EVENTS)
 
 
 @query("w2_running_score", f"""WITH {_HISTORY} SELECT trial_id, iteration,
@@ -158,6 +161,30 @@ def _(spark, sf):
     return trials.early_stop(_history(spark, sf).select("trial_id", "iteration", "score"), 40, 3, 3)
 
 
+@query("o4_early_stop_max", f"WITH {_HISTORY}, {_stop_sql(40, 3, 3, 'DESC')} SELECT trial_id, stopped_at FROM ended")
+def _(spark, sf):
+    return trials.early_stop(_history(spark, sf).select("trial_id", "iteration", "score"), 40, 3, 3, mode="max")
+
+
+_GAPS = _HISTORY.replace("value AS score", "CASE WHEN event_id % 5 = 0 THEN NULL WHEN event_id % 7 = 0 THEN CAST('nan' AS DOUBLE) ELSE value END AS score")
+_BY_VALUE = "CASE WHEN isnan(score) THEN NULL ELSE score END ASC NULLS LAST"
+
+
+@query("o4_early_stop_nulls", f"""WITH {_GAPS}, {_stop_sql(40, 3, 3).replace('ORDER BY score ASC', f'ORDER BY {_BY_VALUE}')}
+  SELECT trial_id, stopped_at FROM ended""")
+def _(spark, sf):
+    score = F.when(F.col("event_id") % 5 == 0, None).when(F.col("event_id") % 7 == 0, float("nan")).otherwise(F.col("score"))
+    return trials.early_stop(_history(spark, sf).select("trial_id", "iteration", score.alias("score")), 40, 3, 3)
+
+
+@query("t3_best_of_reports", f"""WITH {_HISTORY}, r AS (SELECT trial_id, iteration, max(score) FILTER (event_type = 'click') AS click,
+    max(score) FILTER (event_type = 'purchase') AS purchase FROM hist GROUP BY ALL)
+  SELECT trial_id, iteration, purchase FROM r WHERE purchase IS NOT NULL ORDER BY purchase, trial_id, iteration LIMIT 1""")
+def _(spark, sf):
+    reported = _history(spark, sf).select("trial_id", "iteration", F.col("event_type").alias("name"), F.col("score").alias("value"))
+    return trials.best_trial(trials.reports(reported, ["click", "purchase"]), "purchase", ["iteration"])
+
+
 @query("o4_kept_history", f"""WITH {_HISTORY}, {_stop_sql(40, 3, 3)} SELECT trial_id, iteration, score FROM hist JOIN ended USING (trial_id)
   WHERE iteration <= stopped_at""")
 def _(spark, sf):

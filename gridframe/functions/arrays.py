@@ -73,6 +73,16 @@ def node_targets(first, *others) -> Column:
     return F.when(same, rows).otherwise(F.raise_error(F.lit("profiles differ in length")))
 
 
+def zip_equal(**arrays) -> Column:
+    """Arrays of equal length as one array of structs; others, or missing ones, fail the job."""
+    first, *others = [_col(a) for a in arrays.values()]
+    same = F.size(first) >= 0
+    for other in others:
+        same = same & (F.size(other) == F.size(first))
+    zipped = F.arrays_zip(*[_col(a).alias(n) for n, a in arrays.items()])
+    return F.when(same, zipped).otherwise(F.raise_error(F.lit(f"{' and '.join(arrays)} differ in length or are missing")))
+
+
 def take_variable(matrix, index: int) -> Column:
     """One variable over all levels."""
     return F.transform(_col(matrix), lambda row: row[index])

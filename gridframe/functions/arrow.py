@@ -7,10 +7,15 @@ import pyarrow as pa
 
 
 def matrix(column: pa.Array) -> np.ndarray:
-    """A column of equally long arrays, of any rank, as rows x values."""
+    """A column of equally long arrays, of any rank, as rows x values; ragged or missing ones raise an error."""
     rows = len(column)
     while pa.types.is_list(column.type) or pa.types.is_large_list(column.type):
+        lengths = column.value_lengths()
+        if column.null_count or len(lengths.unique()) > 1:
+            raise ValueError("arrays of a batch differ in length or are missing")
         column = column.flatten()
+    if column.null_count:
+        raise ValueError("values of a batch are missing")
     return column.to_numpy(zero_copy_only=False).astype("f8").reshape(rows, -1)
 
 

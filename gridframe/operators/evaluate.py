@@ -1,4 +1,7 @@
-"""Errors of predictions against targets, over all elements of all rows."""
+"""Errors of predictions against targets, over all elements of all rows.
+
+A row whose prediction and target differ in length, or lack one of them, fails the job.
+"""
 
 from __future__ import annotations
 
@@ -7,6 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridframe.functions.arrays import zip_equal
 from gridframe.operators.reshape import as_vector
 
 
@@ -15,9 +19,7 @@ def _errors(df: DataFrame, pairs: dict[str, tuple[str, str]], keep: Sequence[str
     zipped = [
         F.struct(
             F.lit(i).alias("o"),
-            F.arrays_zip(
-                as_vector(df, p).cast("array<double>").alias("p"), as_vector(df, t).cast("array<double>").alias("t")
-            ).alias("z"),
+            zip_equal(p=as_vector(df, p).cast("array<double>"), t=as_vector(df, t).cast("array<double>")).alias("z"),
         )
         for i, (p, t) in enumerate(pairs.values())
     ]
@@ -51,9 +53,7 @@ def weighted_mse(df: DataFrame, pairs: dict[str, tuple[str, str]], weights: dict
 
 def stage_metrics(df: DataFrame, stage: str, batch: str, pred: str, target: str) -> DataFrame:
     """Loss of every batch of every stage, with the rows it was taken over."""
-    zipped = F.arrays_zip(
-        as_vector(df, pred).cast("array<double>").alias("p"), as_vector(df, target).cast("array<double>").alias("t")
-    )
+    zipped = zip_equal(p=as_vector(df, pred).cast("array<double>"), t=as_vector(df, target).cast("array<double>"))
     values = df.select(stage, batch, F.posexplode(zipped).alias("at", "z")).select(stage, batch, "at", "z.p", "z.t")
     return values.groupBy(stage, batch).agg(F.avg(_square()).alias("loss"), F.count_if(F.col("at") == 0).alias("n_rows"))
 

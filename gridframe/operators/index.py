@@ -17,48 +17,72 @@ from gridframe.functions.draws import hash_key
 from gridframe.session import cut
 
 
-# Rows of key and offset that are still sent to every executor (some tens of megabytes).
-MOST_BROADCAST_ROWS = 200_000
-
-
 def with_row_id(df: DataFrame, order_by: Sequence[str | Column], name: str = "row_id") -> DataFrame:
     """Dense position 0..n-1 in the given order, which must be total (end it with a unique column).
 
     The sort range-partitions on all order columns, so a hot leading value is split by the later ones. The sorted
     rows are written once; one offset per partition (as many as there are shuffle partitions) is then broadcast.
     """
+    placed = _in_order(df, order_by)
+    return placed.join(F.broadcast(_part_starts(placed)), "_part").select(*df.columns, (F.col("_start") + F.col("_at")).alias(name))
+
+
+def _in_order(df: DataFrame, order_by: Sequence[str | Column]) -> DataFrame:
+    """Rows range-sorted and written once, with the partition ``_part`` and the place ``_at`` in it."""
     ordered = cut(df.orderBy(*order_by).withColumn("_seq", F.monotonically_increasing_id()))
-    part = F.shiftright("_seq", 33)
-    in_part = F.col("_seq").bitwiseAND(F.lit((1 << 33) - 1))
-    sizes = ordered.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
-    starts = sizes.select("_part", (F.sum("_n").over(W.orderBy("_part")) - F.col("_n")).alias("_start"))
-    return (
-        ordered.withColumn("_part", part)
-        .join(F.broadcast(starts), "_part")
-        .select(*df.columns, (F.col("_start") + in_part).alias(name))
-    )
+    at = F.col("_seq").bitwiseAND(F.lit((1 << 33) - 1))
+    return ordered.select(*df.columns, F.shiftright("_seq", 33).alias("_part"), at.alias("_at"))
+
+
+def _part_starts(placed: DataFrame) -> DataFrame:
+    """Rows before each partition."""
+    sizes = placed.groupBy("_part").agg(F.count("*").alias("_n"))
+    return sizes.select("_part", (F.sum("_n").over(W.orderBy("_part")) - F.col("_n")).alias("_start"))
 
 
 def with_group_position(
     df: DataFrame, group: Sequence[str], order_by: Sequence[str | Column], name: str = "position"
 ) -> DataFrame:
-    """Dense position 0..k-1 inside each group, also where one group holds a large part of all rows."""
-    placed = with_row_id(df, [*group, *order_by], "_row")
-    first = placed.groupBy(*group).agg(F.min("_row").alias("_first"))
-    return placed.join(first, list(group)).select(*df.columns, (F.col("_row") - F.col("_first")).alias(name))
+    """Dense position 0..k-1 inside each group, also where one group holds a large part of all rows.
+
+    Null keys form groups like any others.
+    """
+    placed = _in_order(df, [*group, *order_by])
+    key = F.struct(*[F.col(g) for g in group])
+    starts = _part_starts(placed)
+    # Where a group begins inside each partition; partitions split a hot group, and no join is on the group.
+    here = placed.withColumn("_from", F.min("_at").over(W.partitionBy("_part", *group)))
+    ends = placed.groupBy("_part").agg(
+        F.min_by(key, "_at").alias("_head"), F.max_by(key, "_at").alias("_tail"), F.min("_at").alias("_low")
+    )
+    tail = here.groupBy("_part").agg(F.max("_from").alias("_tail_from"))
+    ends = ends.join(tail, "_part").join(F.broadcast(starts), "_part")
+    # A group that crosses partitions begins where it first is the tail or the head of one: two rows per partition.
+    edges = F.explode(
+        F.array(
+            F.struct(F.col("_head").alias("_g"), (F.col("_start") + F.col("_low")).alias("_first")),
+            F.struct(F.col("_tail").alias("_g"), (F.col("_start") + F.col("_tail_from")).alias("_first")),
+        )
+    )
+    first = ends.select(edges.alias("e")).groupBy("e._g").agg(F.min("e._first").alias("_first"))
+    heads = ends.select("_part", "_start", "_head").join(F.broadcast(first), F.col("_head").eqNullSafe(F.col("_g")))
+    out = here.join(F.broadcast(heads.select("_part", "_start", "_head", "_first")), "_part")
+    begins = F.when(key.eqNullSafe(F.col("_head")), F.col("_first")).otherwise(F.col("_start") + F.col("_from"))
+    return out.select(*df.columns, (F.col("_start") + F.col("_at") - begins).alias(name))
 
 
-def with_file_position(df: DataFrame, name: str = "row_id") -> DataFrame:
-    """Dense position of rows as they lie in the files: files by path, then row by row.
+def with_file_position(df: DataFrame, name: str = "row_id", order_by: Sequence[str | Column] = ()) -> DataFrame:
+    """Dense position of rows as they lie in the files: by ``order_by``, then files by path, then row by row.
 
-    ``df`` must come straight from a Parquet read. Nothing is sorted, and nothing is shuffled but one count per file;
-    the counts are broadcast while the number of files stays within ``MOST_BROADCAST_ROWS``.
+    ``df`` must come straight from a Parquet read. ``order_by`` are partition columns, or expressions over them: paths
+    compare as text, where 1000 comes before 250. Rows are not sorted, and nothing is shuffled for the counts but one
+    row per file; how the counts meet the rows is left to the planner.
     """
     at = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at"))
-    sizes = at.groupBy("_file").agg(F.count("*").alias("_n"))
-    starts = sizes.select("_file", (F.sum("_n").over(W.orderBy("_file")) - F.col("_n")).alias("_start"))
-    if len(df.inputFiles()) <= MOST_BROADCAST_ROWS:
-        starts = F.broadcast(starts)
+    keys = [(F.col(c) if isinstance(c, str) else c).alias(f"_k{i}") for i, c in enumerate(order_by)]
+    sizes = at.groupBy(*keys, "_file").agg(F.count("*").alias("_n"))
+    order = W.orderBy(*[f"_k{i}" for i in range(len(keys))], "_file")
+    starts = sizes.select("_file", (F.sum("_n").over(order) - F.col("_n")).alias("_start"))
     return at.join(starts, "_file").select(*df.columns, (F.col("_start") + F.col("_at")).alias(name))
 
 
@@ -156,8 +180,13 @@ def plan_shards(sizes: DataFrame, target: int, n_rows: str = "n_rows") -> DataFr
 
 
 def rechunk_rows(df: DataFrame, row_id: str, shard_size: int, num_shards: int, tasks_per_shard: int = 1) -> DataFrame:
-    """Whole rows laid out so that a task holds one shard, or an equal range of rows of one, in row order."""
+    """Whole rows laid out so that a task holds one shard, or an equal range of rows of one, in row order.
+
+    A row beyond the last shard fails the job.
+    """
     shard, within = locate(row_id, shard_size)
+    beyond = F.raise_error(F.concat(F.lit(f"{num_shards} shards of {shard_size} rows have no place for row "), F.col(row_id)))
+    shard = F.when(shard < num_shards, shard).otherwise(beyond.cast("bigint"))
     share = -(-shard_size // tasks_per_shard)
     task = shard * tasks_per_shard + int_div(within, share)
     placed = df.withColumn("shard", shard.cast("int")).withColumn("_task", task.cast("int"))

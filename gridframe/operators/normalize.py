@@ -26,7 +26,11 @@ def attach_stats(df: DataFrame, stats: DataFrame, arrays: Sequence[str]) -> Data
 
 
 def normalize(df: DataFrame, array: str, stats: DataFrame, epsilon: float = EPSILON, name: str | None = None) -> DataFrame:
-    """(x - mean) / (std + epsilon) per position of a vector, or of a matrix with row-major statistics."""
+    """(x - mean) / (std + epsilon) per position of a vector, or of a matrix with row-major statistics.
+
+    A record that is not as long as the statistics, or whose rows differ in width, fails the job; a missing record stays
+    missing.
+    """
     mean, std = F.col(f"{array}_mean"), F.col(f"{array}_std")
     attached = attach_stats(df, stats, [array])
     if array_rank(df, array) == 1:
@@ -40,4 +44,10 @@ def normalize(df: DataFrame, array: str, stats: DataFrame, epsilon: float = EPSI
             return F.zip_with(centred, F.slice(s, start, width), lambda v, d: v / (d + F.lit(epsilon)))
 
         scaled = let(mean, lambda m: let(std, lambda s: F.transform(array, lambda row, i: cells(m, s, row, i))))
+    values = F.col(array)
+    fits = F.size(values) == F.size(mean)
+    if array_rank(df, array) > 1:
+        fits = (F.size(F.flatten(values)) == F.size(mean)) & F.forall(values, lambda row: F.size(row) * F.size(values) == F.size(mean))
+    wrong = F.raise_error(F.lit(f"{array} is not as long as its statistics"))
+    scaled = F.when(values.isNull() | F.coalesce(fits, F.lit(False)), scaled).otherwise(wrong)
     return attached.withColumn(name or array, scaled).drop(f"{array}_mean", f"{array}_std")

@@ -10,6 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridframe.functions.arrays import zip_equal
 from gridframe.operators.batches import batches
 from gridframe.schema import HALF_LEVELS
 
@@ -22,11 +23,10 @@ def both_ways(edges: DataFrame) -> DataFrame:
 
 
 def _links(levels) -> Column:
-    """i + 1 -> i for each layer i, as an array of one record."""
+    """i + 1 -> i for each layer i, as an array of one record; a record of one level has none."""
     size = levels if not isinstance(levels, int) else F.lit(levels)
-    return F.transform(
-        F.sequence(F.lit(0), size - 2), lambda i: F.struct((i + 1).cast("bigint").alias("src"), i.cast("bigint").alias("dst"))
-    )
+    layers = F.when(size > 1, F.sequence(F.lit(0), size - 2)).otherwise(F.array().cast("array<int>"))
+    return F.transform(layers, lambda i: F.struct((i + 1).cast("bigint").alias("src"), i.cast("bigint").alias("dst")))
 
 
 def path_edges(records: DataFrame, keep: Sequence[str], levels=HALF_LEVELS) -> DataFrame:
@@ -47,8 +47,8 @@ def attach_edges(records: DataFrame, keep: Sequence[str], levels=HALF_LEVELS) ->
 
 
 def graph_nodes(features: DataFrame, keep: Sequence[str] = ("column_id",)) -> DataFrame:
-    """One row per node: its features and targets."""
-    zipped = F.arrays_zip(F.col("x").alias("x"), F.col("y").alias("y"))
+    """One row per node: its features and targets, which must be as many."""
+    zipped = zip_equal(x="x", y="y")
     return features.select(*keep, F.posexplode(zipped).alias("node", "z")).select(
         *keep, F.col("node").cast("bigint").alias("node"), "z.x", "z.y"
     )

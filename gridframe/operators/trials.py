@@ -146,7 +146,9 @@ def running_score(
     before = F.sum("_t").over(W.partitionBy(trial).orderBy("_block").rowsBetween(W.unboundedPreceding, -1))
     totals = totals.select(trial, "_block", F.coalesce(before, F.lit(0.0)).alias("_before"))
     within = F.sum(score).over(W.partitionBy(trial, "_block").orderBy(iteration).rowsBetween(W.unboundedPreceding, 0))
-    out = cut_up.withColumn("_within", within).join(totals, [trial, "_block"])
+    totals = totals.select(F.col(trial).alias("_trial"), F.col("_block").alias("_of"), "_before")
+    same = F.col(trial).eqNullSafe(F.col("_trial")) & F.col("_block").eqNullSafe(F.col("_of"))
+    out = cut_up.withColumn("_within", within).join(totals, same)
     return out.select(*history.columns, (F.col("_before") + F.col("_within")).alias(name))
 
 
@@ -157,12 +159,19 @@ def reports(history: DataFrame, names: Sequence[str], trial: str = "trial_id", i
 
 
 def rung_rank(reported: DataFrame, rung: str, metric: str, trial: str = "trial_id", mode: str = "min", name: str = "rank") -> DataFrame:
-    """Rank of each trial among those that reached the same rung; equal metrics are ranked by trial."""
-    order = F.col(metric).asc() if mode == "min" else F.col(metric).desc()
-    placed = with_group_position(reported, [rung], [order, F.col(trial)], name)
+    """Rank of each trial among those that reached the same rung; equal metrics are ranked by trial, and null or NaN
+    ones last."""
+    placed = with_group_position(reported, [rung], [_best_first(metric, mode), F.col(trial)], name)
     return placed.withColumn(name, F.col(name) + 1)
 
 
+def _best_first(metric: str, mode: str) -> Column:
+    """Sort order by a metric, without a value last."""
+    value = F.col(metric).cast("double")
+    value = F.when(~F.isnan(value), value)
+    return value.asc_nulls_last() if mode == "min" else value.desc_nulls_last()
+
+
 def milestones(max_t: int, grace: int, factor: int) -> list[int]:
     """Iterations at which trials are compared: grace, grace * factor, ... below max_t."""
     found, t = [], grace
@@ -184,21 +193,22 @@ def early_stop(
 ) -> DataFrame:
     """Iteration at which each trial is stopped by successive halving: (trial, stopped_at).
 
-    At every milestone the best 1 / factor (rounded up) of the trials still running go on. A trial that reports less
-    stops by itself at its last iteration. There are log(max_t) rounds; each starts from the written ranking of the
+    At every milestone the best 1 / factor (rounded up) of the trials still running go on, judged by their first report
+    at or after it; null and NaN metrics rank last. A trial that reports less stops by itself at its last iteration. There are log(max_t) rounds; each starts from the written ranking of the
     round before.
     """
-    order = F.col(metric).asc() if mode == "min" else F.col(metric).desc()
     last = history.where(F.col(iteration) <= max_t).groupBy(trial).agg(F.max(iteration).alias("_last"))
     alive = last.select(trial)
     stopped = None
     for rung in milestones(max_t, grace, factor):
-        here = history.where(F.col(iteration) == rung).select(trial, metric)
-        ranked = with_row_id(here.join(alive, trial, "left_semi"), [order, F.col(trial)], "_rank")
+        due = history.where(F.col(iteration).between(rung, max_t)).groupBy(trial)
+        here = due.agg(F.min_by(F.struct(F.col(metric), F.col(iteration)), iteration).alias("_r"))
+        here = here.select(trial, F.col(f"_r.{metric}").alias(metric), F.col(f"_r.{iteration}").cast("bigint").alias("_at_iteration"))
+        ranked = with_row_id(here.join(alive, trial, "left_semi"), [_best_first(metric, mode), F.col(trial)], "_rank")
         # As many as are ranked here: the offsets are dense, so the count is the last rank plus one.
         size = ranked.agg((F.max("_rank") + 1).alias("n")).select(F.ceil(F.coalesce("n", F.lit(0)) / factor)).scalar()
         judged = ranked.withColumn("_keep", F.col("_rank") < size)
-        out = judged.where(~F.col("_keep")).select(trial, F.lit(rung).cast("bigint").alias("stopped_at"))
+        out = judged.where(~F.col("_keep")).select(trial, F.col("_at_iteration").alias("stopped_at"))
         stopped = out if stopped is None else stopped.unionByName(out)
         alive = judged.where("_keep").select(trial)
     ended = last.select(trial, F.col("_last").cast("bigint").alias("stopped_at"))
@@ -213,7 +223,11 @@ def kept_history(history: DataFrame, stops: DataFrame, trial: str = "trial_id",
 
 
 def best_trial(history: DataFrame, metric: str, params: Sequence[str], trial: str = "trial_id", mode: str = "min") -> DataFrame:
-    """Configuration and result of the best report over all trials; of equal ones that of the lowest trial."""
+    """Configuration and result of the best report over all trials; of equal ones that of the lowest trial.
+
+    Reports without the metric (null) are left out, and NaN is worse than any number: train and validation metrics may
+    stand in different reports.
+    """
     order = F.col(metric) if mode == "min" else -F.col(metric)
     best = F.min_by(F.struct(trial, *params, metric), F.struct(order, F.col(trial)))
-    return history.agg(best.alias("b")).select("b.*")
+    return history.where(F.col(metric).isNotNull()).agg(best.alias("b")).select("b.*")

@@ -12,11 +12,11 @@ from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridframe.functions.arrays import int_div
 from gridframe.functions.arrow import matrix, nested
 from gridframe.functions.physics import DAY, GRAVITY, SPECIFIC_HEAT
 from gridframe.operators import evaluate as errors
@@ -64,7 +64,28 @@ def initial_weights(sizes: Sequence[int], seed: int, he: bool = False) -> list[n
     return weights
 
 
-def forward(net: Network, x: np.ndarray, rng: np.random.Generator | None = None):
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """A bijective 64-bit mix."""
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    return x ^ (x >> np.uint64(31))
+
+
+class RowDraws:
+    """Numbers in [0, 1) that depend on the seed, the step, a row's id, the layer and the unit, and on no partition."""
+
+    def __init__(self, seed: int, step: int, row_ids: np.ndarray) -> None:
+        start = _mixed(np.array([seed], dtype="int64").view("uint64") + np.uint64(0x9E3779B97F4A7C15))
+        self.rows = _mixed(_mixed(start + np.uint64(step)) ^ np.asarray(row_ids, dtype="int64").view("uint64"))
+        self.layer = 0
+
+    def random(self, shape: tuple[int, int]) -> np.ndarray:
+        self.layer += 1
+        units = np.arange(shape[1], dtype="uint64") + np.uint64(self.layer << 32)
+        return (_mixed(self.rows[:, None] + _mixed(units)[None]) >> np.uint64(11)) / 2.0**53
+
+
+def forward(net: Network, x: np.ndarray, rng: np.random.Generator | RowDraws | None = None):
     """Output of a batch, and per layer its input, its sigmoid and the mask of kept units."""
     a = x if net.mean is None else (x - net.mean) / (net.std + EPSILON)
     trace = []
@@ -128,16 +149,16 @@ def gradient(net: Network, x: np.ndarray, truth: dict[str, np.ndarray], rng=None
     return loss, found
 
 
-def _sum_gradients(net_b, columns: dict[str, str], seed: int, step: int) -> Callable:
+def _sum_gradients(net_b, columns: dict[str, str], seed: int, step: int, row_id: str | None) -> Callable:
     """Task side of one step: one row per block of the summed gradient."""
 
     def run(batches):
         net, total, loss, rows = Network(**net_b.value), None, 0.0, 0
-        rng = np.random.default_rng([seed, step, TaskContext.get().partitionId()]) if net.dropout else None
         for batch in batches:
             if batch.num_rows == 0:
                 continue
             data = {key: matrix(batch.column(name)) for key, name in columns.items()}
+            rng = RowDraws(seed, step, batch.column(row_id).to_numpy()) if net.dropout else None
             part, found = gradient(net, data.pop("x"), data, rng)
             flat = np.concatenate([g.ravel() for g in found])
             total = flat if total is None else total + flat
@@ -177,12 +198,17 @@ def _add_blocks(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -
 _BLOCKS = "block int, slope array<double>, loss double, n_rows bigint"
 
 
-def step_gradient(rows: DataFrame, net: Network, columns: dict[str, str], seed: int = 0, step: int = 0):
-    """Mean loss and mean gradient over the rows of one batch, penalties included."""
+def step_gradient(
+    rows: DataFrame, net: Network, columns: dict[str, str], seed: int = 0, step: int = 0, row_id: str | None = None
+):
+    """Mean loss and mean gradient over the rows of one batch, penalties included. Dropout needs the rows' unique id."""
+    if net.dropout and row_id is None:
+        raise ValueError("dropout is drawn by row: name the row id")
     sc = rows.sparkSession.sparkContext
     shared = sc.broadcast(_plain(net))
     try:
-        parts = rows.select(*columns.values()).mapInArrow(_sum_gradients(shared, columns, seed, step), _BLOCKS)
+        names = dict.fromkeys([*([row_id] if row_id else []), *columns.values()])
+        parts = rows.select(*names).mapInArrow(_sum_gradients(shared, columns, seed, step, row_id), _BLOCKS)
         blocks = sorted(parts.groupBy("block").applyInArrow(_add_blocks, _BLOCKS).collect(), key=lambda b: b["block"])
     finally:
         shared.destroy()
@@ -225,7 +251,7 @@ def store_batches(
     """
     path = scratch_path(df.sparkSession, "batches")
     dealt = rank_batches(shuffle_rows(df, row_id, seed, "position"), "position", batch, world)
-    dealt = dealt.withColumn("chunk", (F.col("batch_id") / batches_per_chunk).cast("int"))
+    dealt = dealt.withColumn("chunk", int_div("batch_id", batches_per_chunk).cast("int"))
     dealt.drop("position", "rank").write.partitionBy("chunk").parquet(path)
     return path, df.sparkSession.read.parquet(path).agg(F.max("batch_id")).first()[0] + 1
 
@@ -240,7 +266,7 @@ def _fit(df, net, columns, row_id, epochs, batch, lr, seed, world, batches_per_c
         order = range(n_batches) if epoch == 0 else rng.permutation(n_batches)
         for k in order:
             rows = stored.where((F.col("chunk") == int(k) // batches_per_chunk) & (F.col("batch_id") == int(k)))
-            loss, slopes, n = step_gradient(rows, net, columns, seed, step)
+            loss, slopes, n = step_gradient(rows, net, columns, seed, step, row_id)
             net = replace(net, weights=optimiser.move(net.weights, slopes), history=[*net.history, (epoch, step, float(loss), n)])
             step += 1
     return net

@@ -7,15 +7,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from gridframe.operators.reshape import array_rank, element_type
 from gridframe.schema import CATALOG, STATS
 
-_VERSIONED = T.StructType([*CATALOG.fields, T.StructField("version", T.IntegerType())])
-
 
 def describe_table(df: DataFrame, step: int, kind: str, shard: str | None = "shard") -> DataFrame:
     """The catalogue entry of a table, from one pass over its lengths: element type, rows, shards, array shapes."""
@@ -26,9 +23,10 @@ def describe_table(df: DataFrame, step: int, kind: str, shard: str | None = "sha
         if name not in arrays:
             measures.append(F.lit(None).cast("array<int>").alias(f"{name}_shape"))
             continue
-        axes = [F.max(F.size(name))]
+        axes = [_one_length(F.size(name), F.size(name), name)]
         if array_rank(df, name) > 1:
-            axes.append(F.max(F.size(F.get(F.col(name), F.lit(0)))))
+            widths = F.transform(name, lambda row: F.size(row))
+            axes.append(_one_length(F.array_min(widths), F.array_max(widths), f"rows of {name}"))
         measures.append(F.array(*axes).alias(f"{name}_shape"))
     entry = df.agg(*measures)
     dtype = {"float": "float32", "double": "float64"}.get(element_type(df, arrays[0]).simpleString())
@@ -36,29 +34,37 @@ def describe_table(df: DataFrame, step: int, kind: str, shard: str | None = "sha
     return entry.select(*[columns.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in CATALOG])
 
 
-def _versions(spark: SparkSession, path: str) -> DataFrame | None:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
-        return None
-    return spark.read.schema(_VERSIONED).parquet(path)
+def _one_length(low: Column, high: Column, what: str) -> Column:
+    """The one length all records share; a ragged table fails the job."""
+    wrong = F.raise_error(F.concat(F.lit(f"{what} differ in length: "), F.min(low), F.lit(" to "), F.max(high)))
+    return F.when(F.min(low) < F.max(high), wrong.cast("int")).otherwise(F.max(high))
+
+
+def _newest(spark: SparkSession, path: str, complete: bool = True) -> int | None:
+    """The newest version that was written to its end, as its success marker says, or that was begun at all."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/version=*" + "/_SUCCESS" * complete)
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
+    folders = [f.getPath().getParent() if complete else f.getPath() for f in found]
+    return max((int(f.getName().partition("=")[2]) for f in folders), default=None)
 
 
 def catalog_upsert(spark: SparkSession, path: str, entries: DataFrame) -> None:
-    """Insert or replace the given (step, kind) entries and keep the others. One writer at a time."""
-    stored = _versions(spark, path)
-    latest = stored.agg(F.max("version")).first()[0] if stored is not None else None
+    """Insert or replace the given (step, kind) entries and keep the others. Of two writers at a time one fails."""
+    latest = _newest(spark, path)
     if latest is not None:
-        kept = stored.where(F.col("version") == latest).drop("version").join(entries, ["step", "kind"], "left_anti")
+        kept = read_catalog(spark, path).join(entries, ["step", "kind"], "left_anti")
         entries = kept.select(*CATALOG.names).unionByName(entries.select(*CATALOG.names))
-    version = 0 if latest is None else latest + 1
-    entries.repartition(1).write.mode("overwrite").parquet(f"{path}/version={version}")
+    begun = _newest(spark, path, complete=False)
+    version = 0 if begun is None else begun + 1
+    entries.repartition(1).write.mode("errorifexists").parquet(f"{path}/version={version}")
 
 
 def read_catalog(spark: SparkSession, path: str) -> DataFrame:
     """Every entry of the newest version."""
-    stored = spark.read.schema(_VERSIONED).parquet(path)
-    newest = stored.agg(F.max("version").alias("version")).scalar()
-    return stored.where(F.col("version") == newest).select(*CATALOG.names)
+    newest = _newest(spark, path)
+    if newest is None:
+        raise FileNotFoundError(path)
+    return spark.read.schema(CATALOG).parquet(f"{path}/version={newest}")
 
 
 def catalog_get(spark: SparkSession, path: str, step: int, kind: str) -> DataFrame:

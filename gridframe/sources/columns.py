@@ -13,7 +13,7 @@ from gridframe.functions.arrays import take_variable, to_unit_per_day
 from gridframe.operators.batches import batches
 from gridframe.operators.index import with_row_id
 from gridframe.operators.normalize import normalize
-from gridframe.schema import COLUMNS, FAMILIES, FLUXES, HEATING_RATES, LAST_TIMESTEP, family_of, variable_index
+from gridframe.schema import COLUMNS, FAMILIES, FLUXES, HEATING_RATES, family_of, variable_index
 
 KEYS = ["timestep", "patch", "date", "column_id"]
 
@@ -28,15 +28,21 @@ def load_columns(
     minimal_outputs: bool = False,
     raw_inputs: bool = False,
     reject_missing: bool = False,
+    all_present: bool = False,
     schema: T.StructType = COLUMNS,
 ) -> DataFrame:
     """Records of the chosen timesteps, patches and date.
 
     ``timestep`` and ``patch`` are partition columns, so the choice is made on directories. Heating rates lie on disk
     per second and are given per day on request. ``minimal_outputs`` keeps the fluxes only; ``raw_inputs`` gives each
-    variable its own column in place of the grouped arrays; ``reject_missing`` fails the job on a missing value.
+    variable its own column in place of the grouped arrays; ``reject_missing`` fails the job on a missing value;
+    ``all_present`` raises an error, from the directories alone, where a wanted timestep or patch is not stored.
     """
+    if hr_units not in ("K s-1", "K d-1"):
+        raise ValueError(f"unknown unit of heating rates: {hr_units}")
     df = spark.read.schema(schema).parquet(root)
+    if all_present:
+        _check_present(df, {"timestep": timesteps, "patch": patches})
     if timesteps is not None:
         df = df.where(F.col("timestep").isin(list(timesteps)))
     if patches is not None:
@@ -52,6 +58,15 @@ def load_columns(
     return reject_nulls(chosen, [c for c in chosen.columns if c not in KEYS]) if reject_missing else chosen
 
 
+def _check_present(df: DataFrame, wanted: dict[str, Sequence[int] | None]) -> None:
+    for name, values in wanted.items():
+        if values is not None:
+            stored = df.select(name).distinct().where(F.col(name).isin(list(values)))
+            missing = sorted(set(values) - {row[0] for row in stored.collect()})
+            if missing:
+                raise ValueError(f"{name} not stored: {missing}")
+
+
 def raw_columns(df: DataFrame) -> list:
     """One column per named variable: a scalar, or a profile over levels."""
     picked = []
@@ -71,10 +86,11 @@ def pick_variable(df: DataFrame, name: str) -> DataFrame:
     return df.withColumn(name, F.col(family)[index] if flat else take_variable(family, index))
 
 
-def every_nth(df: DataFrame, step: int, low: int = 0, high: int = LAST_TIMESTEP, column: str = "timestep") -> DataFrame:
-    """Values low, low + step, ... up to high (inclusive)."""
+def every_nth(df: DataFrame, step: int, low: int = 0, high: int | None = None, column: str = "timestep") -> DataFrame:
+    """Values low, low + step, ... up to high (inclusive), or without an end."""
     t = F.col(column)
-    return df.where(t.between(low, high) & ((t - low) % step == 0))
+    within = t >= low if high is None else t.between(low, high)
+    return df.where(within & ((t - low) % step == 0))
 
 
 def load_batched(

@@ -127,6 +127,8 @@ def write_graphs(
     """
     if "shard" not in features.columns:
         n_columns = features.count() if n_columns is None else n_columns
+        if n_columns % num_shards:
+            raise ValueError(f"{n_columns} rows cannot be cut into {num_shards} equal shards")
         features = rechunk_rows(features, row_id, n_columns // num_shards, num_shards)
     for name, build in (("nodes", graph_nodes), ("edges", graph_edges)):
         _writer(build(features, ("shard", row_id)), mode).partitionBy("shard").parquet(f"{path}/{name}")
