@@ -12,7 +12,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridframe.llm.components import components
@@ -25,7 +26,8 @@ NUM, DEN = 4, 5
 SLACK = 1.2
 #: Groups of up to this many sets give all pairs at once.
 SMALL = 16
-SKETCH_BITS = 1024
+#: Bits of the map of documents whose sets are fetched, per document and at most (32 MB).
+MAP_BITS, MOST_MAP_BITS = 16, 1 << 28
 
 _BITS = np.uint64((1 << 48) - 1)
 _PACKED = "bucket int, entries binary, docs binary, doc_id long, n int, d1 long, d2 long, sketch array<long>"
@@ -108,6 +110,20 @@ def _signatures(doc: np.ndarray, value: np.ndarray, n: np.ndarray, upper: bool)
     return owner[keep], signature[keep]
 
 
+def _sketches(doc: np.ndarray, value: np.ndarray, n: np.ndarray) -> pa.Array:
+    """Parities of the elements in each of 2^i places, two for each element or more, as words of 64 bits.
+
+    Two sets differ in at least as many elements as their sketches in bits. Folding a sketch in half, by exclusive or,
+    gives the sketch of half the length.
+    """
+    bits = 1 << np.maximum(np.ceil(np.log2(np.maximum(2 * n, 1))).astype("int64"), 6)
+    ends = np.append(0, np.cumsum(bits))
+    place = ends[doc] + (value & (bits[doc] - 1).astype("uint64")).astype("int64")
+    parity = (np.bincount(place, minlength=int(ends[-1])) & 1).astype("uint8")
+    words = np.packbits(parity, bitorder="little").view("int64")
+    return pa.ListArray.from_arrays((ends // 64).astype("int32"), pa.array(words))
+
+
 def _pack(buckets: int):
     """Each slice's signatures, one row per bucket, and one row per document with size, digest and sketch."""
 
@@ -119,10 +135,7 @@ def _pack(buckets: int):
                 n = np.bincount(doc, minlength=len(ids))
                 d1 = _sum(mix(value + np.uint64(1 << 50)), doc, len(ids))
                 d2 = _sum(mix(value + np.uint64(1 << 51)), doc, len(ids))
-                bits = np.bincount(doc * SKETCH_BITS + (value & np.uint64(SKETCH_BITS - 1)).astype("int64"), minlength=len(ids) * SKETCH_BITS)
-                sketch = np.packbits((bits & 1).astype("uint8"), bitorder="little").view("int64")
-                width = SKETCH_BITS // 64
-                lists = pa.ListArray.from_arrays(np.arange(0, len(ids) * width + 1, width, dtype="int32"), pa.array(sketch))
+                lists = _sketches(doc, value, n)
                 spread = (mix(ids.view("uint64")) % np.uint64(buckets)).astype("int32")
                 nothing = pa.nulls(len(ids), pa.binary())
                 yield pa.RecordBatch.from_arrays(
@@ -238,7 +251,9 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def pairs(table: pa.Table) -> Iterator[pa.RecordBatch]:
         table = table.combine_chunks()
         doc, part, n = (table[c].to_numpy() for c in ("doc", "component", "n"))
-        flat = table["sketch"].chunk(0).flatten().to_numpy().view("uint64").reshape(len(doc), -1)
+        words = [np.array(x, dtype="int64").view("uint64") for x in table["sketch"].to_pylist()]
+        shortest = min(map(len, words))
+        flat = np.array([np.bitwise_xor.reduce(x.reshape(-1, shortest), axis=0) for x in words])
         for i in range(len(doc) - 1):
             rest = slice(i + 1, None)
             fits = (part[rest] != part[i]) & (NUM * np.maximum(n[rest], n[i]) <= DEN * np.minimum(n[rest], n[i]))
@@ -267,34 +282,78 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from pairs(held)
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part in _slices(batch):
-            doc, value = shingle_sets(part.column("text"))
-            ends = np.searchsorted(doc, np.arange(part.num_rows + 1)).astype("int32")
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.ListArray.from_arrays(ends, pa.array(value.view("int64")))], names=["doc_id", "items"]
-            )
+def _sets(wanted: np.ndarray):
+    """Sets of the documents whose place in the map is wanted."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            chosen = batch.filter(pa.array(wanted[batch.column("place").to_numpy()]))
+            for part in _slices(chosen):
+                doc, value = shingle_sets(part.column("text"))
+                ends = np.searchsorted(doc, np.arange(part.num_rows + 1)).astype("int32")
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), pa.ListArray.from_arrays(ends, pa.array(value.view("int64")))], names=["doc_id", "items"]
+                )
+
+    return run
+
+
+def _place(column: str, bits: int) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(bits))
 
 
 def _linked(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs whose sets are similar enough, by their intersection."""
-    need = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    sets = docs.join(need, "doc_id", "left_semi").mapInArrow(_sets, "doc_id long, items array<long>")
+    """The pairs whose sets are similar enough, by their intersection.
+
+    A bit map of bounded size tells which documents may be in a pair; only their sets are made and shuffled. Where the
+    map is too small for the pairs, more sets move and the result is the same, as the join is by id.
+    """
+    need = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b"))
+    wish = MAP_BITS * max(need.count(), 1)
+    bits = min(MOST_MAP_BITS, max(1 << 15, 1 << (wish - 1).bit_length()))
+    place = _place("doc_id", bits)
+    maps = need.groupBy(F.bitmap_bucket_number(place + 1).alias("n")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place + 1)).alias("bits"))
+    wanted = np.zeros(bits + (1 << 15), dtype=bool)
+    for row in maps.collect():
+        start = (row["n"] - 1) << 15
+        wanted[start : start + (1 << 15)] = np.unpackbits(np.frombuffer(row["bits"], dtype="uint8"), bitorder="little")
+    shared = np.packbits(wanted)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _sets(np.unpackbits(shared).astype(bool))(batches)
+
+    sets = docs.select("doc_id", "text", place.alias("place")).mapInArrow(run, "doc_id long, items array<long>")
     left = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("items").alias("x")), "a")
     both = left.join(sets.select(F.col("doc_id").alias("b"), F.col("items").alias("y")), "b")
     common = F.size(F.array_intersect("x", "y"))
-    return both.where(DEN * common >= NUM * (F.size("x") + F.size("y") - common)).select("a", "b")
+    return both.where(DEN * common >= NUM * (F.size("x") + F.size("y") - common)).select("a", "b").distinct()
+
+
+def _folded(sketch: Column, other: Column) -> Column:
+    """A sketch at the length of the other, if that is half of it; sizes of possible links do not lie further apart."""
+    half = (F.size(sketch) / 2).cast("int")
+    return F.when(
+        F.size(sketch) > F.size(other),
+        F.zip_with(F.slice(sketch, 1, half), F.slice(sketch, half + 1, half), lambda x, y: x.bitwiseXOR(y)),
+    ).otherwise(sketch)
 
 
 def _possible(pairs: DataFrame, info: DataFrame) -> DataFrame:
     """Pairs of different sets whose sizes and parity sketches leave a link possible."""
     side = lambda s: info.select(F.col("doc").alias(s), F.col("n").alias(f"n{s}"), F.col("sketch").alias(f"s{s}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
-    bits = F.zip_with("sa", "sb", lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("int"))
-    apart = F.aggregate(bits, F.lit(0), lambda x, y: x + y)
     sizes = NUM * F.greatest("na", "nb") <= DEN * F.least("na", "nb")
-    return both.where(sizes & ((DEN + NUM) * apart <= (DEN - NUM) * (F.col("na") + F.col("nb")))).select("a", "b")
+    both = pairs.join(side("a"), "a").join(side("b"), "b").where(sizes)
+    a, b = _folded(F.col("sa"), F.col("sb")), _folded(F.col("sb"), F.col("sa"))
+    apart = F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("int")), F.lit(0), lambda x, y: x + y)
+    return both.where((DEN + NUM) * apart <= (DEN - NUM) * (F.col("na") + F.col("nb"))).select("a", "b")
+
+
+def _apart(pairs: DataFrame, parts: DataFrame) -> DataFrame:
+    """The pairs that do not lie in one component yet."""
+    for side in ("a", "b"):
+        named = parts.select(F.col("node").alias(side), F.col("component").alias(f"c{side}"))
+        pairs = pairs.join(named, side, "left").withColumn(f"c{side}", F.coalesce(f"c{side}", side))
+    return pairs.where("ca <> cb").select("a", "b")
 
 
 def similar_components(docs: DataFrame, buckets: int | None = None) -> DataFrame:
@@ -304,6 +363,7 @@ def similar_components(docs: DataFrame, buckets: int | None = None) -> DataFrame
     equal id count as one document each; null ids have a null component. Other columns are ignored.
 
     Signatures travel packed, one row per slice of documents and bucket. Equal sets meet by a digest, never as pairs.
+    The signature matches are kept on the executors' disks while they are read; a lost part is made again.
     Signature groups of up to SMALL sets give all pairs; larger ones give pairs with their first set, and, once linked
     sets share a component, every pair across the components that are left. So no link is lost, and a group of near
     copies is compared once per set and signature at most. Sizes and parity sketches rule out pairs before sets are
@@ -315,7 +375,7 @@ def similar_components(docs: DataFrame, buckets: int | None = None) -> DataFrame
     known = docs.where("doc_id IS NOT NULL")
     packed = known.mapInArrow(_pack(buckets), _PACKED)
     dealt = packed.repartitionById(buckets, F.col("bucket")).sortWithinPartitions("bucket")
-    found = cut(dealt.mapInArrow(_match, _FOUND))
+    found = dealt.mapInArrow(_match, _FOUND).persist(StorageLevel.DISK_ONLY)
 
     info = found.where(f"kind = {INFO}").select(F.col("a").alias("doc_id"), "n", "d1", "d2", "sketch")
     digest = F.struct("n", "d1", "d2")
@@ -330,8 +390,15 @@ def similar_components(docs: DataFrame, buckets: int | None = None) -> DataFrame
     pairs = found.where(f"kind = {PAIR}").select("a", "b").distinct()
     pairs = by_head(by_head(pairs, "a"), "b").where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     texts = known.where("text IS NOT NULL")
-    edges = cut(_linked(cut(_possible(pairs.distinct(), heads)), texts))
+    possible = cut(_possible(pairs.distinct(), heads))
+    # One partner for each set first; the other pairs only where that has left them apart.
+    tried = cut(possible.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
+    edges = cut(_linked(tried, texts))
     parts = components(edges)
+    others = cut(_apart(possible.join(tried, ["a", "b"], "left_anti"), parts))
+    if not others.isEmpty():
+        edges = cut(edges.union(_linked(others, texts)))
+        parts = components(edges)
 
     groups = by_head(found.where(f"kind = {GROUP}").select(F.col("a").alias("sig"), "b"), "b").distinct()
     groups = groups.withColumnRenamed("b", "doc").join(parts.withColumnRenamed("node", "doc"), "doc", "left")
@@ -341,9 +408,10 @@ def similar_components(docs: DataFrame, buckets: int | None = None) -> DataFrame
     across = rest.repartition("sig").sortWithinPartitions("sig").mapInArrow(_across, "a long, b long")
     more = cut(across.distinct())
     if not more.isEmpty():
-        edges = cut(edges.union(_linked(more, texts)).distinct())
+        edges = cut(edges.union(_linked(more, texts)))
         parts = components(edges)
     named = member.join(parts.select(F.col("node").alias("doc"), "component"), "doc", "left")
+    found.unpersist()
     # A component's name is its smallest set head, and a head is the smallest document of its set.
     named = named.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "doc", "doc_id").alias("component_id"))
     unknown = docs.where("doc_id IS NULL").mapInArrow(_counted, "doc_id long, n_shingles long, component_id long")
