@@ -40,8 +40,8 @@ def _pairs(spark, sf):
 _RATE = "CAST(0.05 AS DOUBLE)"
 
 
-def _adam(n: int, name: str) -> str:
-    """Weight ``name`` after step n from its gradients g1..gn (n is 1 or 2)."""
+def _adam(n: int, name: str, rate: str = _RATE) -> str:
+    """What step n takes off weight ``name``, from its gradients g1..gn (n is 1 or 2)."""
     b1, b2 = "CAST(0.9 AS DOUBLE)", "CAST(0.999 AS DOUBLE)"
     if n == 1:
         m, v, c1, c2 = f"(1 - {b1}) * {name}g1", f"(1 - {b2}) * {name}g1 * {name}g1", f"(1 - {b1})", f"(1 - {b2})"
@@ -49,26 +49,42 @@ def _adam(n: int, name: str) -> str:
         m = f"((1 - {b1}) * {name}g2 + {b1} * (1 - {b1}) * {name}g1)"
         v = f"((1 - {b2}) * {name}g2 * {name}g2 + {b2} * (1 - {b2}) * {name}g1 * {name}g1)"
         c1, c2 = f"(1 - {b1} * {b1})", f"(1 - {b2} * {b2})"
-    return f"{_RATE} * ({m} / {c1}) / (sqrt({v} / {c2}) + CAST(1e-8 AS DOUBLE))"
+    return f"{rate} * ({m} / {c1}) / (sqrt({v} / {c2}) + CAST(1e-8 AS DOUBLE))"
+
+
+def _two_steps(source: str, rates: str | None = None) -> str:
+    """Two Adam steps of y = w x + b from zero over the rows of ``source`` (key, x, y), each on half of them; with
+    ``rates`` (a relation lr) once for every rate."""
+    by = "trial_id, lr, " if rates else ""
+    rate = "lr" if rates else _RATE
+    also = f", {rates}" if rates else ""
+    group = "GROUP BY ALL" if rates else ""
+    return f"""s AS (SELECT avg(x) AS m, stddev_pop(x) AS d, count(*) AS n FROM {source}),
+  p AS (SELECT (x - m) / (d + CAST(1e-8 AS DOUBLE)) AS x, y, n, row_number() OVER (ORDER BY md5('42-' || key), key) - 1 AS pos FROM {source}, s),
+  r AS (SELECT x, y, pos // 4 // ((n + 7) // 8) AS batch FROM p),
+  a AS (SELECT {by}avg(2 * (0 - y) * x) AS wg1, avg(2 * (0 - y)) AS bg1, avg(y * y) AS l1, count(*) AS n1 FROM r{also} WHERE batch = 0 {group}),
+  w1 AS (SELECT *, 0 - {_adam(1, 'w', rate)} AS w, 0 - {_adam(1, 'b', rate)} AS b FROM a),
+  c AS (SELECT {by}wg1, bg1, l1, n1, w, b, avg(2 * (w * x + b - y) * x) AS wg2, avg(2 * (w * x + b - y)) AS bg2,
+    avg((w * x + b - y) * (w * x + b - y)) AS l2, count(*) AS n2 FROM r, w1 WHERE batch = 1 GROUP BY ALL),
+  f AS (SELECT {by}l1, n1, l2, n2, w - {_adam(2, 'w', rate)} AS w2, b - {_adam(2, 'b', rate)} AS b2 FROM c)"""
 
 
-@query("m1_fit_mlp", f"""WITH s AS (SELECT avg(CAST(o_custkey AS DOUBLE)) AS m, stddev_pop(CAST(o_custkey AS DOUBLE)) AS d, count(*) AS n FROM orders),
-  p AS (SELECT (o_custkey - m) / (d + CAST(1e-8 AS DOUBLE)) AS x, o_totalprice / 100000 AS y, n,
-    row_number() OVER (ORDER BY md5('42-' || o_orderkey), o_orderkey) - 1 AS pos FROM orders, s),
-  r AS (SELECT x, y, pos // 4 // ((n + 7) // 8) AS batch FROM p),
-  a AS (SELECT avg(2 * (0 - y) * x) AS wg1, avg(2 * (0 - y)) AS bg1, avg(y * y) AS l1, count(*) AS n1 FROM r WHERE batch = 0),
-  w1 AS (SELECT *, 0 - {_adam(1, 'w')} AS w, 0 - {_adam(1, 'b')} AS b FROM a),
-  c AS (SELECT avg(2 * (w * x + b - y) * x) AS wg2, avg(2 * (w * x + b - y)) AS bg2, avg((w * x + b - y) * (w * x + b - y)) AS l2, count(*) AS n2
-    FROM r, w1 WHERE batch = 1),
-  f AS (SELECT l1, n1, l2, n2, w - {_adam(2, 'w')} AS w2, b - {_adam(2, 'b')} AS b2, w, b FROM w1, c)
+_ORDERS = "o AS (SELECT o_orderkey AS key, CAST(o_custkey AS DOUBLE) AS x, o_totalprice / 100000 AS y FROM orders)"
+_LOSS = "avg((w2 * (x - m) / (d + CAST(1e-8 AS DOUBLE)) + b2 - y) * (w2 * (x - m) / (d + CAST(1e-8 AS DOUBLE)) + b2 - y))"
+
+
+def _fit_line(df, **more):
+    start = [np.zeros((1, 1)), np.zeros(1)]
+    half = (df.count() + 7) // 8 * 4
+    given = {"lr": 0.05, **more}
+    return learn.fit_mlp(df, "x", "y", "o_orderkey", moments.position_moments(df, ["x"]), hidden=(), batch=half, world=4, weights=start, **given)
+
+
+@query("m1_fit_mlp", f"""WITH {_ORDERS}, {_two_steps('o')}
   SELECT CAST(0 AS BIGINT) AS step, n1 AS n_rows, {sql_rnd('l1', 5)} AS loss, {sql_rnd('w2', 5)} AS slope, {sql_rnd('b2', 5)} AS shift FROM f
   UNION ALL SELECT 1, n2, {sql_rnd('l2', 5)}, {sql_rnd('w2', 5)}, {sql_rnd('b2', 5)} FROM f""")
 def _(spark, sf):
-    df = _pairs(spark, sf)
-    stats = moments.position_moments(df, ["x"])
-    start = [np.zeros((1, 1)), np.zeros(1)]
-    half = (df.count() + 7) // 8 * 4
-    net = learn.fit_mlp(df, "x", "y", "o_orderkey", stats, hidden=(), batch=half, lr=0.05, world=4, weights=start)
+    net = _fit_line(_pairs(spark, sf))
     lines = [(step, n, loss) for _, step, loss, n in net.history]
     history = spark.createDataFrame(lines, "step bigint, n_rows bigint, loss double")
     return history.select(
@@ -77,17 +93,54 @@ def _(spark, sf):
     )
 
 
-def _history(spark, net):
-    lines = [(epoch, step, loss, n) for epoch, step, loss, n in net.history]
-    return spark.createDataFrame(lines, "epoch bigint, step bigint, loss double, n_rows bigint")
+@query("m1_fit_with_validation", f"""WITH {_ORDERS}, {_two_steps('o')}
+  SELECT CAST(0 AS BIGINT) AS epoch, 'train_loss' AS name, {sql_rnd('(l1 * n1 + l2 * n2) / (n1 + n2)', 5)} AS value FROM f
+  UNION ALL SELECT 0, 'val_loss', {sql_rnd(_LOSS, 5)} FROM o, s, f WHERE key % 10 = 0
+  UNION ALL SELECT 0, 'test_loss', {sql_rnd(_LOSS, 5)} FROM o, s, f WHERE key % 10 = 1""")
+def _(spark, sf):
+    df = _pairs(spark, sf)
+    held = {"val": df.where("o_orderkey % 10 = 0"), "test": df.where("o_orderkey % 10 = 1")}
+    reports = spark.createDataFrame(_fit_line(df, validation=held).reports, "epoch bigint, name string, value double")
+    return reports.withColumn("value", rnd(F.col("value"), 5))
 
 
-@query("m1_fit_mlp_hidden")
+_HIDDEN = [np.array([[0.6, -0.4]]), np.array([0.1, 0.2]), np.array([[0.5], [-0.8]]), np.array([0.3])]
+
+
+def _unit(k: int) -> str:
+    """Value and slope of hidden unit k."""
+    z = f"(CAST({_HIDDEN[0][0, k]} AS DOUBLE) * x + CAST({_HIDDEN[1][k]} AS DOUBLE))"
+    gate = f"(1 / (1 + exp(0 - {z})))"
+    return f"{z} * {gate} AS h{k}, {gate} + {z} * {gate} * (1 - {gate}) AS d{k}"
+
+
+_SLOPES = {
+    "w00": ("avg(e * CAST(0.5 AS DOUBLE) * d0 * x)", 0.6), "w01": ("avg(e * CAST(-0.8 AS DOUBLE) * d1 * x)", -0.4),
+    "b00": ("avg(e * CAST(0.5 AS DOUBLE) * d0)", 0.1), "b01": ("avg(e * CAST(-0.8 AS DOUBLE) * d1)", 0.2),
+    "w10": ("avg(e * h0)", 0.5), "w11": ("avg(e * h1)", -0.8), "b10": ("avg(e)", 0.3),
+}
+
+
+@query("m1_fit_mlp_hidden", f"""WITH {_ORDERS}, s AS (SELECT avg(x) AS m, stddev_pop(x) AS d FROM o),
+  p AS (SELECT (x - m) / (d + CAST(1e-8 AS DOUBLE)) AS x, y FROM o, s),
+  u AS (SELECT x, y, {_unit(0)}, {_unit(1)} FROM p),
+  g AS (SELECT *, 2 * (h0 * CAST(0.5 AS DOUBLE) - h1 * CAST(0.8 AS DOUBLE) + CAST(0.3 AS DOUBLE) - y) AS e FROM u),
+  t AS (SELECT avg(e * e / 4) AS loss, {', '.join(f'{v} AS {k}' for k, (v, _) in _SLOPES.items())} FROM g)
+  SELECT 'loss' AS name, {sql_rnd('loss', 5)} AS value FROM t UNION ALL
+  {' UNION ALL '.join(f"SELECT '{k}', {sql_rnd(f'{w} - {_RATE} * {k} / (abs({k}) + CAST(1e-8 AS DOUBLE))', 5)} FROM t" for k, (_, w) in _SLOPES.items())}""")
 def _(spark, sf):
-    flat = reshape.flattened(columns(spark, sf))
-    stats = moments.position_moments(flat, ["x"])
-    net = learn.fit_mlp(flat, "x", "y", "column_id", stats, epochs=2, batch=256, lr=1e-3, world=4)
-    return _history(spark, net)
+    """Two hidden units, one step over all orders."""
+    df = _pairs(spark, sf)
+    stats = moments.position_moments(df, ["x"])
+    net = learn.fit_mlp(df, "x", "y", "o_orderkey", stats, hidden=(2,), batch=(df.count() + 3) // 4 * 4, lr=0.05, world=4, weights=_HIDDEN)
+    values = np.concatenate([[net.history[0][2]], *[w.ravel() for w in net.weights]]).tolist()
+    rows = spark.createDataFrame(list(zip(["loss", *_SLOPES], values)), "name string, value double")
+    return rows.withColumn("value", rnd(F.col("value"), 5))
+
+
+def _history(spark, net):
+    lines = [(epoch, step, loss, n) for epoch, step, loss, n in net.history]
+    return spark.createDataFrame(lines, "epoch bigint, step bigint, loss double, n_rows bigint")
 
 
 # -- scoring with given weights --------------------------------------------------------------------------------------
@@ -121,13 +174,15 @@ def _(spark, sf):
     return out.withColumn("mse", rnd(F.col("mse")))
 
 
-@query("m3_fit_and_evaluate")
+@query("m3_fit_and_evaluate", f"""WITH {_ORDERS}, ranked AS (SELECT *, row_number() OVER (ORDER BY md5('42-' || key), key) - 1 AS place, count(*) OVER () AS total FROM o),
+  parts AS (SELECT key, x, y, CASE WHEN place < total * 8 // 10 THEN 'train' WHEN place < total * 8 // 10 + total // 10 THEN 'val' ELSE 'test' END AS stage FROM ranked),
+  fitted AS (SELECT key, x, y FROM parts WHERE stage = 'train'), {_two_steps('fitted')}
+  SELECT stage, count(*) AS n, {sql_rnd(_LOSS, 5)} AS mse FROM parts, s, f GROUP BY stage""")
 def _(spark, sf):
-    flat = split.random_split(reshape.flattened(columns(spark, sf)), "column_id", 42)
-    train = flat.where(F.col("split") == "train").drop("split")
-    net = learn.fit_mlp(train, "x", "y", "column_id", moments.position_moments(train, ["x"]), batch=200, lr=1e-3, world=4)
-    stages = [learn.evaluate(flat.where(F.col("split") == s), net, "x", "y", s) for s in ("train", "val", "test")]
-    return stages[0].unionByName(stages[1]).unionByName(stages[2])
+    parts = split.random_split(_pairs(spark, sf), "o_orderkey", 42)
+    net = _fit_line(parts.where(F.col("split") == "train").drop("split"))
+    stages = [learn.evaluate(parts.where(F.col("split") == s), net, "x", "y", s) for s in ("train", "val", "test")]
+    return stages[0].unionByName(stages[1]).unionByName(stages[2]).withColumn("mse", rnd(F.col("mse"), 5))
 
 
 # -- flux heads ------------------------------------------------------------------------------------------------------
@@ -217,18 +272,22 @@ def _(spark, sf):
     return history.withColumn("value", rnd(F.col("value")))
 
 
-@query("o2_train_trials")
+@query("o2_train_trials", f"""WITH {_ORDERS}, rates AS (SELECT i AS trial_id, CAST([0.01, 0.05, 0.2][i + 1] AS DOUBLE) AS lr FROM range(3) r(i)),
+  {_two_steps('o', 'rates')}
+  SELECT trial_id, CAST(1 AS BIGINT) AS iteration, 'train_loss' AS name, {sql_rnd('l1', 5)} AS value FROM f
+  UNION ALL SELECT trial_id, 2, 'train_loss', {sql_rnd('l2', 5)} FROM f""")
 def _(spark, sf):
-    flat = reshape.flattened(columns(spark, sf)).persist()
-    stats = moments.position_moments(flat, ["x"]).persist()
-    space = {"lr": trials.loguniform(1e-4, 1e-2), "width": trials.choice([8, 16])}
-    drawn = trials.sample_space(spark.range(2).withColumnRenamed("id", "trial_id"), space, seed=1)
+    """A grid of learning rates, each fitted to the same stored batches."""
+    df = _pairs(spark, sf)
+    half = (df.count() + 7) // 8 * 4
+    grid = trials.sample_space(spark.range(1).withColumnRenamed("id", "trial_id"), {"lr": trials.grid_search([0.01, 0.05, 0.2])}, seed=1)
+    drawn = grid.select(F.col("grid_id").cast("bigint").alias("trial_id"), "lr")
+    stored = learn.store_batches(df, "o_orderkey", half, 42, 4)
 
     def fit(params):
-        net = learn.fit_mlp(flat, "x", "y", "column_id", stats, hidden=(params["width"],), batch=256, lr=params["lr"], world=4)
+        net = _fit_line(df, lr=params["lr"], stored=stored)
         return [(step + 1, "train_loss", loss) for _, step, loss, _ in net.history]
 
     history = search.train_trials(drawn, fit, at_once=2)
-    flat.unpersist()
-    stats.unpersist()
-    return history
+    stored.remove(spark)
+    return history.withColumn("value", rnd(F.col("value"), 5))

@@ -1,6 +1,6 @@
 """Regression training and scoring as Spark jobs.
 
-Rows are shuffled once and stored batch by batch in the shared folder. A training step reads the directory of its batch,
+Rows are shuffled once and stored by rank in the shared folder. A training step reads its batch from every rank's files,
 every task sums the gradient of its rows, the sums are added block by block in parallel, and the driver, which holds
 nothing but the weights, moves them and sends them out again.
 """
@@ -12,7 +12,7 @@ from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,7 +24,7 @@ from gridframe.operators.batches import rank_batches
 from gridframe.operators.index import shuffle_rows
 from gridframe.operators.normalize import EPSILON
 from gridframe.schema import HALF_LEVELS
-from gridframe.session import scratch_path
+from gridframe.session import delete_path, scratch_path
 
 # Values of one block of summed gradients: what one reducing task holds at a time.
 BLOCK = 8192
@@ -46,11 +46,12 @@ class Network:
     levels: int | None = None
     loss_weights: dict[str, float] = field(default_factory=dict)
     history: list[tuple[int, int, float, int]] = field(default_factory=list)
+    reports: list[tuple[int, str, float]] = field(default_factory=list)
 
 
 def _plain(net: Network) -> dict:
     """What tasks need of a network, in types that every executor knows."""
-    return {k: v for k, v in vars(net).items() if k != "history"}
+    return {k: v for k, v in vars(net).items() if k not in ("history", "reports")}
 
 
 def initial_weights(sizes: Sequence[int], seed: int, he: bool = False) -> list[np.ndarray]:
@@ -242,34 +243,82 @@ class Adam:
         ]
 
 
+@dataclass(frozen=True)
+class StoredBatches:
+    """Rows dealt into batches and stored by rank: ``world`` directories, each sorted by batch."""
+
+    path: str
+    n_batches: int
+
+    def rows(self, spark: SparkSession, batch: int) -> DataFrame:
+        """One batch: a task for each rank at least, which skips the pages of other batches by their statistics."""
+        return spark.read.parquet(self.path).where(F.col("batch_id") == batch)
+
+    def remove(self, spark: SparkSession) -> None:
+        delete_path(spark, self.path)
+
+
 def store_batches(
-    df: DataFrame, row_id: str, batch: int, seed: int, world: int = 1, batches_per_chunk: int = 1
-) -> tuple[str, int]:
-    """Rows in shuffled order, dealt into batches and stored with one directory per chunk of batches.
+    df: DataFrame, row_id: str, batch: int, seed: int, world: int = 1, files_per_rank: int = 1
+) -> StoredBatches:
+    """Rows in shuffled order, dealt to ``world`` ranks and into batches, and stored by rank.
 
-    Gives the path and the number of batches. The shuffle leaves rows in order, so writing moves none.
+    There is one directory per rank however many batches there are; a rank's rows lie in ``files_per_rank`` files of
+    consecutive batches (raise it where a rank holds more than a task should write).
     """
-    path = scratch_path(df.sparkSession, "batches")
+    spark = df.sparkSession
+    path = scratch_path(spark, "batches")
     dealt = rank_batches(shuffle_rows(df, row_id, seed, "position"), "position", batch, world)
-    dealt = dealt.withColumn("chunk", int_div("batch_id", batches_per_chunk).cast("int"))
-    dealt.drop("position", "rank").write.partitionBy("chunk").parquet(path)
-    return path, df.sparkSession.read.parquet(path).agg(F.max("batch_id")).first()[0] + 1
+    # The last position tells the number of batches, from ids alone.
+    n_batches = -(-(-(-df.select(row_id).count() // world)) // (batch // world))
+    part = int_div(F.col("batch_id") * files_per_rank, max(n_batches, 1)).cast("int")
+    file = F.col("rank").cast("int") * files_per_rank + part
+    laid_out = dealt.drop("position").withColumn("_file", file).repartitionById(world * files_per_rank, F.col("_file"))
+    laid_out.drop("_file").sortWithinPartitions("rank", "batch_id", row_id).write.partitionBy("rank").parquet(path)
+    return StoredBatches(path, n_batches)
 
 
-def _fit(df, net, columns, row_id, epochs, batch, lr, seed, world, batches_per_chunk) -> Network:
+def _fit(df, net, columns, row_id, epochs, batch, lr, seed, world, files_per_rank, stored, validation) -> Network:
+    spark = df.sparkSession
     kept = df.select(row_id, *dict.fromkeys(columns.values()))
-    path, n_batches = store_batches(kept, row_id, batch, seed, world, batches_per_chunk)
-    stored = df.sparkSession.read.parquet(path)
+    own = store_batches(kept, row_id, batch, seed, world, files_per_rank) if stored is None else stored
     optimiser, step, rng = Adam(lr), 0, np.random.default_rng(seed)
-    for epoch in range(epochs):
-        # Later epochs take the stored batches in another order.
-        order = range(n_batches) if epoch == 0 else rng.permutation(n_batches)
-        for k in order:
-            rows = stored.where((F.col("chunk") == int(k) // batches_per_chunk) & (F.col("batch_id") == int(k)))
-            loss, slopes, n = step_gradient(rows, net, columns, seed, step, row_id)
-            net = replace(net, weights=optimiser.move(net.weights, slopes), history=[*net.history, (epoch, step, float(loss), n)])
-            step += 1
-    return net
+    history, reports = list(net.history), list(net.reports)
+    try:
+        for epoch in range(epochs):
+            # Later epochs take the stored batches in another order.
+            order = range(own.n_batches) if epoch == 0 else rng.permutation(own.n_batches)
+            losses, rows = 0.0, 0
+            for k in order:
+                loss, slopes, n = step_gradient(own.rows(spark, int(k)), net, columns, seed, step, row_id)
+                net = replace(net, weights=optimiser.move(net.weights, slopes))
+                history.append((epoch, step, float(loss), n))
+                losses, rows, step = losses + float(loss) * n, rows + n, step + 1
+            reports.append((epoch, "train_loss", losses / max(rows, 1)))
+            for name, held_out in (validation or {}).items():
+                reports.append((epoch, f"{name}_loss", mean_loss(held_out, net, columns)))
+    finally:
+        if stored is None:
+            own.remove(spark)
+    return replace(net, history=history, reports=reports)
+
+
+def mean_loss(df: DataFrame, net: Network, columns: dict[str, str]) -> float:
+    """The loss of training without penalties and dropout, over all rows: one row per task reaches the driver's sum."""
+    shared = df.sparkSession.sparkContext.broadcast(_plain(net))
+
+    def run(batches):
+        net, loss, rows = Network(**shared.value), 0.0, 0
+        for batch in batches:
+            if batch.num_rows:
+                data = {key: matrix(batch.column(name)) for key, name in columns.items()}
+                loss += loss_and_slope(net, forward(net, data.pop("x"))[0], data)[0]
+                rows += batch.num_rows
+        yield pa.RecordBatch.from_pydict({"loss": [loss], "n_rows": pa.array([rows], pa.int64())})
+
+    sums = df.select(*dict.fromkeys(columns.values())).mapInArrow(run, "loss double, n_rows bigint")
+    total = sums.agg(F.sum("loss").alias("loss"), F.sum("n_rows").alias("n")).first()
+    return total["loss"] / total["n"] if total["n"] else float("nan")
 
 
 def _record_stats(stats: DataFrame | None, array: str):
@@ -293,15 +342,23 @@ def fit_mlp(
     seed: int = 42,
     world: int = 1,
     weights: list[np.ndarray] | None = None,
-    batches_per_chunk: int = 1,
+    files_per_rank: int = 1,
+    stored: StoredBatches | None = None,
+    validation: dict[str, DataFrame] | None = None,
 ) -> Network:
-    """Normalise, dense layers with SiLU, a linear layer; mean squared error, one update per batch over all tasks."""
+    """Normalise, dense layers with SiLU, a linear layer; mean squared error, one update per batch over all tasks.
+
+    A batch is dealt to ``world`` ranks, and a step is one job of as many tasks; so the batch should grow with
+    ``world``. The stored rows go when training ends; ``stored`` (from ``store_batches``) is used instead and stays, for
+    several fits over the same rows. After each epoch the training loss and the loss on each frame of ``validation``
+    are added to ``reports`` as (epoch, ``train_loss`` or ``{name}_loss``, value).
+    """
     mean, std = _record_stats(stats, x)
     if weights is None:
         lengths = df.select(F.size(x), F.size(y)).first()
         weights = initial_weights([lengths[0], *hidden, lengths[1]], seed)
     net = Network(weights, mean, std)
-    return _fit(df, net, {"x": x, "y": y}, row_id, epochs, batch, lr, seed, world, batches_per_chunk)
+    return _fit(df, net, {"x": x, "y": y}, row_id, epochs, batch, lr, seed, world, files_per_rank, stored, validation)
 
 
 def fit_flux_heads(
@@ -322,7 +379,9 @@ def fit_flux_heads(
     seed: int = 42,
     world: int = 1,
     loss_weights: dict[str, float] | None = None,
-    batches_per_chunk: int = 1,
+    files_per_rank: int = 1,
+    stored: StoredBatches | None = None,
+    validation: dict[str, DataFrame] | None = None,
 ) -> Network:
     """Dense layers with penalties and dropout, two heads of levels x 2 fluxes, and the heating rates they imply.
 
@@ -332,7 +391,7 @@ def fit_flux_heads(
     n_in = df.select(F.size(x)).first()[0]
     weights = initial_weights([n_in, *[width] * depth, 4 * levels], seed, he=True)
     net = Network(weights, mean, std, dropout, l1, l2, levels, loss_weights or {})
-    return _fit(df, net, {"x": x, **targets}, row_id, epochs, batch, lr, seed, world, batches_per_chunk)
+    return _fit(df, net, {"x": x, **targets}, row_id, epochs, batch, lr, seed, world, files_per_rank, stored, validation)
 
 
 def _score(net_b, x: str, pressure: str | None) -> Callable:

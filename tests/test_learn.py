@@ -37,6 +37,36 @@ def test_training_follows_the_single_process_steps(records):
         np.testing.assert_allclose(ours, theirs, rtol=1e-7, atol=1e-10)
 
 
+def test_every_rank_works_in_a_step(spark, records):
+    stored = learn.store_batches(records, "column_id", 16, 3, world=4)
+    try:
+        folders = spark.read.parquet(stored.path).select("rank").distinct().count()
+        assert stored.n_batches == 15 and folders == 4
+        for k in (0, 14):
+            rows = stored.rows(spark, k)
+            sizes = rows.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+            assert len(sizes) >= 4 and sum(r["count"] for r in sizes) == 16
+    finally:
+        stored.remove(spark)
+    with pytest.raises(Exception):
+        spark.read.parquet(stored.path).count()
+
+
+def test_dropout_gives_the_same_weights_for_any_partitioning(records):
+    targets = {"x": "x", "y": "y"}
+    start = learn.Network(learn.initial_weights([3, 8, 2], 1), dropout=0.5)
+    nets = [learn._fit(records.repartition(n), start, targets, "column_id", 1, 80, 0.01, 3, 2, f, None, None) for n, f in ((1, 1), (5, 3))]
+    for a, b in zip(nets[0].weights, nets[1].weights):
+        np.testing.assert_allclose(a, b, rtol=1e-9)
+
+
+def test_validation_is_reported_per_epoch(records):
+    held = records.where("column_id % 5 = 0")
+    net = learn.fit_mlp(records, "x", "y", "column_id", hidden=(4,), epochs=2, batch=120, lr=0.01, validation={"val": held})
+    assert [(e, n) for e, n, _ in net.reports] == [(0, "train_loss"), (0, "val_loss"), (1, "train_loss"), (1, "val_loss")]
+    assert net.reports[-1][2] == pytest.approx(learn.evaluate(held, net, "x", "y", "val").first()["mse"])
+
+
 def test_loss_falls_and_scoring_agrees(records):
     stats = moments.position_moments(records, ["x"])
     net = learn.fit_mlp(records, "x", "y", "column_id", stats, hidden=(16, 16, 16), epochs=6, batch=120, lr=0.02)
