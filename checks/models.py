@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from checks.search import _TOY, _toy_trials
-from checks.tables import LVL, columns, profiles, rnd, sql_rnd, table
+from checks.tables import LVL, columns, embeddings, rnd, sql_rnd, table
 from gridframe.functions.arrays import node_targets
 from gridframe.operators import moments, reshape, split, trials
 from gridframe.plans import learn, search
@@ -138,11 +138,6 @@ def _(spark, sf):
     return rows.withColumn("value", rnd(F.col("value"), 5))
 
 
-def _history(spark, net):
-    lines = [(epoch, step, loss, n) for epoch, step, loss, n in net.history]
-    return spark.createDataFrame(lines, "epoch bigint, step bigint, loss double, n_rows bigint")
-
-
 # -- scoring with given weights --------------------------------------------------------------------------------------
 
 # Two units over quantity and discount, one output.
@@ -205,18 +200,6 @@ def _flux_records(spark, sf):
 _TARGETS = {k: k for k in ("sw", "lw", "hr_sw", "hr_lw", "pressure")}
 
 
-def _flux_net(spark, sf):
-    df = _flux_records(spark, sf)
-    stats = moments.position_moments(df, ["x"])
-    return df, learn.fit_flux_heads(df, "x", _TARGETS, "column_id", 16, stats, width=32, depth=2, lr=1e-3, batch=256, world=4)
-
-
-@query("m4_fit_flux_heads")
-def _(spark, sf):
-    _, net = _flux_net(spark, sf)
-    return _history(spark, net)
-
-
 def _measured(df, net, x):
     """Losses and absolute errors of a network with flux heads, one row each."""
     losses, absolute = learn.evaluate_flux_heads(df, net, x, _TARGETS)
@@ -224,34 +207,88 @@ def _measured(df, net, x):
     return losses.select(lines).unionByName(absolute.select(F.concat(F.lit("mae_"), "output").alias("measure"), F.col("mae").alias("value")))
 
 
-@query("m4_evaluate_flux_heads")
-def _(spark, sf):
-    df, net = _flux_net(spark, sf)
-    return _measured(df, net, "x")
+_BANDS = [(band, name) for band, name in enumerate(("sw", "lw"))]
 
 
-_BANDS = [(band, name) for band, name in enumerate(("sw", "lw"))]
+def _errors_sql(o: str, tag: str = "") -> str:
+    """Gaps of fluxes and heating rates of the outputs ``o`` (column_id, band, level, ch, v)."""
+    return f"""n{tag} AS (SELECT column_id, band, level, max(v) FILTER (ch = 0) - max(v) FILTER (ch = 1) AS net FROM {o} GROUP BY ALL),
+  s{tag} AS (SELECT column_id, band, level, lead(net) OVER w - net AS dn, CAST(-9.80665 AS DOUBLE) / 1004 * 86400 / (lead(p) OVER w - p) AS factor
+    FROM n{tag} JOIN p USING (column_id, level) WINDOW w AS (PARTITION BY column_id, band ORDER BY level)),
+  h{tag} AS (SELECT s.column_id, s.band, s.level, factor, factor * dn - l.v AS gap
+    FROM s{tag} s JOIN lvl l ON l.column_id = s.column_id AND l.level = s.level AND l.variable = s.band * 2 WHERE s.level < 15),
+  f{tag} AS (SELECT column_id, band, level, ch, o.v - t.v AS gap FROM {o} o JOIN t USING (column_id, band, level, ch))"""
+
+
+def _measures_sql(tag: str = "") -> str:
+    parts = " UNION ALL ".join(
+        f"SELECT '{name}' AS k, avg(gap * gap) AS q, avg(abs(gap)) AS a FROM f{tag} WHERE band = {band}"
+        f" UNION ALL SELECT 'hr_{name}', avg(gap * gap), avg(abs(gap)) FROM h{tag} WHERE band = {band}"
+        for band, name in _BANDS
+    )
+    return f"""m{tag} AS ({parts})
+  SELECT 'mse_' || k AS measure, {sql_rnd('q', 4)} AS value FROM m{tag} UNION ALL SELECT 'mae_' || k, {sql_rnd('a', 4)} FROM m{tag}
+  UNION ALL SELECT 'loss', {sql_rnd('sum(q)', 4)} FROM m{tag}"""
 
 
-@query("m4_score_flux_heads", f"""WITH {LVL}, x AS (SELECT column_id, variable AS i, v FROM lvl WHERE level = 0),
-  o AS (SELECT column_id, k // 32 AS band, k % 32 // 2 AS level, k % 2 AS ch,
-      sum(v * ((i * 7 + k * 3) % 11 - 5) / CAST(10 AS DOUBLE)) + max(k) / CAST(64 AS DOUBLE) AS v FROM x, range(64) r(k) GROUP BY ALL),
+_W = "((i * 7 + k * 3) % 11 - 5) / CAST(10 AS DOUBLE)"
+_PLACE = "k // 32 AS band, k % 32 // 2 AS level, k % 2 AS ch"
+_FLUX = f"""{LVL}, x AS (SELECT column_id, pos AS i, v FROM pts),
+  o AS (SELECT column_id, k, {_PLACE}, sum(v * {_W}) + max(k) / CAST(64 AS DOUBLE) AS v FROM x, range(64) r(k) GROUP BY ALL),
   t AS (SELECT column_id, variable // 2 AS band, level, variable % 2 AS ch, v FROM lvl),
   p AS (SELECT column_id, level, level * 60 + 20 + abs(v) AS p FROM lvl WHERE variable = 1),
-  n AS (SELECT column_id, band, level, max(v) FILTER (ch = 0) - max(v) FILTER (ch = 1) AS net FROM o GROUP BY ALL),
-  s AS (SELECT column_id, band, level, lead(net) OVER w - net AS dn, lead(p) OVER w - p AS dp FROM n JOIN p USING (column_id, level)
+  {_errors_sql('o')}"""
+_START = [np.array([[((i * 7 + k * 3) % 11 - 5) / 10.0 for k in range(64)] for i in range(64)]), np.arange(64) / 64.0]
+
+
+def _whole_records(spark, sf):
+    """The flux records with all 64 values as input."""
+    return _flux_records(spark, sf).drop("x").join(embeddings(spark, sf).select("column_id", F.col("embedding").alias("x")), "column_id")
+
+
+@query("m4_score_flux_heads", f"WITH {_FLUX}, {_measures_sql()}")
+def _(spark, sf):
+    net = learn.Network(_START, levels=16)
+    return _measured(_whole_records(spark, sf), net, "x").withColumn("value", rnd(F.col("value"), 4))
+
+
+# One Adam step from the start: each weight moves by the rate against the sign of its slope.
+_STEP = "CAST(0.001 AS DOUBLE) * g / (abs(g) + CAST(1e-8 AS DOUBLE))"
+_HEADS_STEP = f"""{_FLUX},
+  b AS (SELECT column_id, band, level, coalesce(c, 0) - coalesce(lag(c) OVER w, 0) AS back FROM
+    (SELECT n.column_id, n.band, n.level, -2 * h.gap * h.factor / CAST(15 AS DOUBLE) AS c FROM n LEFT JOIN h USING (column_id, band, level))
     WINDOW w AS (PARTITION BY column_id, band ORDER BY level)),
-  h AS (SELECT s.column_id, s.band, s.level, CAST(-9.80665 AS DOUBLE) / 1004 * 86400 * dn / dp - l.v AS gap
-    FROM s JOIN lvl l ON l.column_id = s.column_id AND l.level = s.level AND l.variable = s.band * 2 WHERE s.level < 15),
-  f AS (SELECT band, o.v - t.v AS gap FROM o JOIN t USING (column_id, band, level, ch)),
-  m AS ({" UNION ALL ".join(f"SELECT '{name}' AS k, avg(gap * gap) AS q, avg(abs(gap)) AS a FROM f WHERE band = {band} UNION ALL SELECT 'hr_{name}', avg(gap * gap), avg(abs(gap)) FROM h WHERE band = {band}" for band, name in _BANDS)})
-  SELECT 'mse_' || k AS measure, {sql_rnd('q', 5)} AS value FROM m UNION ALL SELECT 'mae_' || k, {sql_rnd('a', 5)} FROM m
-  UNION ALL SELECT 'loss', {sql_rnd('sum(q)', 5)} FROM m""")
+  e AS (SELECT column_id, f.band * 32 + f.level * 2 + f.ch AS k, f.gap / CAST(16 AS DOUBLE) + (1 - 2 * f.ch) * b.back AS slope
+    FROM f JOIN b USING (column_id, band, level)),
+  w2 AS (SELECT i, k, {_W} - {_STEP} AS w FROM (SELECT i, k, avg(x.v * slope) AS g FROM x JOIN e USING (column_id) GROUP BY ALL)),
+  b2 AS (SELECT k, k / CAST(64 AS DOUBLE) - {_STEP} AS w FROM (SELECT k, avg(slope) AS g FROM e GROUP BY k)),
+  l AS (SELECT (SELECT sum(gap * gap) / 32 FROM f) + (SELECT sum(gap * gap) / 15 FROM h) AS total, count(*) AS rows FROM embeddings)"""
+
+
+def _one_step(spark, sf):
+    df = _whole_records(spark, sf)
+    batch = (df.count() + 3) // 4 * 4
+    net = learn.fit_flux_heads(df, "x", _TARGETS, "column_id", 16, dropout=0.0, l1=0.0, l2=0.0, lr=1e-3, batch=batch, world=4, weights=_START)
+    return df, net
+
+
+@query("m4_fit_flux_heads", f"""WITH {_HEADS_STEP}
+  SELECT k, {sql_rnd('any_value(b2.w)', 5)} AS bias, {sql_rnd('sum(w2.w)', 5)} AS weights, {sql_rnd('any_value(total / rows)', 3)} AS loss
+  FROM w2 JOIN b2 USING (k), l GROUP BY k""")
+def _(spark, sf):
+    """New weights of every output after one step over all records, and the loss before it."""
+    _, net = _one_step(spark, sf)
+    rows = [(k, float(net.weights[1][k]), float(net.weights[0][:, k].sum()), float(net.history[0][2])) for k in range(64)]
+    out = spark.createDataFrame(rows, "k bigint, bias double, weights double, loss double")
+    return out.select("k", rnd(F.col("bias"), 5).alias("bias"), rnd(F.col("weights"), 5).alias("weights"), rnd(F.col("loss"), 3).alias("loss"))
+
+
+@query("m4_evaluate_flux_heads", f"""WITH {_HEADS_STEP},
+  o2 AS (SELECT column_id, k, {_PLACE}, sum(v * w2.w) + max(b2.w) AS v FROM x JOIN w2 USING (i) JOIN b2 USING (k) GROUP BY ALL),
+  {_errors_sql('o2', '2')}, {_measures_sql('2')}""")
 def _(spark, sf):
-    df = _flux_records(spark, sf).join(profiles(spark, sf).select("column_id", F.col("m")[0].alias("first")), "column_id")
-    w = np.array([[((i * 7 + k * 3) % 11 - 5) / 10.0 for k in range(64)] for i in range(4)])
-    net = learn.Network([w, np.arange(64) / 64.0], levels=16)
-    return _measured(df, net, "first").withColumn("value", rnd(F.col("value"), 5))
+    df, net = _one_step(spark, sf)
+    return _measured(df, net, "x").withColumn("value", rnd(F.col("value"), 4))
 
 
 # -- trials ----------------------------------------------------------------------------------------------------------

@@ -379,6 +379,7 @@ def fit_flux_heads(
     seed: int = 42,
     world: int = 1,
     loss_weights: dict[str, float] | None = None,
+    weights: list[np.ndarray] | None = None,
     files_per_rank: int = 1,
     stored: StoredBatches | None = None,
     validation: dict[str, DataFrame] | None = None,
@@ -388,8 +389,9 @@ def fit_flux_heads(
     ``targets`` names the columns of sw, lw (levels x 2), hr_sw, hr_lw (levels - 1) and pressure (levels).
     """
     mean, std = _record_stats(stats, x)
-    n_in = df.select(F.size(x)).first()[0]
-    weights = initial_weights([n_in, *[width] * depth, 4 * levels], seed, he=True)
+    if weights is None:
+        n_in = df.select(F.size(x)).first()[0]
+        weights = initial_weights([n_in, *[width] * depth, 4 * levels], seed, he=True)
     net = Network(weights, mean, std, dropout, l1, l2, levels, loss_weights or {})
     return _fit(df, net, {"x": x, **targets}, row_id, epochs, batch, lr, seed, world, files_per_rank, stored, validation)
 
