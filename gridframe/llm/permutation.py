@@ -24,6 +24,8 @@ def choose_pivots(vectors: DataFrame, pivots: int = 256, vec_id: str = "vec_id",
     order = F.xxhash64(F.col(vec_id).cast("string"))
     rows = vectors.where(usable(F.col(vector))).orderBy(order, F.col(vec_id)).limit(2 * pivots).select(vector).collect()
     seen = dict.fromkeys(tuple(r[0]) for r in rows)
+    if len({len(x) for x in seen}) > 1:
+        raise ValueError("vectors must all have the same number of components")
     return np.array(list(seen)[:pivots], dtype="float64")
 
 
