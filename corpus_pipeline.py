@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridframe.llm import decontaminate, langid, partenum, pieces, substring, vocabulary
-from gridframe.session import scratch_path
+from gridframe.llm.idmap import id_map
+from gridframe.session import cut, scratch_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -32,12 +33,16 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Of rows that share its id, the first by its columns stays.
     """
-    firsts = partenum.similar_components(docs).where("doc_id = component_id OR doc_id IS NULL")
-    ids = firsts.where("doc_id IS NOT NULL").select("doc_id").distinct()
-    kept = docs.join(ids, "doc_id", "left_semi").select(*COLUMNS)
+    found = partenum.similar_components(docs).where("doc_id IS NOT NULL")
+    # Only documents that go or whose id repeats must meet the result; a bit map lets the others pass where they are.
+    ids = cut(found.groupBy("doc_id").agg(F.count("*").alias("n"), F.min("component_id").alias("first")))
+    maybe = id_map(ids.where("n > 1 OR first <> doc_id"))
+    known = docs.where("doc_id IS NOT NULL").select(*COLUMNS).withColumn("_maybe", maybe.may_hold("doc_id"))
+    sure = known.where("NOT _maybe").select(*COLUMNS)
+    kept = known.where("_maybe").join(ids.where("first = doc_id").select("doc_id"), "doc_id", "left_semi")
     rows = Window.partitionBy("doc_id").orderBy(*COLUMNS[1:])
     single = kept.withColumn("_row", F.row_number().over(rows)).where("_row = 1").select(*COLUMNS)
-    return single.unionByName(docs.where("doc_id IS NULL").select(*COLUMNS))
+    return sure.unionByName(single).unionByName(docs.where("doc_id IS NULL").select(*COLUMNS))
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridframe.llm.components import components
+from gridframe.llm.idmap import IdMap, id_map
 from gridframe.llm.textbytes import ASCII_LOWER, Words, blocks, mix, powers, window_hashes
 from gridframe.session import cut
 
@@ -26,8 +27,6 @@ NUM, DEN = 4, 5
 SLACK = 1.2
 #: Groups of up to this many sets give all pairs at once.
 SMALL = 16
-#: Bits of the map of documents whose sets are fetched, per document and at most (32 MB).
-MAP_BITS, MOST_MAP_BITS = 16, 1 << 28
 
 _BITS = np.uint64((1 << 48) - 1)
 _PACKED = "bucket int, entries binary, docs binary, doc_id long, n int, d1 long, d2 long, sketch array<long>"
@@ -282,12 +281,12 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from pairs(held)
 
 
-def _sets(wanted: np.ndarray):
+def _sets(wanted: IdMap):
     """Sets of the documents whose place in the map is wanted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            chosen = batch.filter(pa.array(wanted[batch.column("place").to_numpy()]))
+            chosen = batch.filter(pa.array(wanted.holds(batch.column("place").to_numpy())))
             for part in _slices(chosen):
                 doc, value = shingle_sets(part.column("text"))
                 ends = np.searchsorted(doc, np.arange(part.num_rows + 1)).astype("int32")
@@ -298,31 +297,15 @@ def _sets(wanted: np.ndarray):
     return run
 
 
-def _place(column: str, bits: int) -> Column:
-    return F.pmod(F.xxhash64(column), F.lit(bits))
-
-
 def _linked(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs whose sets are similar enough, by their intersection.
 
     A bit map of bounded size tells which documents may be in a pair; only their sets are made and shuffled. Where the
     map is too small for the pairs, more sets move and the result is the same, as the join is by id.
     """
-    need = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b"))
-    wish = MAP_BITS * max(need.count(), 1)
-    bits = min(MOST_MAP_BITS, max(1 << 15, 1 << (wish - 1).bit_length()))
-    place = _place("doc_id", bits)
-    maps = need.groupBy(F.bitmap_bucket_number(place + 1).alias("n")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place + 1)).alias("bits"))
-    wanted = np.zeros(bits + (1 << 15), dtype=bool)
-    for row in maps.collect():
-        start = (row["n"] - 1) << 15
-        wanted[start : start + (1 << 15)] = np.unpackbits(np.frombuffer(row["bits"], dtype="uint8"), bitorder="little")
-    shared = np.packbits(wanted)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _sets(np.unpackbits(shared).astype(bool))(batches)
-
-    sets = docs.select("doc_id", "text", place.alias("place")).mapInArrow(run, "doc_id long, items array<long>")
+    wanted = id_map(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")))
+    places = docs.select("doc_id", "text", wanted.place("doc_id").alias("place"))
+    sets = places.mapInArrow(_sets(wanted), "doc_id long, items array<long>")
     left = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("items").alias("x")), "a")
     both = left.join(sets.select(F.col("doc_id").alias("b"), F.col("items").alias("y")), "b")
     common = F.size(F.array_intersect("x", "y"))
