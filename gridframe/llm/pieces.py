@@ -142,7 +142,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") -> DataF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie, words, crossed = shared.value
         for batch in batches:
-            for part in blocks(batch, text, most_bytes=4_000_000):
+            for part in blocks(batch, text, most_bytes=2_000_000):
                 s = Segments(part.column(text), crossed)
                 ids, counts, _ = best_pieces(s.data, s.starts[s.unique], s.sizes[s.unique], trie, words)
                 first = np.cumsum(counts) - counts

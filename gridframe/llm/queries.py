@@ -133,7 +133,18 @@ def page_text(spark, sf):
 # -- substring removal -----------------------------------------------------------------------------------------------
 
 
-@query("op1_substring_dedup")
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+
+@query("op1_substring_dedup", f"""WITH w AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
+  windows AS (SELECT doc_id, i, array_to_string(ws[i:i + 19], ' ') AS s FROM w, unnest(range(1, len(ws) - 18)) r(i)),
+  firsts AS (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY s) AS d0, s FROM windows),
+  starts AS (SELECT s, d0, min(i) AS i0 FROM firsts WHERE doc_id = d0 GROUP BY s, d0),
+  gone AS (SELECT DISTINCT doc_id, j FROM windows JOIN starts USING (s), unnest(range(i, i + 20)) r(j) WHERE doc_id > d0 OR i > i0),
+  kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY j) AS text FROM
+    (SELECT doc_id, unnest(range(1, len(ws) + 1)) AS j, unnest(ws) AS word FROM w) ANTI JOIN gone USING (doc_id, j) GROUP BY doc_id)
+  SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, len(ws) - coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+  FROM w LEFT JOIN kept USING (doc_id)""")
 def substring_dedup(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     kept = substring.remove_repeats(docs)
@@ -143,7 +154,15 @@ def substring_dedup(spark, sf):
 # -- n-gram Jaccard join ---------------------------------------------------------------------------------------------
 
 
-@query("op10_partenum_join")
+@query("op10_partenum_join", f"""WITH RECURSIVE
+  w AS (SELECT doc_id, {_WORDS.replace("text", f"translate(text, '{reputation.UPPER}', '{reputation.LOWER}')")} AS ws FROM documents),
+  sh AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS s FROM w, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) r(i) WHERE len(ws) > 0),
+  n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+  both_in AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+  links AS (SELECT a, b FROM both_in JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 80 * (x.n + y.n - k)),
+  reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+  SELECT w.doc_id, coalesce(n, 0) AS n_shingles, least(w.doc_id, coalesce(min(b), w.doc_id)) AS component_id
+  FROM w LEFT JOIN n USING (doc_id) LEFT JOIN reach ON a = w.doc_id GROUP BY w.doc_id, n""")
 def partenum_join(spark, sf):
     return partenum.similar_components(table(spark, sf, "documents"))
 
