@@ -10,6 +10,7 @@ from checks.tables import LVL, columns, embeddings, rnd, sql_rnd, table
 from gridframe.functions.arrays import node_targets
 from gridframe.operators import moments, reshape, split, trials
 from gridframe.plans import learn, search
+from gridframe.session import scratch_path
 
 QUERIES = {}
 SQL = {}
@@ -328,3 +329,40 @@ def _(spark, sf):
     history = search.train_trials(drawn, fit, at_once=2)
     stored.remove(spark)
     return history.withColumn("value", rnd(F.col("value"), 5))
+
+
+_RATES = [0.001, 0.2, 0.01, 0.5, 0.05, 1.0, 0.02, 0.1, 0.005]
+_VAL = "avg((w * x + b - y) * (w * x + b - y)) FILTER (key % 10 = 0) AS val"
+
+
+@query("o4_live_stop", f"""WITH {_ORDERS}, s AS (SELECT avg(x) AS m, stddev_pop(x) AS d FROM o),
+  r AS (SELECT key, (x - m) / (d + CAST(1e-8 AS DOUBLE)) AS x, y FROM o, s),
+  rates AS (SELECT CAST(i AS BIGINT) AS trial_id, CAST({_RATES}[i + 1] AS DOUBLE) AS lr FROM range({len(_RATES)}) r(i)),
+  a AS (SELECT trial_id, lr, avg(2 * (0 - y) * x) AS wg1, avg(2 * (0 - y)) AS bg1 FROM r, rates GROUP BY ALL),
+  w1 AS (SELECT *, 0 - {_adam(1, 'w', 'lr')} AS w, 0 - {_adam(1, 'b', 'lr')} AS b FROM a),
+  c AS (SELECT trial_id, lr, wg1, bg1, w, b, avg(2 * (w * x + b - y) * x) AS wg2, avg(2 * (w * x + b - y)) AS bg2, {_VAL} FROM r, w1 GROUP BY ALL),
+  k AS (SELECT *, row_number() OVER (ORDER BY val, trial_id) AS place FROM c),
+  w2 AS (SELECT trial_id, w - {_adam(2, 'w', 'lr')} AS w, b - {_adam(2, 'b', 'lr')} AS b FROM k WHERE place <= 3),
+  e AS (SELECT trial_id, {_VAL} FROM r, w2 GROUP BY trial_id)
+  SELECT trial_id, CAST(1 AS BIGINT) AS iteration, 'val_loss' AS name, {sql_rnd('val', 4)} AS value FROM c
+  UNION ALL SELECT trial_id, 2, 'val_loss', {sql_rnd('val', 4)} FROM e""")
+def _(spark, sf):
+    """Nine learning rates, one step an epoch; after the first epoch the best three go on."""
+    df = _pairs(spark, sf)
+    whole = (df.count() + 3) // 4 * 4
+    stats = moments.position_moments(df, ["x"])
+    held = {"val": df.where("o_orderkey % 10 = 0")}
+    drawn = spark.createDataFrame(list(enumerate(_RATES)), "trial_id bigint, lr double")
+    stored = learn.store_batches(df, "o_orderkey", whole, 42, 4)
+    start = [np.zeros((1, 1)), np.zeros(1)]
+
+    def advance(params, state, done, until):
+        net = learn.fit_mlp(
+            df, "x", "y", "o_orderkey", stats, hidden=(), epochs=until - done, batch=whole, lr=params["lr"], world=4, weights=start,
+            stored=stored, validation=held, resume=state,
+        )
+        return net, [(e + 1, name, v) for e, name, v in net.reports if e >= done and name == "val_loss"]
+
+    history = search.train_until_stopped(drawn, advance, scratch_path(spark, "reports"), 2, 1, 3, "val_loss")
+    stored.remove(spark)
+    return history.withColumn("value", rnd(F.col("value"), 4))

@@ -7,6 +7,7 @@ nothing but the weights, moves them and sends them out again.
 
 from __future__ import annotations
 
+import copy
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field, replace
 
@@ -47,11 +48,13 @@ class Network:
     loss_weights: dict[str, float] = field(default_factory=dict)
     history: list[tuple[int, int, float, int]] = field(default_factory=list)
     reports: list[tuple[int, str, float]] = field(default_factory=list)
+    optimiser: Adam | None = None
+    epochs: int = 0
 
 
 def _plain(net: Network) -> dict:
     """What tasks need of a network, in types that every executor knows."""
-    return {k: v for k, v in vars(net).items() if k not in ("history", "reports")}
+    return {k: v for k, v in vars(net).items() if k not in ("history", "reports", "optimiser", "epochs")}
 
 
 def initial_weights(sizes: Sequence[int], seed: int, he: bool = False) -> list[np.ndarray]:
@@ -282,12 +285,15 @@ def _fit(df, net, columns, row_id, epochs, batch, lr, seed, world, files_per_ran
     spark = df.sparkSession
     kept = df.select(row_id, *dict.fromkeys(columns.values()))
     own = store_batches(kept, row_id, batch, seed, world, files_per_rank) if stored is None else stored
-    optimiser, step, rng = Adam(lr), 0, np.random.default_rng(seed)
+    optimiser, rng = copy.copy(net.optimiser) or Adam(lr), np.random.default_rng(seed)
     history, reports = list(net.history), list(net.reports)
+    step = len(history)
     try:
-        for epoch in range(epochs):
-            # Later epochs take the stored batches in another order.
+        for epoch in range(net.epochs + epochs):
+            # Later epochs take the stored batches in another order; a network trained before goes on after its epochs.
             order = range(own.n_batches) if epoch == 0 else rng.permutation(own.n_batches)
+            if epoch < net.epochs:
+                continue
             losses, rows = 0.0, 0
             for k in order:
                 loss, slopes, n = step_gradient(own.rows(spark, int(k)), net, columns, seed, step, row_id)
@@ -300,7 +306,7 @@ def _fit(df, net, columns, row_id, epochs, batch, lr, seed, world, files_per_ran
     finally:
         if stored is None:
             own.remove(spark)
-    return replace(net, history=history, reports=reports)
+    return replace(net, history=history, reports=reports, optimiser=optimiser, epochs=net.epochs + epochs)
 
 
 def mean_loss(df: DataFrame, net: Network, columns: dict[str, str]) -> float:
@@ -345,14 +351,18 @@ def fit_mlp(
     files_per_rank: int = 1,
     stored: StoredBatches | None = None,
     validation: dict[str, DataFrame] | None = None,
+    resume: Network | None = None,
 ) -> Network:
     """Normalise, dense layers with SiLU, a linear layer; mean squared error, one update per batch over all tasks.
 
     A batch is dealt to ``world`` ranks, and a step is one job of as many tasks; so the batch should grow with
     ``world``. The stored rows go when training ends; ``stored`` (from ``store_batches``) is used instead and stays, for
     several fits over the same rows. After each epoch the training loss and the loss on each frame of ``validation``
-    are added to ``reports`` as (epoch, ``train_loss`` or ``{name}_loss``, value).
+    are added to ``reports`` as (epoch, ``train_loss`` or ``{name}_loss``, value). ``resume`` is a network to train for
+    ``epochs`` more, as if it had not stopped.
     """
+    if resume is not None:
+        return _fit(df, resume, {"x": x, "y": y}, row_id, epochs, batch, lr, seed, world, files_per_rank, stored, validation)
     mean, std = _record_stats(stats, x)
     if weights is None:
         lengths = df.select(F.size(x), F.size(y)).first()

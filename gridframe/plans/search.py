@@ -11,6 +11,8 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridframe.operators.trials import milestones
+
 HISTORY = "trial_id bigint, iteration bigint, name string, value double"
 
 # Rows of history a task hands over at a time.
@@ -69,3 +71,48 @@ def train_trials(
     with ThreadPoolExecutor(max_workers=at_once) as pool:
         runs = list(pool.map(inheritable_thread_target(spark)(one), settings))
     return spark.createDataFrame([report for run in runs for report in run], HISTORY)
+
+
+def train_until_stopped(
+    trials: DataFrame,
+    advance: Callable[[dict[str, Any], Any, int, int], tuple[Any, Iterable[tuple[int, str, float]]]],
+    path: str,
+    max_t: int,
+    grace: int,
+    factor: int,
+    metric: str,
+    mode: str = "min",
+    at_once: int = 4,
+    trial: str = "trial_id",
+) -> DataFrame:
+    """History of trials under successive halving that ends losing trials while the others go on.
+
+    ``advance(params, state, done, until)`` trains a trial from iteration ``done`` to ``until``, starting from the state
+    it returned before (None at first), and gives the new state and its reports (iteration, name, value). At every
+    milestone the best 1 / factor (rounded up) of the live trials go on, by the metric of their last report; trials
+    without one, or with NaN, rank last, and ties go to the lower number. The driver holds the settings and states of
+    live trials, a short list; reports are appended to the table at ``path`` round by round, and that table is returned.
+    """
+    spark = trials.sparkSession
+    live = {int(row[trial]): (row.asDict(), None) for row in trials.collect()}
+    done = 0
+    for until in [*milestones(max_t, grace, factor), max_t]:
+
+        def one(item: tuple) -> tuple:
+            number, (params, state) = item
+            state, reports = advance({k: v for k, v in params.items() if k != trial}, state, done, until)
+            return number, params, state, [(number, int(i), name, float(value)) for i, name, value in reports]
+
+        with ThreadPoolExecutor(max_workers=at_once) as pool:
+            results = list(pool.map(inheritable_thread_target(spark)(one), live.items()))
+        spark.createDataFrame([r for *_, reports in results for r in reports], HISTORY).write.mode("append").parquet(path)
+        scores = {}
+        for number, *_, reports in results:
+            values = [(i, value) for _, i, name, value in reports if name == metric and value == value]
+            score = max(values)[1] if values else float("inf")
+            scores[number] = score if mode == "min" or not values else -score
+        kept = sorted(scores, key=lambda n: (scores[n], n))
+        kept = kept if until == max_t else kept[: -(-len(kept) // factor)]
+        live = {number: (params, state) for number, params, state, _ in results if number in set(kept)}
+        done = until
+    return spark.read.schema(HISTORY).parquet(path)
