@@ -262,6 +262,13 @@ def _(spark, sf):
     return pairs.withColumn("corr", rnd(F.col("corr")))
 
 
+@query("a13_position_pairs", f"""WITH {PTS} SELECT a.pos AS "left", b.pos AS "right", {sql_rnd('corr(a.v, b.v)')} AS corr, abs(corr(a.v, b.v)) >= 0.1 AS redundant
+  FROM pts a JOIN pts b ON a.column_id = b.column_id AND a.pos < b.pos GROUP BY a.pos, b.pos""")
+def _(spark, sf):
+    pairs = moments.screen_positions(table(spark, sf, "embeddings"), "embedding", 0.1)
+    return pairs.withColumn("corr", rnd(F.col("corr")))
+
+
 # -- normalisation and physics ---------------------------------------------------------------------------------------
 
 _STATS = PTS + ", s AS (SELECT pos, avg(v) AS m, stddev_pop(v) AS d FROM pts GROUP BY pos)"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from checks.tables import FAM, LEVELS, LVL, big, columns, embeddings, profiles, rnd, sql_rnd
@@ -118,7 +120,7 @@ ONE_HEAD = attention.AttentionWeights(w=[_W], src=[[1.5, -0.5]], dst=[[0.25, 0.7
 TWO_HEADS = attention.AttentionWeights(w=[_W, _W2], src=[[1.5, -0.5], [0.4, 0.3]], dst=[[0.25, 0.75], [-0.9, 1.1]])
 
 
-def _head_sql(prefix: str, w, src, dst) -> str:
+def _head_sql(prefix: str, w, src, dst, along: str = "0") -> str:
     """CTEs ending in {prefix}o(column_id, node, o0, o1)."""
     def double(value):
         return f"CAST({value} AS DOUBLE)"
@@ -127,7 +129,7 @@ def _head_sql(prefix: str, w, src, dst) -> str:
     leaky = "CASE WHEN s > 0 THEN s ELSE s * CAST(0.2 AS DOUBLE) END"
     return f"""{prefix}h AS (SELECT column_id, node, {h[0]} AS h0, {h[1]} AS h1 FROM nodes),
   {prefix}e AS (SELECT m.column_id, m.dst, s.h0, s.h1,
-      s.h0 * {double(src[0])} + s.h1 * {double(src[1])} + d.h0 * {double(dst[0])} + d.h1 * {double(dst[1])} AS s
+      s.h0 * {double(src[0])} + s.h1 * {double(src[1])} + d.h0 * {double(dst[0])} + d.h1 * {double(dst[1])} + {along} AS s
     FROM links m JOIN {prefix}h s ON s.column_id = m.column_id AND s.node = m.src
                  JOIN {prefix}h d ON d.column_id = m.column_id AND d.node = m.dst),
   {prefix}w AS (SELECT column_id, dst, h0, h1, exp({leaky} - max({leaky}) OVER (PARTITION BY column_id, dst)) AS a FROM {prefix}e),
@@ -135,7 +137,7 @@ def _head_sql(prefix: str, w, src, dst) -> str:
 
 
 _GRAPH = LVL + f""", {_TEMPLATE}, ids AS (SELECT vec_id AS column_id FROM embeddings),
-  links AS (SELECT column_id, src, dst FROM ids, tpl UNION ALL SELECT column_id, l, l FROM ids, range(16) r(l)),
+  links AS (SELECT column_id, src, dst, layer FROM ids, tpl UNION ALL SELECT column_id, l, l, NULL FROM ids, range(16) r(l)),
   nodes AS (SELECT column_id, level AS node, max(v) FILTER (variable = 0) AS a, max(v) FILTER (variable = 1) AS b,
     max(v) FILTER (variable = 2) AS c, max(v) FILTER (variable = 3) AS d FROM lvl GROUP BY ALL)"""
 
@@ -156,6 +158,19 @@ def _(spark, sf):
     return _two(attention.attention_layer(*_graph(spark, sf), ONE_HEAD))
 
 
+_ALONG = "coalesce(CAST(0.3 AS DOUBLE) * m.layer / 10 - CAST(0.1 AS DOUBLE), 0)"
+
+
+@query("g4_attention_edge_term", f"""WITH {_GRAPH}, {_head_sql('p', _W, [1.5, -0.5], [0.25, 0.75], _ALONG)}
+  SELECT column_id, node, {sql_rnd('o0 + CAST(0.1 AS DOUBLE)')} AS o0, {sql_rnd('o1 - CAST(0.2 AS DOUBLE)')} AS o1 FROM po""")
+def _(spark, sf):
+    """Edges with two attributes: a tenth of their layer, and one half."""
+    nodes, _ = _graph(spark, sf)
+    edges = pathgraph.attach_edges(profiles(spark, sf), ID, LEVELS)
+    edges = edges.select("column_id", "src", "dst", F.array(F.col("layer") / 10.0, F.lit(0.5)).alias("attr"))
+    return _two(attention.attention_layer(nodes, edges, replace(ONE_HEAD, edge=[[0.3, -0.2]])))
+
+
 @query("g4_attention_heads_averaged", f"""WITH {_GRAPH}, {_head_sql('p', _W, [1.5, -0.5], [0.25, 0.75])},
   {_head_sql('q', _W2, [0.4, 0.3], [-0.9, 1.1])}
   SELECT column_id, node, {sql_rnd('(p.o0 + q.o0) / 2')} AS o0, {sql_rnd('(p.o1 + q.o1) / 2')} AS o1

@@ -19,12 +19,14 @@ SLOPE = 0.2
 
 @dataclass
 class AttentionWeights:
-    """``w[h][o][i]`` projects features; ``src[h][o]`` and ``dst[h][o]`` score the ends of an edge."""
+    """``w[h][o][i]`` projects features; ``src[h][o]`` and ``dst[h][o]`` score the ends of an edge, and ``edge[h][f]``,
+    where given, its attributes."""
 
     w: Sequence[Sequence[Sequence[float]]]
     src: Sequence[Sequence[float]]
     dst: Sequence[Sequence[float]]
     bias: Sequence[float] | None = None
+    edge: Sequence[Sequence[float]] | None = None
 
 
 def _dot(vector: Column, weights: Sequence[float]) -> Column:
@@ -43,11 +45,13 @@ def attention_layer(
     x: str = "x",
     concat: bool = True,
     name: str = "out",
+    attr: str = "attr",
 ) -> DataFrame:
     """New features of every node from itself and the nodes that point to it.
 
     Per head: h = W x, score leaky(a_src . h_s + a_dst . h_d), softmax over a node's incoming edges and its self-loop,
-    weighted sum of h. Heads are joined end to end, or averaged. A graph is one record, so the edges into a node are at
+    weighted sum of h. With edge weights the score of an edge also has the term a_edge . attr; a self-loop has none.
+    Heads are joined end to end, or averaged. A graph is one record, so the edges into a node are at
     most as many as the record has levels; the greatest score of a node is taken off before exp.
     """
     heads, width = len(weights.w), len(weights.w[0])
@@ -59,8 +63,10 @@ def attention_layer(
         return F.array(*[sum((p * float(a) for p, a in zip(part[k], of[k])), F.lit(0.0)) for k in range(heads)])
 
     scored = projected.select(graph, "node", "h", scores(weights.src).alias("from"), scores(weights.dst).alias("to"))
-    sent = edges.select(graph, F.col("src").alias("node"), "dst").join(scored.drop("to"), [graph, "node"])
-    sent = sent.select(graph, F.col("dst").alias("node"), "h", "from", F.lit(None).cast("array<double>").alias("to"))
+    along = [F.array(*[_dot(F.col(attr), head) for head in weights.edge]).alias("along")] if weights.edge is not None else []
+    sent = edges.select(graph, F.col("src").alias("node"), "dst", *along).join(scored.drop("to"), [graph, "node"])
+    leaving = F.zip_with("from", "along", lambda a, b: a + b).alias("from") if along else F.col("from")
+    sent = sent.select(graph, F.col("dst").alias("node"), "h", leaving, F.lit(None).cast("array<double>").alias("to"))
     # A node's self-loop carries its own term, so the receiving side needs no join of its own.
     into = W.partitionBy(graph, "node")
     own = F.max("to").over(into)
@@ -120,8 +126,10 @@ def path_attention(
     """The same stack on records that hold their whole path graph in one levels x features array.
 
     A graph never leaves its row, so no layer shuffles: this is the form for many records. The tables form above takes
-    any edge list.
+    any edge list, and edge attributes, which have no place here.
     """
+    if any(layer.edge is not None for layer in layers):
+        raise ValueError("edge weights need the tables form")
     weights = records.sparkSession.sparkContext.broadcast([vars(layer) for layer in layers])
     schema = T.StructType([*records.schema.fields, T.StructField(name, T.ArrayType(T.ArrayType(T.DoubleType())))])
 

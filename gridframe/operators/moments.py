@@ -6,15 +6,18 @@ on the side of the scan, so that what is shuffled is one row per task and group,
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from gridframe.functions.arrow import matrix, nested
 from gridframe.operators.reshape import array_rank, as_vector, element_type
 
 
@@ -191,3 +194,36 @@ def screen_variables(df: DataFrame, values: Sequence[str], least_std: float, red
     ]
     together = together.select(F.inline(F.array(*lines))).withColumn("redundant", F.abs("corr") >= redundant)
     return spread, together
+
+
+def screen_positions(df: DataFrame, array: str, redundant: float) -> DataFrame:
+    """Pairs of array positions with their correlation: (left, right, corr, redundant), left before right.
+
+    Two passes: the means, then each task's matrix of centred products, which leaves it as one row per position however
+    many records it read and is summed by position. Ragged or missing records fail the job. Constant positions have no
+    correlation.
+    """
+    rows = position_mean(df, [array]).orderBy("pos").collect()
+    centre = np.array([r["mean"] for r in rows], dtype="f8")
+
+    def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((len(centre), len(centre)))
+        for batch in batches:
+            if batch.num_rows:
+                gap = matrix(batch.column(0)) - centre
+                total += gap.T @ gap
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(centre)), pa.int64()), nested(total)], names=["left", "row"])
+
+    def add(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = sum(matrix(batch.column("row")).sum(axis=0) for batch in batches)
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int64()), nested(total[None])], names=["left", "row"])
+
+    kind = "left bigint, row array<double>"
+    sums = df.select(array).mapInArrow(products, kind).groupBy("left").applyInArrow(add, kind)
+    own = sums.select(F.col("left").alias("right"), F.get("row", F.col("left").cast("int")).alias("spread"))
+    mine = F.get("row", F.col("left").cast("int"))
+    pairs = sums.select("left", mine.alias("_spread"), F.posexplode("row").alias("right", "together")).where("right > left")
+    pairs = pairs.withColumn("right", F.col("right").cast("bigint")).join(own, "right")
+    scale = F.sqrt(F.col("_spread") * F.col("spread"))
+    corr = F.when(scale > 0, F.col("together") / scale)
+    return pairs.select("left", "right", corr.alias("corr")).withColumn("redundant", F.abs("corr") >= redundant)

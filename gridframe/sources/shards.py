@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from gridframe.functions.arrays import int_div
 from gridframe.operators.index import rechunk_rows, with_shard
 from gridframe.operators.pathgraph import graph_edges, graph_nodes
+from gridframe.session import delete_path, scratch_path
 
 
 def _writer(df: DataFrame, mode: str) -> DataFrameWriter:
@@ -123,12 +124,19 @@ def write_graphs(
     """Node and edge tables of the records' path graphs, grouped by the shard a record came from.
 
     Records read from a shard stack carry ``shard`` and lie together already: their graphs are written where they are
-    built. Others are laid out in ``num_shards`` first, as records, which are far smaller than their edges.
+    built. Others are laid out in ``num_shards`` and stored once, as records, which are far smaller than their edges;
+    both tables are built from what was stored, which is then deleted.
     """
+    stored = None
     if "shard" not in features.columns:
         n_columns = features.count() if n_columns is None else n_columns
         if n_columns % num_shards:
             raise ValueError(f"{n_columns} rows cannot be cut into {num_shards} equal shards")
-        features = rechunk_rows(features, row_id, n_columns // num_shards, num_shards)
+        stored = scratch_path(features.sparkSession, "features")
+        laid_out = rechunk_rows(features, row_id, n_columns // num_shards, num_shards)
+        _writer(laid_out, "overwrite").partitionBy("shard").parquet(stored)
+        features = features.sparkSession.read.parquet(stored)
     for name, build in (("nodes", graph_nodes), ("edges", graph_edges)):
         _writer(build(features, ("shard", row_id)), mode).partitionBy("shard").parquet(f"{path}/{name}")
+    if stored:
+        delete_path(features.sparkSession, stored)
