@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.tables import (
-    FAM, LEVELS, LVL, PTS, VARS, big, columns, embeddings, long_matrix, long_vector, profiles, rnd, sql_rnd, table,
+    FAM, LEVELS, LVL, PTS, VARS, big, columns, embeddings, long_matrix, long_vector, profiles, registry, rnd, sql_rnd, table,
 )
 from gridframe.functions import arrays, physics
 from gridframe.operators import moments, normalize, reshape
@@ -13,22 +13,11 @@ from gridframe.operators.index import with_shard
 from gridframe.schema import LAST_TIMESTEP, variables
 from gridframe.sources.columns import every_nth, pick_variable
 
-QUERIES = {}
-SQL = {}
+QUERIES, SQL, query = registry()
 
 ID = ["column_id"]
 
 
-def query(name: str, sql: str | None = None):
-    def register(fn):
-        QUERIES[name] = fn
-        if sql is not None:
-            SQL[name] = sql
-        return fn
-
-    return register
-
-
 @query("p1_select_features", f"WITH {FAM} SELECT column_id, variable * 16 + level AS pos, v AS value FROM flux")
 def _(spark, sf):
     picked = reshape.select_features(columns(spark, sf), ["flux_dn_sw", "flux_up_sw", "flux_dn_lw", "flux_up_lw"])

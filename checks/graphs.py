@@ -6,29 +6,18 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
-from checks.tables import FAM, LEVELS, LVL, big, columns, embeddings, profiles, rnd, sql_rnd
+from checks.tables import FAM, LEVELS, LVL, big, columns, embeddings, profiles, registry, rnd, sql_rnd
 from gridframe.functions.arrays import node_targets
 from gridframe.operators import attention, pathgraph, reshape
 from gridframe.operators.index import with_shard
 from gridframe.session import scratch_path
 from gridframe.sources import shards
 
-QUERIES = {}
-SQL = {}
+QUERIES, SQL, query = registry()
 
 ID = ["column_id"]
 
 
-def query(name: str, sql: str | None = None):
-    def register(fn):
-        QUERIES[name] = fn
-        if sql is not None:
-            SQL[name] = sql
-        return fn
-
-    return register
-
-
 # Directed edges of the 16-level path, with the layer each runs through.
 _TEMPLATE = """tpl AS (SELECT i + 1 AS src, i AS dst, i AS layer FROM range(15) r(i)
     UNION ALL SELECT i, i + 1, i FROM range(15) r(i))"""

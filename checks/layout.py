@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from checks.tables import FAM, LVL, PTS, big, columns, embeddings, long_matrix, long_vector, profiles, rnd, sql_rnd, table
+from checks.tables import FAM, LVL, PTS, big, columns, embeddings, long_matrix, long_vector, profiles, registry, rnd, sql_rnd, table
 from gridframe.functions.draws import hash_key
 from gridframe.operators import align, batches, evaluate, index, moments, reshape, split
 from gridframe.schema import COLUMNS, MATRIX, STATS, VECTOR
@@ -13,22 +13,11 @@ from gridframe.session import scratch_path
 from gridframe.sources import catalog, shards
 from gridframe.sources import columns as source
 
-QUERIES = {}
-SQL = {}
+QUERIES, SQL, query = registry()
 
 SEED = 42
 
 
-def query(name: str, sql: str | None = None):
-    def register(fn):
-        QUERIES[name] = fn
-        if sql is not None:
-            SQL[name] = sql
-        return fn
-
-    return register
-
-
 def _schema(kind, *extra: str) -> T.StructType:
     fields = [T.StructField("column_id", T.LongType()), T.StructField("x", kind), T.StructField("y", kind)]
     if kind is MATRIX:

@@ -6,24 +6,13 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from checks.search import _TOY, _toy_trials
-from checks.tables import LVL, columns, embeddings, rnd, sql_rnd, table
+from checks.tables import LVL, columns, embeddings, registry, rnd, sql_rnd, table
 from gridframe.functions.arrays import node_targets
 from gridframe.operators import moments, reshape, split, trials
 from gridframe.plans import learn, search
 from gridframe.session import scratch_path
 
-QUERIES = {}
-SQL = {}
-
-
-def query(name: str, sql: str | None = None):
-    def register(fn):
-        QUERIES[name] = fn
-        if sql is not None:
-            SQL[name] = sql
-        return fn
-
-    return register
+QUERIES, SQL, query = registry()
 
 
 # -- one linear layer: two steps, followed exactly in SQL ------------------------------------------------------------

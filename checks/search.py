@@ -8,26 +8,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.tables import big, rnd, sql_rnd, table
+from checks.tables import big, registry, rnd, sql_rnd, table
 from gridframe.operators import trials
 from gridframe.operators.index import with_group_position
 
-QUERIES = {}
-SQL = {}
+QUERIES, SQL, query = registry()
 
 SEED = 7
 
 
-def query(name: str, sql: str | None = None):
-    def register(fn):
-        QUERIES[name] = fn
-        if sql is not None:
-            SQL[name] = sql
-        return fn
-
-    return register
-
-
 def _trials(spark, sf):
     return table(spark, sf, "customer").select(F.col("c_custkey").alias("trial_id"))
 

@@ -14,6 +14,22 @@ LEVELS = 16
 VARS = 4
 
 
+def registry():
+    """Queries and SQL of a module, and the decorator that adds to them."""
+    queries, sql_of = {}, {}
+
+    def query(name: str, sql: str | None = None):
+        def register(fn):
+            queries[name] = fn
+            if sql is not None:
+                sql_of[name] = sql
+            return fn
+
+        return register
+
+    return queries, sql_of, query
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
