@@ -10,18 +10,22 @@ from checks.tables import (
 from gridframe.functions import arrays, physics
 from gridframe.operators import moments, normalize, reshape
 from gridframe.operators.index import with_shard
-from gridframe.schema import LAST_TIMESTEP, variables
-from gridframe.sources.columns import every_nth, pick_variable
+from gridframe.schema import FAMILIES, FEATURES, LAST_TIMESTEP, variables
+from gridframe.sources.columns import every_nth, pick_variable, union_parts
 
 QUERIES, SQL, query = registry()
 
 ID = ["column_id"]
 
 
-@query("p1_select_features", f"WITH {FAM} SELECT column_id, variable * 16 + level AS pos, v AS value FROM flux")
+@query("p1_select_features", f"""WITH {FAM} SELECT column_id, pos, v AS value FROM sca
+  UNION ALL SELECT column_id, 17 + level * 27 + variable, v FROM col
+  UNION ALL SELECT column_id, 422 + level * 2 + variable, v FROM hl
+  UNION ALL SELECT column_id, 454 + level, v FROM inter
+  UNION ALL SELECT column_id, 468 + variable * 16 + level, v FROM flux""")
 def _(spark, sf):
-    picked = reshape.select_features(columns(spark, sf), ["flux_dn_sw", "flux_up_sw", "flux_dn_lw", "flux_up_lw"])
-    return long_vector(picked, ID, F.concat(*picked.columns[1:]))
+    picked = reshape.select_features(columns(spark, sf), FEATURES)
+    return long_vector(picked, ID, F.concat(*[reshape.as_vector(picked, c) for c in FEATURES]))
 
 
 @query("p2_flatten_row", f"WITH {PTS} SELECT column_id, pos, v AS value FROM pts")
@@ -112,16 +116,18 @@ def _(spark, sf):
     return report.withColumn("shard", big("shard"))
 
 
+def _names_sql(family: str) -> str:
+    return f"(VALUES {', '.join(f'({i}, {n!r})' for i, n in enumerate(variables(family)))}) n(i, name)"
+
+
 @query("s3_variables", f"""WITH {FAM}
-  SELECT 'sw_albedo_band_0' AS name, column_id, CAST(0 AS BIGINT) AS pos, v AS value FROM sca WHERE pos = 2
-  UNION ALL SELECT 'lw_emissivity_band_1', column_id, 0, v FROM sca WHERE pos = 15
-  UNION ALL SELECT 'n2o_vmr', column_id, level, v FROM col WHERE variable = 3
-  UNION ALL SELECT 're_ice', column_id, level, v FROM col WHERE variable = 26
-  UNION ALL SELECT 'pressure_hl', column_id, level, v FROM hl WHERE variable = 1
-  UNION ALL SELECT 'overlap_param', column_id, level, v FROM inter""")
+  SELECT name, column_id, CAST(0 AS BIGINT) AS pos, v AS value FROM sca JOIN {_names_sql('sca_inputs')} ON pos = i
+  UNION ALL SELECT name, column_id, level, v FROM col JOIN {_names_sql('col_inputs')} ON variable = i
+  UNION ALL SELECT name, column_id, level, v FROM hl JOIN {_names_sql('hl_inputs')} ON variable = i
+  UNION ALL SELECT name, column_id, level, v FROM inter JOIN {_names_sql('inter_inputs')} ON variable = i""")
 def _(spark, sf):
     records, parts = columns(spark, sf), []
-    names = ["sw_albedo_band_0", "lw_emissivity_band_1", "n2o_vmr", "re_ice", "pressure_hl", "overlap_param"]
+    names = [n for family in FAMILIES for n in variables(family)]
     for name in names:
         records = pick_variable(records, name)
         flat = records.schema[name].dataType.typeName() != "array"
@@ -149,10 +155,15 @@ def _rounded(df, *keys):
     return df.select(*keys, *[rnd(F.col(c)).alias(c) for c in ("mean", "std") if c in df.columns])
 
 
-@query("a1_variable_moments", f"""WITH {FAM}, named(variable, name) AS (VALUES (0, 'temperature_hl'), (1, 'pressure_hl'))
-  SELECT name, count(*) AS n, {_MOMENTS} FROM hl JOIN named USING (variable) GROUP BY name""")
+_SOURCES = {"sca_inputs": ("sca", "pos"), "col_inputs": ("col", "variable"), "hl_inputs": ("hl", "variable"), "inter_inputs": ("inter", "variable")}
+
+
+@query("a1_variable_moments", f"WITH {FAM} " + " UNION ALL ".join(
+    f"SELECT name, count(*) AS n, {_MOMENTS} FROM {t} JOIN {_names_sql(family)} ON {key} = i GROUP BY name" for family, (t, key) in _SOURCES.items()))
 def _(spark, sf):
-    return _rounded(moments.variable_moments(columns(spark, sf), "hl_inputs", variables("hl_inputs")), "name", "n")
+    records = columns(spark, sf)
+    found = [moments.variable_moments(records, family, variables(family)) for family in FAMILIES]
+    return _rounded(union_parts(found), "name", "n")
 
 
 @query("a2_profile_moments", f"WITH {LVL} SELECT variable, level, {_MOMENTS} FROM lvl GROUP BY ALL")

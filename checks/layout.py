@@ -119,9 +119,13 @@ def _(spark, sf):
     return source.union_parts(parts)
 
 
-@query("u1_read_parts", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders UNION ALL SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
+@query("u1_read_parts", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
 def _(spark, sf):
-    return source.read_parts(spark, [f"{sf}/orders.parquet"] * 2).select("o_orderkey", "o_custkey", "o_totalprice")
+    paths = []
+    for rest in range(2):
+        paths.append(scratch_path(spark, "orders"))
+        _orders(spark, sf).where(F.col("o_orderkey") % 2 == rest).write.parquet(paths[-1])
+    return source.read_parts(spark, paths).select("o_orderkey", "o_custkey", "o_totalprice")
 
 
 # -- sinks and catalogue ---------------------------------------------------------------------------------------------
