@@ -181,8 +181,8 @@ def fit(
 
     The model is fitted on a bounded sample: labels are drawn by a hash of the id until about ``most_rows`` documents
     remain, twice that at most, and those labels are broadcast to the scan. A document with several labels is toxic if
-    one of them is; null labels, ids and texts are left out. ``features`` words and beginnings are selected by how far
-    their document rates differ between the labels. Every sentence with an identity term is also presented with each
+    one of them is; null labels, ids and texts are left out. ``features`` words and beginnings are those whose
+    document rate among toxic rows exceeds that among clean ones most. Every sentence with an identity term is also presented with each
     other term of its group, and ``balance`` weighs the squared change of its logit, so that mentioning a group does
     not move a score. Without both labels the model scores every text alike, by the share of toxic labels.
     """
