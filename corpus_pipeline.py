@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from gridframe.llm import decontaminate, langid, partenum, pieces, substring, vocabulary
 from gridframe.llm.idmap import id_map
+from gridframe.llm.textbytes import small_batches
 from gridframe.session import cut, scratch_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -23,6 +24,7 @@ def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     The centroids are learned from the stage's own labelled rows. Documents without a letter and those far from every
     centroid are rejected.
     """
+    small_batches(spark)
     model = langid.fit(docs.where("doc_id IS NOT NULL"))
     judged = langid.predict(docs.select(*COLUMNS), model)
     return judged.where("NOT rejected").select(*COLUMNS)
@@ -33,6 +35,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Of rows that share its id, the first by its columns stays.
     """
+    small_batches(spark)
     found = partenum.similar_components(docs).where("doc_id IS NOT NULL")
     # Only documents that go or whose id repeats must meet the result; a bit map lets the others pass where they are.
     ids = cut(found.groupBy("doc_id").agg(F.count("*").alias("n"), F.min("component_id").alias("first")))
@@ -50,6 +53,7 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     A document with no word left goes; one that had none stays.
     """
+    small_batches(spark)
     kept = substring.remove_repeats(docs.select(*COLUMNS))
     changed = F.col("n_removed") > 0
     text = F.when(changed, F.col("kept")).otherwise(F.col("text"))
@@ -60,14 +64,16 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no benchmark item is found."""
+    small_batches(spark)
     found = decontaminate.find_matches(docs.select(*COLUMNS), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return found.where(F.size("matches") == 0).select(*COLUMNS)
 
 
 def as_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, n_pieces, pieces`` and whether decoding gives the text back."""
+    small_batches(spark)
     words = vocabulary.load()
-    decoded = pieces.decode(pieces.encode(docs.select("doc_id", "text"), words), words)
+    decoded = pieces.round_trip(docs.select("doc_id", "text"), words)
     exact = F.col("decoded") == F.coalesce("text", F.lit(""))
     return decoded.select("doc_id", F.size("pieces").cast("long").alias("n_pieces"), "pieces", exact.alias("exact"))
 

@@ -129,6 +129,49 @@ def best_pieces(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, trie: D
     return ids[by].astype("int32"), np.bincount(owner, minlength=len(sizes)), best[offset + sizes]
 
 
+#: Bytes of text that a task encodes at a time.
+SLICE = 500_000
+
+
+def _encoder(vocabulary: Vocabulary) -> tuple:
+    return build_trie(vocabulary.pieces), vocabulary, crossed_bytes(vocabulary)
+
+
+def _encoded(column: pa.Array, encoder: tuple) -> pa.ListArray:
+    """Piece ids of each text."""
+    trie, vocabulary, crossed = encoder
+    s = Segments(column, crossed)
+    ids, counts, _ = best_pieces(s.data, s.starts[s.unique], s.sizes[s.unique], trie, vocabulary)
+    first = np.cumsum(counts) - counts
+    n = counts[s.which]
+    ends = np.append(0, np.cumsum(n))
+    source = np.repeat(first[s.which] - ends[:-1], n) + np.arange(int(ends[-1]))
+    return pa.ListArray.from_arrays(ends[s.of_text].astype("int32"), pa.array(ids[source]))
+
+
+def _decoder(vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """Letters of all ids end to end, and how many each has; the last one stands for ids outside the vocabulary."""
+    table = {int(i): p for i, p in zip(vocabulary.ids, vocabulary.pieces)}
+    table |= {int(i): bytes([b]) for b, i in enumerate(vocabulary.byte_ids)}
+    spelled = [table.get(i, "\ufffd".encode()) for i in range(max(table) + 2)]
+    return np.frombuffer(b"".join(spelled), dtype="uint8"), np.array([len(x) for x in spelled], dtype="int64")
+
+
+def _decoded(column: pa.ListArray, decoder: tuple[np.ndarray, np.ndarray]) -> pa.Array:
+    """Text of each list of ids."""
+    letters, sizes = decoder
+    first, last = np.cumsum(sizes) - sizes, len(sizes) - 1
+    counts = np.array(column.value_lengths().fill_null(0))
+    ids = column.flatten().fill_null(last).to_numpy(zero_copy_only=False).astype("int64")
+    ids = np.where((ids < 0) | (ids > last), last, ids)
+    n = sizes[ids]
+    ends = np.append(0, np.cumsum(n))
+    data = letters[np.repeat(first[ids] - ends[:-1], n) + np.arange(int(ends[-1]))].tobytes()
+    cuts = ends[np.append(0, np.cumsum(counts))]
+    texts = [data[a:b].decode(errors="replace") for a, b in zip(cuts[:-1], cuts[1:])]
+    return pa.array([t[1:] if t[:1] == " " else t for t in texts], pa.string())
+
+
 def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") -> DataFrame:
     """``docs`` with ``pieces``, the piece ids of the whole text; a null or empty text has none.
 
@@ -137,19 +180,12 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") -> DataF
     The trie, bounded by the vocabulary, is broadcast.
     """
     kept = docs.drop("pieces")
-    shared = docs.sparkSession.sparkContext.broadcast((build_trie(vocabulary.pieces), vocabulary, crossed_bytes(vocabulary)))
+    shared = docs.sparkSession.sparkContext.broadcast(_encoder(vocabulary))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie, words, crossed = shared.value
         for batch in batches:
-            for part in blocks(batch, text, most_bytes=2_000_000):
-                s = Segments(part.column(text), crossed)
-                ids, counts, _ = best_pieces(s.data, s.starts[s.unique], s.sizes[s.unique], trie, words)
-                first = np.cumsum(counts) - counts
-                n = counts[s.which]
-                ends = np.append(0, np.cumsum(n))
-                source = np.repeat(first[s.which] - ends[:-1], n) + np.arange(int(ends[-1]))
-                lists = pa.ListArray.from_arrays(ends[s.of_text].astype("int32"), pa.array(ids[source]))
+            for part in blocks(batch, text, SLICE):
+                lists = _encoded(part.column(text), shared.value)
                 yield pa.RecordBatch.from_arrays([*part.columns, lists], names=[*part.schema.names, "pieces"])
 
     return kept.mapInArrow(run, added(kept, pieces="array<int>"))
@@ -161,29 +197,32 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary, pieces: str = "pieces", i
     Ids outside the vocabulary and bytes that are no UTF-8 become U+FFFD. Null or empty lists give an empty text.
     """
     kept = encoded.drop(into)
-    table = {int(i): p for i, p in zip(vocabulary.ids, vocabulary.pieces)}
-    table |= {int(i): bytes([b]) for b, i in enumerate(vocabulary.byte_ids)}
-    size = max(table) + 2
-    spelled = [table.get(i, "�".encode()) for i in range(size)]
-    sizes = np.array([len(x) for x in spelled], dtype="int64")
-    shared = encoded.sparkSession.sparkContext.broadcast((np.frombuffer(b"".join(spelled), dtype="uint8"), sizes))
+    shared = encoded.sparkSession.sparkContext.broadcast(_decoder(vocabulary))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        letters, sizes = shared.value
-        first = np.cumsum(sizes) - sizes
         for batch in batches:
-            for start in range(0, batch.num_rows, 1000):
-                part = batch.slice(start, 1000)
-                column = part.column(pieces)
-                counts = np.array(column.value_lengths().fill_null(0))
-                ids = column.flatten().fill_null(size - 1).to_numpy(zero_copy_only=False).astype("int64")
-                ids = np.where((ids < 0) | (ids >= size), size - 1, ids)
-                n = sizes[ids]
-                ends = np.append(0, np.cumsum(n))
-                data = letters[np.repeat(first[ids] - ends[:-1], n) + np.arange(int(ends[-1]))].tobytes()
-                cuts = ends[np.append(0, np.cumsum(counts))]
-                texts = [data[a:b].decode(errors="replace") for a, b in zip(cuts[:-1], cuts[1:])]
-                texts = [t[1:] if t[:1] == " " else t for t in texts]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*part.schema.names, into])
+            for start in range(0, batch.num_rows, 200):
+                part = batch.slice(start, 200)
+                texts = _decoded(part.column(pieces), shared.value)
+                yield pa.RecordBatch.from_arrays([*part.columns, texts], names=[*part.schema.names, into])
 
     return kept.mapInArrow(run, added(kept, **{into: "string"}))
+
+
+def round_trip(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") -> DataFrame:
+    """:func:`encode` and :func:`decode` in one pass: ``docs`` with ``pieces`` and the ``decoded`` text of those ids.
+
+    One Python process a task does both, with half the memory of the two steps one after the other.
+    """
+    kept = docs.drop("pieces", "decoded")
+    shared = docs.sparkSession.sparkContext.broadcast((_encoder(vocabulary), _decoder(vocabulary)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, decoder = shared.value
+        for batch in batches:
+            for part in blocks(batch, text, SLICE):
+                lists = _encoded(part.column(text), encoder)
+                columns = [*part.columns, lists, _decoded(lists, decoder)]
+                yield pa.RecordBatch.from_arrays(columns, names=[*part.schema.names, "pieces", "decoded"])
+
+    return kept.mapInArrow(run, added(kept, pieces="array<int>", decoded="string"))

@@ -19,6 +19,7 @@ from gridframe.llm import (
     toxicity,
     vocabulary,
 )
+from gridframe.llm.textbytes import small_batches
 
 QUERIES = {}
 SQL = {}
@@ -35,6 +36,8 @@ def query(name: str, sql: str | None = None):
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    if name == "documents":
+        small_batches(spark)
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
@@ -181,7 +184,7 @@ def piece_round_trip(spark, sf):
     """Encode every text, decode the ids, and report the number of pieces, a digest of them and the decoded text's."""
     docs = table(spark, sf, "documents").select("doc_id", "text")
     words = vocabulary.load()
-    decoded = pieces.decode(pieces.encode(docs, words), words)
+    decoded = pieces.round_trip(docs, words)
     return decoded.select(
         "doc_id", F.size("pieces").cast("long").alias("n_pieces"), F.xxhash64("pieces").alias("pieces_hash"),
         F.sha2("decoded", 256).alias("decoded_sha256"), (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("exact"),

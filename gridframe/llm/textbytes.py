@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 #: Bytes that separate words: space and 0x09 to 0x0D.
@@ -27,6 +27,12 @@ def added(df: DataFrame, **columns: str) -> T.StructType:
     return T.StructType([*df.schema.fields, *[T.StructField(n, T._parse_datatype_string(t)) for n, t in columns.items()]])
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Hand whole texts to Python in Arrow batches of some megabytes: ten thousand rows a batch, the default, would
+    take several times a batch's text in each task. A setting of the session, for programs to make."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser."""
     x = x.astype("uint64", copy=True)
