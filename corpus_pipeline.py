@@ -21,8 +21,8 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the labelled languages; ``lang`` stays as it came.
 
-    The centroids are learned from the stage's own labelled rows. Documents without a letter and those far from every
-    centroid are rejected.
+    The centroids are learned from the stage's own labelled rows. Documents without a letter are rejected, and those
+    farther from every centroid than labelled rows of their size are from their own language.
     """
     small_batches(spark)
     model = langid.fit(docs.where("doc_id IS NOT NULL"))

@@ -18,12 +18,13 @@ UNKNOWN = "und"
 
 @dataclass(frozen=True)
 class Centroids:
-    """Unit centroids (rows), their languages, the inverse document frequencies, and the largest accepted distance."""
+    """Unit centroids (rows), their languages, the inverse document frequencies, and the largest accepted distances,
+    one row per centroid and one column per size class of a text."""
 
     langs: tuple[str, ...]
     vectors: np.ndarray
     idf: np.ndarray
-    reject_distance: float
+    limits: np.ndarray
 
 
 def _folded(data: np.ndarray) -> np.ndarray:
@@ -75,6 +76,11 @@ def _vectors(column: pa.Array, idf: np.ndarray) -> np.ndarray:
     return _unit(np.log1p(ngram_counts(column, len(idf))) * idf)
 
 
+def _size_class(x: np.ndarray) -> np.ndarray:
+    """Doublings of the number of buckets a text fills: repeating a short text does not make it a long one."""
+    return np.log2(np.maximum((x > 0).sum(1), 1)).astype("int64")
+
+
 def _has_letter(column: pa.Array) -> np.ndarray:
     data, offsets = raw(column)
     plain = ((data | 0x20) >= 0x61) & ((data | 0x20) <= 0x7A) & (data < 0x80)
@@ -122,6 +128,41 @@ def _cluster(x: np.ndarray, clusters: int, rounds: int) -> np.ndarray:
     return centres
 
 
+def _limits(
+    docs: DataFrame, langs: tuple[str, ...], vectors: np.ndarray, idf: np.ndarray, quantile: float, slack: float, least: int, most: float
+) -> np.ndarray:
+    """The largest accepted distance of each centroid and size class, from all labelled rows with a letter.
+
+    A language's limit in a class is the quantile of its rows' distances to their own language, moved by ``slack`` of
+    the way to 1. Classes with fewer than ``least`` rows of the language take all languages' rows, with fewer of these
+    the limit of the next smaller class (shorter texts lie farther off), and below the first such class ``most``.
+    """
+    names = np.array(langs, dtype=object)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in blocks(batch, most_bytes=1_000_000):
+                for start in range(0, block.num_rows, 256):
+                    part = block.slice(start, 256)
+                    lang = np.array(part.column("lang").to_pylist(), dtype=object)
+                    x = _vectors(part.column("text"), idf)
+                    own = np.where(lang[:, None] == names[None], x @ vectors.T, -1.0).max(1)
+                    use = _has_letter(part.column("text")) & (own >= 0)
+                    columns = [pa.array(lang[use], pa.string()), pa.array(_size_class(x)[use]), pa.array(1 - own[use])]
+                    yield pa.RecordBatch.from_arrays(columns, names=["lang", "size_class", "distance"])
+
+    far = docs.select("text", "lang").mapInArrow(run, "lang string, size_class long, distance double")
+    far = far.groupingSets([["lang", "size_class"], ["size_class"]], "lang", "size_class")
+    rows = far.agg(F.count("*").alias("n"), F.percentile_approx("distance", quantile).alias("d")).collect()
+    found = {(r["lang"], r["size_class"]): r["d"] + slack * (1 - r["d"]) for r in rows if r["n"] >= least}
+    out = np.full((len(langs), int(np.log2(len(idf))) + 1), most)
+    for i, lang in enumerate(langs):
+        for k in range(out.shape[1]):
+            limit = found.get((lang, k), found.get((None, k), out[i, k - 1] if k else most))
+            out[i, k] = min(limit, most)
+    return out
+
+
 def fit(
     docs: DataFrame,
     clusters: int = 4,
@@ -129,12 +170,18 @@ def fit(
     sample_per_lang: int = 800,
     rounds: int = 8,
     reject_distance: float = 0.97,
+    reject_quantile: float = 0.99,
+    reject_slack: float = 0.4,
+    reject_rows: int = 30,
 ) -> Centroids:
     """Centroids from labelled documents (``doc_id, text, lang``; rows with a null text or lang are left out).
 
     Document frequencies cover every row. The clusters of a language are found in one task per language from a bounded
     sample, about ``sample_per_lang`` rows drawn by a hash of the id (every row of smaller languages), twice that at
     most. The driver receives ``size`` frequencies and ``clusters`` vectors of that length per language.
+
+    The distances beyond which a text is rejected are an aggregate over all these rows by language and size of text
+    (``_limits``); ``reject_distance`` is the largest possible and stands where rows are too few.
     """
     docs = docs.select("doc_id", "text", "lang").where("text IS NOT NULL AND lang IS NOT NULL")
     n, df = _document_frequencies(docs, size)
@@ -158,7 +205,11 @@ def fit(
     found = sample.groupBy("lang").applyInPandas(per_lang, "lang string, vector array<double>").collect() if sizes else []
     found = sorted(((r["lang"], tuple(r["vector"])) for r in found))
     vectors = np.array([v for _, v in found]) if found else np.zeros((0, size))
-    return Centroids(tuple(lang for lang, _ in found), vectors, idf, reject_distance)
+    langs = tuple(lang for lang, _ in found)
+    if not langs:
+        return Centroids(langs, vectors, idf, np.zeros((0, 0)))
+    limits = _limits(docs, langs, vectors, idf, reject_quantile, reject_slack, reject_rows, reject_distance)
+    return Centroids(langs, vectors, idf, limits)
 
 
 def predict(docs: DataFrame, model: Centroids) -> DataFrame:
@@ -166,7 +217,7 @@ def predict(docs: DataFrame, model: Centroids) -> DataFrame:
 
     ``lang_pred`` is the language of the centroid with the largest cosine and ``score`` that cosine (0 to 1). A null
     text, one without a letter, and any text where no language was learned give ``und`` and 0. ``rejected`` is true for
-    those and where the distance, 1 less the cosine, exceeds the model's limit. Columns of these names are replaced.
+    those and where the distance, 1 less the cosine, exceeds the limit of the language and the text's size. Columns of these names are replaced.
     """
     made = ("lang_pred", "score", "rejected")
     kept = docs.drop(*made)
@@ -181,11 +232,14 @@ def predict(docs: DataFrame, model: Centroids) -> DataFrame:
                     text = part.column("text")
                     valid = _has_letter(text) & bool(len(model.langs))
                     best, score = np.full(part.num_rows, len(model.langs)), np.zeros(part.num_rows)
+                    rejected = ~valid
                     if valid.any():
-                        cosine = _vectors(text, model.idf) @ model.vectors.T
-                        best = np.where(valid, cosine.argmax(1), best)
+                        x = _vectors(text, model.idf)
+                        cosine = x @ model.vectors.T
+                        nearest = cosine.argmax(1)
+                        best = np.where(valid, nearest, best)
                         score = np.where(valid, np.clip(cosine.max(1), 0, 1), 0.0)
-                    rejected = ~valid | (1 - score > model.reject_distance)
+                        rejected |= 1 - score > model.limits[nearest, _size_class(x)]
                     columns = [pa.array(langs[best], pa.string()), pa.array(score), pa.array(rejected)]
                     yield pa.RecordBatch.from_arrays([*part.columns, *columns], names=[*part.schema.names, *made])
 

@@ -39,6 +39,32 @@ def test_languages_of_unseen_rows(spark):
     assert all(0 <= r.score <= 1 for r in got.values())
 
 
+FOREIGN = [
+    "suomen kieli on uralilaisten kielten ryhmään kuuluva kieli kesällä lapset uivat järvessä ja vanhemmat istuivat laiturilla",
+    "język polski należy do grupy języków zachodniosłowiańskich wczoraj wieczorem poszliśmy do kina ale film nie był ciekawy",
+    "la lingua italiana è parlata principalmente in italia ieri sera siamo andati al cinema con gli amici ma siamo tornati presto",
+    "русский язык является одним из восточнославянских языков вчера вечером мы пошли в кино с друзьями но фильм оказался",
+    "汉语是世界上使用人数最多的语言之一昨天晚上我们和朋友去看电影但是电影不太有意思所以我们很早就回家了",
+    "χθες το βράδυ πήγαμε σινεμά με φίλους αλλά η ταινία δεν ήταν ενδιαφέρουσα και γυρίσαμε νωρίς στο σπίτι μας",
+]
+
+
+def test_unlearned_languages_are_rejected_and_labelled_rows_stay(spark):
+    rows = language_rows(900, 3)
+    rng = random.Random(4)
+    short = [(1000 + i, " ".join(rng.choices(SAMPLES[lang], k=rng.randint(1, 3))), lang) for i in range(300) for lang in [list(SAMPLES)[i % 3]]]
+    df = spark.createDataFrame(rows + short, "doc_id long, text string, lang string")
+    model = langid.fit(df)
+    assert langid.predict(df, model).where("rejected").count() == 0
+    unseen = spark.createDataFrame(language_rows(300, 5), "doc_id long, text string, lang string")
+    assert langid.predict(unseen, model).where("rejected").count() == 0
+    scripts = ["αβγδεζηθικλμνξοπρστυφχψω", "ابتثجحخدذرزسشصضطظعغفقكلم", "абвгдежзийклмнопрстуфхцч", "abcdefghijklmnopqrstuvwxyz"]
+    words = [" ".join("".join(rng.choices(a, k=rng.randint(2, 9))) for _ in range(n)) for a in scripts for n in (60, 300, 3000)]
+    texts = [(" " + t) * n for t in FOREIGN for n in (1, 20)] + words
+    foreign = spark.createDataFrame([(t,) for t in texts], "text string")
+    assert [r.text[:40] for r in langid.predict(foreign, model).where("NOT rejected").collect()] == []
+
+
 def test_languages_without_training_rows(spark):
     empty = spark.createDataFrame([(1, None, "en"), (2, "abc", None)], "doc_id long, text string, lang string")
     model = langid.fit(empty)
