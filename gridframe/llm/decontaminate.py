@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -57,9 +58,41 @@ def _grams(data: np.ndarray) -> np.ndarray:
     return np.lib.stride_tricks.as_strided(np.ascontiguousarray(data), (n, Q), (1, 1)).copy().view("uint64").ravel()
 
 
+def _edges(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Whether a word may begin or end before each byte, and at the end.
+
+    Words are bounded by spaces, the ends of a text, Latin-1 signs, and characters of scripts written without spaces
+    (U+2000 and up, Thai to Tibetan, Myanmar, Khmer).
+    """
+    n = len(data)
+    second = np.append(data[1:], 0)
+    lone = (data == 0x20) | (data == 0xC2) | (data >= 0xE2) | ((data == 0xE0) & (second >= 0xB8))
+    lone |= (data == 0xE1) & (np.isin(second, (0x80, 0x81, 0x82, 0x9E, 0x9F)))
+    lead = np.maximum.accumulate(np.where((data & 0xC0) != 0x80, np.arange(n), 0))
+    lone = lone[lead]
+    out = np.zeros(n + 1, dtype=bool)
+    out[1:n] = lone[1:] | lone[:-1]
+    out[offsets] = True
+    return out
+
+
+def _padded_grams(data: np.ndarray) -> np.ndarray:
+    """The Q bytes from every position, zeros after the end."""
+    return _grams(np.append(data, np.zeros(Q - 1, dtype="uint8")))
+
+
+def _low(size: int) -> np.uint64:
+    """Masks the first ``size`` bytes of a gram."""
+    return np.uint64((1 << 8 * size) - 1)
+
+
 @dataclass(frozen=True)
 class BenchmarkIndex:
-    """The q-grams of one block of benchmark items: sorted grams, their places, a bit map, and per-item bounds."""
+    """The q-grams of one block of benchmark items: sorted grams, their places, a bit map, and per-item bounds.
+
+    Items with ``whole`` set must occur unchanged from word edge to word edge. Those under Q bytes are in ``tiny``, by
+    size: sorted distinct bytes as numbers, first places, items.
+    """
 
     ids: np.ndarray
     data: np.ndarray
@@ -71,26 +104,44 @@ class BenchmarkIndex:
     item: np.ndarray
     place: np.ndarray
     seen: np.ndarray
+    whole: np.ndarray
+    tiny: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]
 
 
-def build_index(ids: np.ndarray, texts: pa.Array, edit_rate: float, min_chars: int) -> BenchmarkIndex | None:
+def build_index(
+    ids: np.ndarray, texts: pa.Array, edit_rate: float, min_chars: int, short_words: bool = False
+) -> BenchmarkIndex | None:
     data, offsets = normalised(texts)
     sizes = np.diff(offsets)
     # The lemma: with e edits, size - Q + 1 - Q * e q-grams stay; e is lowered where that would be none.
     edits = np.maximum(np.minimum((edit_rate * sizes).astype("int64"), (sizes - Q) // Q), 0)
+    whole = sizes < max(min_chars, Q)
+    edits[whole] = 0
     least = sizes - Q + 1 - Q * edits
     item = np.repeat(np.arange(len(ids)), sizes)
     gram = _grams(data)
-    inside = (item[: len(gram)] == item[Q - 1 :]) & (sizes[item[: len(gram)]] >= max(min_chars, Q))
-    at = np.flatnonzero(inside)
-    if not len(at):
+    at = np.flatnonzero(item[: len(gram)] == item[Q - 1 :])
+    spaces = np.append(0, np.cumsum(data == 0x20))[offsets]
+    searched = short_words | (np.diff(spaces) > 0)
+    tiny, padded = {}, _padded_grams(data)
+    for size in range(1, Q):
+        which = np.flatnonzero((sizes == size) & searched)
+        value = padded[offsets[which]] & _low(size)
+        order = np.argsort(value, kind="stable")
+        values, first = np.unique(value[order], return_index=True)
+        if len(which):
+            tiny[size] = (values, np.append(first, len(which)), which[order])
+    left = int(((sizes > 0) & (sizes < Q) & ~searched).sum())
+    if left:
+        warnings.warn(f"{left} benchmark items of one word under {Q} bytes are not searched for (short_words=False)", stacklevel=2)
+    if not len(at) and not tiny:
         return None
     at = at[np.argsort(gram[at], kind="stable")]
     grams, first = np.unique(gram[at], return_index=True)
     seen = np.zeros(1 << _MAP_BITS, dtype=bool)
     seen[(grams * _FACTOR) >> np.uint64(64 - _MAP_BITS)] = True
     return BenchmarkIndex(
-        ids, data, offsets, edits, least, grams, np.append(first, len(at)), item[at], at - offsets[item[at]], seen
+        ids, data, offsets, edits, least, grams, np.append(first, len(at)), item[at], at - offsets[item[at]], seen, whole, tiny
     )
 
 
@@ -122,6 +173,8 @@ def _candidates(data: np.ndarray, offsets: np.ndarray, index: BenchmarkIndex) ->
     Bands are as wide as the edits of their item plus one and overlap by that much, so every alignment within the edits
     lies in one whole band. A q-gram of the text is matched with every place it has in the item.
     """
+    if not len(index.grams):
+        return np.zeros((0, 3), dtype="int64")
     gram = _grams(data)
     hit = np.flatnonzero(index.seen[(gram * _FACTOR) >> np.uint64(64 - _MAP_BITS)])
     at = np.minimum(np.searchsorted(index.grams, gram[hit]), len(index.grams) - 1)
@@ -152,6 +205,34 @@ def _candidates(data: np.ndarray, offsets: np.ndarray, index: BenchmarkIndex) ->
     return np.stack([names >> np.uint64(48), (names >> np.uint64(32)) & np.uint64(0xFFFF), names & np.uint64(0xFFFFFFFF)], 1).astype("int64")
 
 
+def _tiny_matches(data: np.ndarray, offsets: np.ndarray, edge: np.ndarray, index: BenchmarkIndex) -> Iterator[tuple[int, int, int]]:
+    """Text, item and first place of the items under Q bytes."""
+    gram, starts = _padded_grams(data), np.flatnonzero(edge[:-1])
+    for size, (values, first, items) in index.tiny.items():
+        hit = starts[starts + size <= len(data)]
+        hit = hit[edge[hit + size]]
+        value = gram[hit] & _low(size)
+        at = np.minimum(np.searchsorted(values, value), len(values) - 1)
+        same = values[at] == value
+        hit, at = hit[same], at[same]
+        text = np.searchsorted(offsets, hit, side="right") - 1
+        inside = hit + size <= offsets[text + 1]
+        hit, at, text = hit[inside], at[inside], text[inside]
+        # Hits ascend, so the first of a text and value is the earliest.
+        _, once = np.unique(text * len(values) + at, return_index=True)
+        for k in once.tolist():
+            for item in items[first[at[k]] : first[at[k] + 1]].tolist():
+                yield int(text[k]), item, int(hit[k] - offsets[text[k]])
+
+
+def _whole_place(letters: bytes, region: bytes, edge: np.ndarray) -> int:
+    """First place of ``letters`` in ``region`` from word edge to word edge, or -1; ``edge`` has one entry more."""
+    place = region.find(letters)
+    while place >= 0 and not (edge[place] and edge[place + len(letters)]):
+        place = region.find(letters, place + 1)
+    return place
+
+
 def _search(index: BenchmarkIndex):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -166,6 +247,9 @@ def _matched(part: pa.RecordBatch, index: BenchmarkIndex) -> pa.RecordBatch:
     data, offsets = normalised(part.column("text"))
     found = [list(m or ()) for m in part.column("_matches").to_pylist()]
     best: dict[tuple[int, int], tuple[int, int]] = {}
+    edge = _edges(data, offsets) if len(data) and index.whole.any() else None
+    if len(data) and index.tiny:
+        best = {(text, item): (0, place) for text, item, place in _tiny_matches(data, offsets, edge, index)}
     for text, item, band in _candidates(data, offsets, index).tolist():
         letters = index.data[index.offsets[item] : index.offsets[item + 1]]
         edits = int(index.edits[item])
@@ -176,6 +260,12 @@ def _matched(part: pa.RecordBatch, index: BenchmarkIndex) -> pa.RecordBatch:
         a = max(0, low - edits)
         b = min(int(offsets[text + 1] - offsets[text]), low + 2 * (edits + 1) + len(letters) + edits)
         region = data[offsets[text] + a : offsets[text] + b]
+        if index.whole[item]:
+            begin = int(offsets[text]) + a
+            exact = _whole_place(letters.tobytes(), region.tobytes(), edge[begin : begin + len(region) + 1])
+            if exact >= 0:
+                best[text, item] = (0, a + exact)
+            continue
         exact = region.tobytes().find(letters.tobytes())
         distance, place = (0, exact) if exact >= 0 else banded_distance(letters, region, edits)
         if distance <= edits and (known is None or (distance, a + place) < known):
@@ -194,14 +284,16 @@ def find_matches(
     block_bytes: int = 2_000_000,
     item_id: str = "item_id",
     item_text: str = "text",
+    short_words: bool = False,
 ) -> DataFrame:
     """``docs`` (with ``text``) and ``matches``: the benchmark items found in each, with start and edits.
 
     An item is found where a part of the document aligns with the whole item in at most ``edit_rate`` edits a
     character; for short items fewer, so that the q-gram lemma still asks for one shared q-gram. Both sides are
     compared as lower-case letters and digits with single spaces between; ``start`` counts bytes in that form. Items
-    shorter than ``min_chars`` there, null ids and null texts are not searched for; null and empty documents have no
-    matches. The best alignment of an item is kept, the earliest of equal ones.
+    shorter than ``min_chars`` there are found where they occur unchanged from word edge to word edge. A single word
+    under Q bytes is searched for with ``short_words`` only (a warning tells how many are left out); null ids, null and
+    empty texts are not. Null and empty documents have no matches. A part of an item is no match. The best alignment of an item is kept, the earliest of equal ones.
 
     The benchmark is taken in blocks of about ``block_bytes`` of text, formed by a hash of the item id: each block is
     fetched, indexed and sent to the tasks, and the documents pass once per block. Documents are neither shuffled nor
@@ -217,7 +309,7 @@ def find_matches(
         part = items.where(F.pmod(F.xxhash64("item_id"), F.lit(n_blocks)) == block).orderBy("item_id", "text").toArrow()
         if part.num_rows:
             texts = part["text"].combine_chunks()
-            index = build_index(part["item_id"].to_numpy(), texts, edit_rate, min_chars)
+            index = build_index(part["item_id"].to_numpy(), texts, edit_rate, min_chars, short_words)
             if index is not None:
                 out = out.mapInArrow(_search(index), out.schema)
     return out.withColumn("matches", F.coalesce("_matches", F.array().cast(_MATCH))).drop("_matches")

@@ -177,3 +177,20 @@ def test_matches_odd_rows(spark):
     assert sorted((r.doc_id or 0, len(r.matches)) for r in got) == [(0, 1), (1, 1), (1, 1), (2, 0), (3, 0), (4, 0), (5, 1)]
     assert decontaminate.find_matches(df, bench.limit(0)).where("size(matches) > 0").count() == 0
     assert decontaminate.find_matches(df.limit(0), bench).count() == 0
+
+
+def test_short_items_are_found(spark):
+    items = [(1, "What is the capital of France?"), (2, "is pi odd"), (3, "a b c"), (4, "法国的首都是哪里"), (5, "été ici"), (6, "cat"), (7, "...")]
+    docs = [
+        (1, "He asked: what is the CAPITAL of france, and left."), (2, "somewhat is the capital of frances"), (3, "Is  pi odd"), (4, "this pi odd is pi oddly"),
+        (5, "x a, b, c"), (6, "xa b c a b cd"), (7, "问题:法国的首都是哪里?谢谢"), (8, "répété ici; été ici"), (9, "a cat sat"), (10, "is pi oddly is pi odd"), (11, "a b"), (12, "c"),
+    ]
+    df, bench = spark.createDataFrame(docs, DOCS).coalesce(1), spark.createDataFrame(items, "item_id long, text string")
+    want = {(1, 1), (3, 2), (5, 3), (7, 4), (8, 5), (10, 2)}
+    for block_bytes in (2_000_000, 20):
+        got = decontaminate.find_matches(df, bench, block_bytes=block_bytes).collect()
+        assert {(r.doc_id, m.item_id) for r in got for m in r.matches} == want
+        assert all(m.edits == 0 for r in got for m in r.matches)
+    assert {r.doc_id: r.matches[0].start for r in got if r.matches} == {1: 9, 3: 0, 5: 2, 7: len("问题:".encode()), 8: len("répété ici ".encode()), 10: 12}
+    got = decontaminate.find_matches(df, bench, short_words=True)
+    assert {(r.doc_id, m.item_id) for r in got.collect() for m in r.matches} == want | {(9, 6)}
