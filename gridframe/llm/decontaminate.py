@@ -25,6 +25,8 @@ _FOLD[0x80:] = np.arange(0x80, 0x100)
 _MATCH = "array<struct<item_id:bigint,start:bigint,edits:int>>"
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _MAP_BITS = 21
+#: Candidates hold the item's number in 16 bits.
+_MOST_ITEMS = 65_535
 
 
 def normalised(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -111,6 +113,8 @@ class BenchmarkIndex:
 def build_index(
     ids: np.ndarray, texts: pa.Array, edit_rate: float, min_chars: int, short_words: bool = False
 ) -> BenchmarkIndex | None:
+    if len(ids) > _MOST_ITEMS:
+        raise ValueError(f"{len(ids)} benchmark items in one block; {_MOST_ITEMS} can be numbered, lower block_bytes")
     data, offsets = normalised(texts)
     sizes = np.diff(offsets)
     # The lemma: with e edits, size - Q + 1 - Q * e q-grams stay; e is lowered where that would be none.
@@ -295,7 +299,7 @@ def find_matches(
     under Q bytes is searched for with ``short_words`` only (a warning tells how many are left out); null ids, null and
     empty texts are not. Null and empty documents have no matches. A part of an item is no match. The best alignment of an item is kept, the earliest of equal ones.
 
-    The benchmark is taken in blocks of about ``block_bytes`` of text, formed by a hash of the item id: each block is
+    The benchmark is taken in blocks of about ``block_bytes`` of text, formed by a hash of item id and text: each block is
     fetched, indexed and sent to the tasks, and the documents pass once per block. Documents are neither shuffled nor
     joined. Repeated items with one id are found as one item each; a column ``matches`` is replaced.
     """
@@ -306,7 +310,7 @@ def find_matches(
     kept = docs.drop("matches")
     out = kept.withColumn("_matches", F.lit(None).cast(_MATCH))
     for block in range(n_blocks):
-        part = items.where(F.pmod(F.xxhash64("item_id"), F.lit(n_blocks)) == block).orderBy("item_id", "text").toArrow()
+        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == block).orderBy("item_id", "text").toArrow()
         if part.num_rows:
             texts = part["text"].combine_chunks()
             index = build_index(part["item_id"].to_numpy(), texts, edit_rate, min_chars, short_words)

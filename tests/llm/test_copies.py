@@ -194,3 +194,15 @@ def test_short_items_are_found(spark):
     assert {r.doc_id: r.matches[0].start for r in got if r.matches} == {1: 9, 3: 0, 5: 2, 7: len("问题:".encode()), 8: len("répété ici ".encode()), 10: 12}
     got = decontaminate.find_matches(df, bench, short_words=True)
     assert {(r.doc_id, m.item_id) for r in got.collect() for m in r.matches} == want | {(9, 6)}
+
+
+def test_items_of_one_id_fall_into_several_blocks(spark, monkeypatch):
+    rng, words, sizes, build = random.Random(6), [w for w in vocabulary() if w.isalpha()], [], decontaminate.build_index
+    items = [(1, " ".join(rng.choices(words, k=20))) for _ in range(40)]
+    monkeypatch.setattr(decontaminate, "build_index", lambda ids, *a: sizes.append(len(ids)) or build(ids, *a))
+    df, bench = spark.createDataFrame(items, DOCS), spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.find_matches(df, bench, block_bytes=1000).collect()
+    assert len(found) == 40 and all(r.matches for r in found)
+    assert sum(sizes) == 40 and max(sizes) < 40
+    with pytest.raises(ValueError):
+        build(np.arange(65_536), pa.array(["x"] * 65_536), 0.1, 32)
