@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from gridframe.llm import (
     decontaminate,
+    infill,
     langid,
     pagetext,
     partenum,
@@ -203,6 +204,29 @@ def decontamination(spark, sf):
     return hits.select("doc_id", "m.item_id", "m.start", "m.edits")
 
 
+# -- fill-in-middle transformation -----------------------------------------------------------------------------------
+
+
+def _draw_sql(group: int) -> str:
+    return f"CAST('0x' || substr(sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')), {8 * group - 7}, 8) AS BIGINT)"
+
+
+@query("op13_infill", f"""WITH u AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS us FROM documents),
+  d AS (SELECT *, len(us) AS n, {_draw_sql(1)} % (len(us) + 1) AS a, {_draw_sql(2)} % (len(us) + 1) AS b, {_draw_sql(3)} % 100 AS c, {_draw_sql(4)} % 100 AS e FROM u),
+  p AS (SELECT *, array_to_string(us[1:least(a, b)], '') AS p, array_to_string(us[least(a, b) + 1:greatest(a, b)], '') AS m, array_to_string(us[greatest(a, b) + 1:], '') AS s,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR c >= 100 THEN 'plain' WHEN e < 50 THEN 'spm' ELSE 'psm' END AS form FROM d)
+  SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+    sha256(CASE form WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m WHEN 'spm' THEN '<S>' || s || '<P>' || p || '<M>' || m ELSE t END) AS output_sha256,
+    sha256(t) AS restored_sha256 FROM p""")
+def infill_round_trip(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    formed = infill.fill_in_middle(docs)
+    return formed.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(infill.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
 # -- pipeline --------------------------------------------------------------------------------------------------------
 
 QUERIES["pipeline"] = corpus_pipeline.run
