@@ -10,6 +10,7 @@ from gridframe.llm import (
     decontaminate,
     infill,
     langid,
+    merkle,
     pagetext,
     partenum,
     permutation,
@@ -204,6 +205,51 @@ def decontamination(spark, sf):
     return hits.select("doc_id", "m.item_id", "m.start", "m.edits")
 
 
+# -- Merkle manifest -------------------------------------------------------------------------------------------------
+
+
+def _field_sql(column: str) -> str:
+    return f"coalesce(CAST(strlen(CAST({column} AS VARCHAR)) AS VARCHAR) || ':' || CAST({column} AS VARCHAR), '-')"
+
+
+_LEAF_SQL = " || ".join(map(_field_sql, ["doc_id", "source", "lang", "chars", "text"]))
+_CRC_SQL = """xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda ch: CAST(ascii(ch) AS BIGINT))),
+  lambda c, x: list_reduce(list_prepend(xor(c, x), list_transform(range(8), lambda i: CAST(i AS BIGINT))), lambda v, i: xor(v >> 1, (v & 1) * 3988292384))), 4294967295)"""
+
+
+def _walk_sql(name: str, start: str, nodes: str, same: str) -> str:
+    """From a leaf to its tree's root: the digest so far and the siblings passed."""
+    return f"""{name} AS ({start} UNION ALL
+    SELECT w.doc_id, w.leaf, w.pos0, w.lang, w.lvl + 1, w.pos // 2, (w.n + 1) // 2,
+      sha256(CASE WHEN w.pos % 2 = 1 THEN s.h || w.h ELSE w.h || coalesce(s.h, '') END), w.sibs || coalesce(s.h, '')
+    FROM {name} w LEFT JOIN {nodes} s ON {same} s.lvl = w.lvl AND s.pos = xor(w.pos, 1) WHERE w.n > 1)"""
+
+
+@query("op11_merkle", f"""WITH RECURSIVE
+  leaves AS (SELECT doc_id, lang, sha256(leaf) AS leaf, sha256(CASE WHEN crc % 7 = 0 THEN changed ELSE leaf END) AS used FROM
+    (SELECT doc_id, lang, {_LEAF_SQL.replace('chars', 'n_chars')} AS leaf, {_LEAF_SQL.replace('chars', '(n_chars + 1)')} AS changed, {_CRC_SQL} AS crc FROM documents)),
+  placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n FROM leaves),
+  nodes AS (SELECT lang, 0 AS lvl, pos, n, leaf AS h FROM placed UNION ALL
+    SELECT lang, lvl + 1, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY pos)) FROM nodes WHERE n > 1 GROUP BY lang, lvl, pos // 2, n),
+  subs AS (SELECT lang, h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE n = 1),
+  tops AS (SELECT 0 AS lvl, pos, n, h FROM subs UNION ALL
+    SELECT lvl + 1, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY pos)) FROM tops WHERE n > 1 GROUP BY lvl, pos // 2, n),
+  {_walk_sql('low', "SELECT doc_id, leaf, pos AS pos0, lang, 0 AS lvl, pos, n, used AS h, '' AS sibs FROM placed", 'nodes', 's.lang IS NOT DISTINCT FROM w.lang AND')},
+  {_walk_sql('high', "SELECT doc_id, leaf, pos0, low.lang, 0 AS lvl, subs.pos, subs.n, low.h, sibs FROM low JOIN subs ON low.lang IS NOT DISTINCT FROM subs.lang WHERE low.n = 1", 'tops', '')}
+  SELECT doc_id, leaf, subs.h AS subroot, tops.h AS root, sha256(sibs) AS proof_sha256, high.h AS folded_root, high.h = tops.h AS verified
+  FROM high JOIN subs ON high.lang IS NOT DISTINCT FROM subs.lang, tops WHERE high.n = 1 AND tops.n = 1""")
+def merkle_manifest(spark, sf):
+    """Rows whose id's CRC-32 is divisible by 7 are tampered with: one more character than they have."""
+    docs = table(spark, sf, "documents")
+    leaf = lambda n: merkle.row_digest([F.col("doc_id"), F.col("source"), F.col("lang"), n, F.col("text")])
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    changed = F.when(tampered, leaf(F.col("n_chars") + 1))
+    leaves = docs.select("doc_id", "lang", leaf(F.col("n_chars")).alias("leaf"), changed.alias("changed"))
+    proven = merkle.prove(merkle.build(leaves, "lang", ["doc_id"]), "changed")
+    columns = ("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root")
+    return proven.select(*columns, (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 # -- fill-in-middle transformation -----------------------------------------------------------------------------------
 
 
