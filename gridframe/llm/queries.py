@@ -16,6 +16,7 @@ from gridframe.llm import (
     permutation,
     pieces,
     reputation,
+    runindex,
     substring,
     tokencount,
     toxicity,
@@ -250,6 +251,16 @@ def merkle_manifest(spark, sf):
     return proven.select(*columns, (F.col("folded_root") == F.col("root")).alias("verified"))
 
 
+# -- suffix-array removal --------------------------------------------------------------------------------------------
+
+
+@query("op12_run_index")
+def run_index(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    kept = runindex.remove_repeats(docs)
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 # -- fill-in-middle transformation -----------------------------------------------------------------------------------
 
 
