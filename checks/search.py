@@ -155,6 +155,28 @@ def _(spark, sf):
     return trials.early_stop(_history(spark, sf).select("trial_id", "iteration", "score"), 40, 3, 3, mode="max")
 
 
+def _async_sql(max_t: int, grace: int, factor: int) -> str:
+    """Milestones of asynchronous halving, written out: of every arrival the better ones before it are counted."""
+    parts, alive, stops = [f"due AS (SELECT * FROM hist WHERE iteration <= {max_t})"], "SELECT trial_id FROM due", []
+    for k, rung in enumerate(trials.milestones(max_t, grace, factor)):
+        parts.append(f"""e{k} AS (SELECT trial_id, min(event_id) AS event_id, arg_min(score, event_id) AS score, arg_min(iteration, event_id) AS iteration
+    FROM due WHERE iteration >= {rung} AND trial_id IN ({alive}) GROUP BY 1)""")
+        parts.append(f"""r{k} AS (SELECT a.trial_id, a.iteration, count(*) + 1 - count(*) FILTER (b.event_id IS NULL) AS arrived,
+    count(*) FILTER (b.score <= a.score) AS better FROM e{k} a LEFT JOIN e{k} b ON b.event_id < a.event_id GROUP BY ALL)""")
+        stops.append(f"SELECT trial_id, iteration AS stopped_at FROM r{k} WHERE better >= ceil(arrived / CAST({factor} AS DOUBLE))")
+        alive = f"SELECT trial_id FROM r{k} WHERE better < ceil(arrived / CAST({factor} AS DOUBLE))"
+    parts.append(f"stops AS ({' UNION ALL '.join(stops)})")
+    return ", ".join(parts)
+
+
+@query("o4_async_halving", f"""WITH {_HISTORY}, {_async_sql(40, 3, 3)} SELECT trial_id, CAST(stopped_at AS BIGINT) AS stopped_at FROM stops
+  UNION ALL SELECT trial_id, max(iteration) FROM due WHERE trial_id NOT IN (SELECT trial_id FROM stops) GROUP BY 1""")
+def _(spark, sf):
+    """Reports arrive in the order of their events; each trial is judged as it reaches a milestone."""
+    history = _history(spark, sf).select("trial_id", "iteration", "score", "event_id")
+    return trials.async_stop(history, 40, 3, 3, "event_id")
+
+
 _GAPS = _HISTORY.replace("value AS score", "CASE WHEN event_id % 5 = 0 THEN NULL WHEN event_id % 7 = 0 THEN CAST('nan' AS DOUBLE) ELSE value END AS score")
 _BY_VALUE = "CASE WHEN isnan(score) THEN NULL ELSE score END ASC NULLS LAST"
 

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from gridframe.functions.arrays import int_div
 from gridframe.functions.draws import normal_draw, uniform_draw
 from gridframe.operators.index import with_group_position, with_row_id
+from gridframe.operators.ranks import running_rank
+from gridframe.session import cut
 
 
 @dataclass
@@ -217,6 +219,39 @@ def early_stop(
     return stopped.unionByName(ended.join(stopped, trial, "left_anti"))
 
 
+def async_stop(
+    history: DataFrame,
+    max_t: int,
+    grace: int,
+    factor: int,
+    arrival: str,
+    metric: str = "score",
+    trial: str = "trial_id",
+    iteration: str = "iteration",
+    mode: str = "min",
+) -> DataFrame:
+    """Iteration at which each trial is stopped by asynchronous halving: (trial, stopped_at).
+
+    A trial is judged the moment it reaches a milestone, against the trials that reached it before: by its first report
+    (in the order of ``arrival``, which is unique) at or after the milestone, it goes on while it is among the best
+    1 / factor (rounded up) of those there so far, itself included. Nobody waits for later trials, and no decision is
+    taken back. Of equal metrics the earlier one is better; null and NaN metrics rank last. A trial that is never
+    stopped ends at its last iteration up to ``max_t``. Milestones are rounds over the trials left by the one before.
+    """
+    due = history.where(F.col(iteration) <= max_t)
+    last = due.groupBy(trial).agg(F.max(iteration).cast("bigint").alias("stopped_at"))
+    alive, stopped = last.select(trial), None
+    for rung in milestones(max_t, grace, factor):
+        first = due.where(F.col(iteration) >= rung).groupBy(trial).agg(F.min_by(F.struct(arrival, metric, iteration), arrival).alias("_r"))
+        here = first.select(trial, "_r.*").join(alive, trial, "left_semi")
+        ranked = running_rank(here, [arrival], [_best_first(metric, mode)])
+        judged = cut(ranked.select(trial, F.col(iteration).cast("bigint").alias("stopped_at"), (F.col("rank") <= F.ceil(F.col("arrived") / factor)).alias("_on")))
+        out = judged.where(~F.col("_on")).select(trial, "stopped_at")
+        stopped = out if stopped is None else stopped.unionByName(out)
+        alive = judged.where("_on").select(trial)
+    return last if stopped is None else stopped.unionByName(last.join(stopped, trial, "left_anti"))
+
+
 def kept_history(history: DataFrame, stops: DataFrame, trial: str = "trial_id", iteration: str = "iteration") -> DataFrame:
     """Reports made before their trial was stopped."""
     return history.join(stops, trial).where(F.col(iteration) <= F.col("stopped_at")).drop("stopped_at")

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from bisect import bisect_right, insort
 from collections.abc import Callable, Iterable, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from typing import Any
 
 import pandas as pd
@@ -116,3 +117,58 @@ def train_until_stopped(
         live = {number: (params, state) for number, params, state, _ in results if number in set(kept)}
         done = until
     return spark.read.schema(HISTORY).parquet(path)
+
+
+def train_async(
+    trials: DataFrame,
+    advance: Callable[[dict[str, Any], Any, int, int], tuple[Any, Iterable[tuple[int, str, float]]]],
+    path: str,
+    max_t: int,
+    grace: int,
+    factor: int,
+    metric: str,
+    mode: str = "min",
+    at_once: int = 4,
+    trial: str = "trial_id",
+) -> DataFrame:
+    """History of trials under asynchronous halving: each is judged when it reaches a milestone, and none waits.
+
+    ``advance`` is that of :func:`train_until_stopped`. When a trial comes to a milestone, its last metric is ranked
+    among those that came there before: it goes on at once while it is among the best 1 / factor (rounded up) so far,
+    and its place is free for the next trial otherwise. Trials that go on come before trials not yet begun. Null and NaN
+    rank last, of equal metrics the earlier one is better. Reports are added below ``path``, a folder a leg, and read
+    from there; the driver holds settings and states of trials under way, and one number per milestone
+    reached.
+    """
+    spark = trials.sparkSession
+    stops = [*milestones(max_t, grace, factor), max_t]
+    reached: list[list[float]] = [[] for _ in stops]
+    waiting = [(int(row[trial]), row.asDict(), None, 0) for row in trials.orderBy(trial, ascending=False).collect()]
+    # Writers at the same time need folders of their own: the first to commit clears the others' unfinished files.
+    spark.createDataFrame([], HISTORY).write.parquet(f"{path}/begin")
+
+    def leg(number: int, params: dict[str, Any], state: Any, rung: int) -> tuple:
+        done = stops[rung - 1] if rung else 0
+        state, reports = advance({k: v for k, v in params.items() if k != trial}, state, done, stops[rung])
+        rows = [(number, int(i), name, float(value)) for i, name, value in reports]
+        spark.createDataFrame(rows, HISTORY).coalesce(1).write.parquet(f"{path}/{number}-{stops[rung]}")
+        return number, params, state, rung, rows
+
+    def goes_on(rung: int, rows: list[tuple]) -> bool:
+        last = max(((i, value) for _, i, name, value in rows if name == metric), key=lambda r: r[0], default=(0, float("nan")))[1]
+        score = float("inf") if last != last else last if mode == "min" else -last
+        better = bisect_right(reached[rung], score)
+        insort(reached[rung], score)
+        return better < -(-len(reached[rung]) // factor)
+
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        running = set()
+        while waiting or running:
+            while waiting and len(running) < at_once:
+                running.add(pool.submit(inheritable_thread_target(spark)(leg), *waiting.pop()))
+            ready, running = wait(running, return_when=FIRST_COMPLETED)
+            for future in ready:
+                number, params, state, rung, rows = future.result()
+                if rung + 1 < len(stops) and goes_on(rung, rows):
+                    waiting.append((number, params, state, rung + 1))
+    return spark.read.schema(HISTORY).option("recursiveFileLookup", "true").parquet(path)
