@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from checks.tables import FAM, LVL, PTS, big, columns, embeddings, long_matrix, long_vector, profiles, registry, rnd, sql_rnd, table
+from gridframe.functions import permute
 from gridframe.functions.draws import hash_key
 from gridframe.operators import align, batches, evaluate, index, moments, reshape, split
 from gridframe.schema import COLUMNS, MATRIX, STATS, VECTOR
@@ -340,6 +341,32 @@ def _(spark, sf):
     return batches.batches(_orders(spark, sf).select("o_orderkey"), "o_orderkey", 256, shuffle=True, seed=SEED)
 
 
+def _permuted_sql(source: str, key: str, seed: int, epoch: int) -> str:
+    """Places of an epoch by the same arithmetic: a pass at a time until the number is below n."""
+    mixed = "xor(h3, h3 >> 16)"
+    rounds = ["r0 AS (SELECT id, spot // w AS x, spot % w AS y, (n + w - 1) // w AS a, w AS b, n, w FROM walk WHERE NOT done)"]
+    for r, k in enumerate(permute.round_keys(seed, epoch)):
+        low, factor = "4294967295", permute.FACTOR
+        rounds.append(f"""h{r} AS (SELECT *, (((y + {k}) & {low}) * {factor}) & {low} AS h1 FROM r{r}),
+  g{r} AS (SELECT *, (xor(h1, h1 >> 16) * {factor}) & {low} AS h3 FROM h{r}),
+  r{r + 1} AS (SELECT id, y AS x, (x + {mixed}) % a AS y, b AS a, a AS b, n, w FROM g{r})""")
+    chain = ", ".join(rounds)
+    return f"""WITH RECURSIVE side AS (SELECT count(*) AS n, CAST(floor(sqrt(count(*) - 1)) AS BIGINT) + 1 AS w FROM {source}),
+  walk AS (SELECT {key} AS id, {key} AS spot, n, w, false AS done FROM {source}, side UNION ALL
+    (WITH {chain} SELECT id, x * w + y, n, w, x * w + y < n FROM r{len(rounds) - 1}))
+  SELECT id, spot FROM walk WHERE done"""
+
+
+@query("b2_epoch_batches", " UNION ALL ".join(f"""SELECT {e} AS epoch, id AS o_orderkey, spot AS shuffled, spot // 256 AS batch_id FROM (
+  {_permuted_sql('orders', 'o_orderkey', SEED, e)})""" for e in range(3)))
+def _(spark, sf):
+    """Three epochs over the same rows, each in an order of its own."""
+    orders = _orders(spark, sf).select("o_orderkey")
+    n = orders.count()
+    epochs = [batches.epoch_batches(orders, "o_orderkey", 256, SEED, e, n).withColumn("epoch", F.lit(e)) for e in range(3)]
+    return epochs[0].unionByName(epochs[1]).unionByName(epochs[2])
+
+
 @query("b3_rank_batches", "SELECT o_orderkey, o_orderkey % 6 AS rank, o_orderkey // 6 // (512 // 6) AS batch_id FROM orders")
 def _(spark, sf):
     return batches.rank_batches(_orders(spark, sf).select("o_orderkey"), "o_orderkey", 512, 6)

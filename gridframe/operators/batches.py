@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridframe.functions.arrays import int_div
+from gridframe.functions.permute import permuted
 from gridframe.operators.index import shuffle_rows
 
 
@@ -22,6 +23,14 @@ def batches(df: DataFrame, position: str, size: int, shuffle: bool = False, seed
     return df.withColumn("batch_id", batch_of(position, size))
 
 
+def epoch_batches(df: DataFrame, position: str, size: int, seed, epoch: int, n: int | None = None) -> DataFrame:
+    """``shuffled`` and ``batch_id`` of an epoch: every epoch has an order of its own, and every row its place in it by
+    arithmetic on the dense ``position``. Rows are neither sorted nor moved. ``n`` is their number, counted if not given.
+    """
+    n = df.count() if n is None else n
+    return df.withColumn("shuffled", permuted(position, n, seed, epoch)).withColumn("batch_id", batch_of("shuffled", size))
+
+
 def rank_batches(df: DataFrame, position: str, total: int, world: int) -> DataFrame:
     """Rows dealt to ``world`` workers in turn; each worker's batch is its share of the total batch."""
     share = total // world
