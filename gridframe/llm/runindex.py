@@ -328,6 +328,8 @@ def repeated_spans(docs: DataFrame, size: int = 400, grams: tuple[int, ...] = (6
     dealt = keyed.repartition("_doc", "_tell") if dealt is None else dealt
     rows, found, wanted = texts.mapInArrow(_stretches(size, grams[0]), _STRETCH), None, None
     for gram in [*grams[1:], size, None]:
+        # Hashing a text costs more than keeping its stretches, which are read twice.
+        rows = _stored(rows, "rows")
         again = rows.groupBy("anchor").agg(F.sum("times").alias("n")).where("n > 1").select("anchor")
         seen = _stored(rows.join(again, "anchor", "left_semi").select("anchor", "content", "doc", "tell", "start", "n"), "stretches")
         # Any place of a stretch will do to fetch it: the columns of one row are first together.
