@@ -1,24 +1,28 @@
 """Regression training and scoring as Spark jobs.
 
-Rows are shuffled once and stored by rank in the shared folder. A training step reads its batch from every rank's files,
-every task sums the gradient of its rows, the sums are added block by block in parallel, and the driver, which holds
-nothing but the weights, moves them and sends them out again.
+Rows are shuffled once and stored by rank in the shared folder. An epoch is one job, however many batches it has: a
+barrier stage in which every task walks the batches of its ranks in order, sums the gradient of its rows, adds the sums
+of all tasks, and moves its own copy of the weights as the others do. The driver holds nothing but the weights.
+``step_gradient`` is a single step as a job of its own, for batches that no stage walks.
 """
 
 from __future__ import annotations
 
+import base64
 import copy
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
+from pyspark import BarrierTaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridframe.functions.arrays import int_div
 from gridframe.functions.arrow import matrix, nested
+from gridframe.functions.permute import permuted
 from gridframe.functions.physics import DAY, GRAVITY, SPECIFIC_HEAT
 from gridframe.operators import evaluate as errors
 from gridframe.operators.batches import rank_batches
@@ -30,6 +34,9 @@ from gridframe.session import delete_path, scratch_path
 # Values of one block of summed gradients: what one reducing task holds at a time.
 BLOCK = 8192
 
+# Values that the tasks of a step exchange at a time, all together: some tens of MB as text.
+EXCHANGE = 1 << 22
+
 # Moment decay and floor of the Adam update.
 BETA_1, BETA_2, ADAM_FLOOR = 0.9, 0.999, 1e-8
 
@@ -217,8 +224,13 @@ def step_gradient(
     finally:
         shared.destroy()
     n = blocks[0]["n_rows"]
-    flat = np.concatenate([np.asarray(b["slope"]) for b in blocks]) / n
-    loss, found, at = blocks[0]["loss"] / n, [], 0
+    loss, found = _mean_slopes(net, np.concatenate([np.asarray(b["slope"]) for b in blocks]), blocks[0]["loss"], n)
+    return loss, found, n
+
+
+def _mean_slopes(net: Network, total: np.ndarray, loss: float, n: int) -> tuple[float, list[np.ndarray]]:
+    """Mean loss and gradient from the sums over ``n`` rows, penalties included."""
+    flat, loss, found, at = total / n, loss / n, [], 0
     for k, w in enumerate(net.weights):
         g = flat[at : at + w.size].reshape(w.shape)
         at += w.size
@@ -227,7 +239,7 @@ def step_gradient(
             loss += net.l1 * np.abs(w).sum() + net.l2 * (w * w).sum()
             g = g + net.l1 * np.sign(w) + 2.0 * net.l2 * w
         found.append(g)
-    return loss, found, n
+    return loss, found
 
 
 class Adam:
@@ -252,10 +264,17 @@ class StoredBatches:
 
     path: str
     n_batches: int
+    schema: T.StructType
+    n_rows: int
+    world: int
+    batch: int
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        return spark.read.schema(self.schema).parquet(self.path)
 
     def rows(self, spark: SparkSession, batch: int) -> DataFrame:
         """One batch: a task for each rank at least, which skips the pages of other batches by their statistics."""
-        return spark.read.parquet(self.path).where(F.col("batch_id") == batch)
+        return self.table(spark).where(F.col("batch_id") == batch)
 
     def remove(self, spark: SparkSession) -> None:
         delete_path(spark, self.path)
@@ -273,34 +292,147 @@ def store_batches(
     path = scratch_path(spark, "batches")
     dealt = rank_batches(shuffle_rows(df, row_id, seed, "position"), "position", batch, world)
     # The last position tells the number of batches, from ids alone.
-    n_batches = -(-(-(-df.select(row_id).count() // world)) // (batch // world))
+    n_rows = df.select(row_id).count()
+    n_batches = -(-(-(-n_rows // world)) // (batch // world))
     part = int_div(F.col("batch_id") * files_per_rank, max(n_batches, 1)).cast("int")
     file = F.col("rank").cast("int") * files_per_rank + part
-    laid_out = dealt.drop("position").withColumn("_file", file).repartitionById(world * files_per_rank, F.col("_file"))
-    laid_out.drop("_file").sortWithinPartitions("rank", "batch_id", row_id).write.partitionBy("rank").parquet(path)
-    return StoredBatches(path, n_batches)
+    laid_out = dealt.withColumn("_file", file).repartitionById(world * files_per_rank, F.col("_file")).drop("_file")
+    laid_out.sortWithinPartitions("rank", "batch_id", row_id).write.partitionBy("rank").parquet(path)
+    fields = [f for f in dealt.schema.fields if f.name != "rank"]
+    return StoredBatches(path, n_batches, T.StructType([*fields, T.StructField("rank", T.LongType())]), n_rows, world, batch)
+
+
+_STATE = "kind string, block int, numbers array<double>"
+
+
+def _sum_over_tasks(context: BarrierTaskContext, own: np.ndarray, tasks: int) -> np.ndarray:
+    """The sum of the tasks' vectors, added in the order of the tasks in each of them; sent in parts of a bounded size."""
+    if tasks == 1:
+        return own
+    total, part = np.zeros(len(own)), max(EXCHANGE // tasks, 1)
+    for start in range(0, len(own), part):
+        for text in context.allGather(base64.b64encode(own[start : start + part].tobytes()).decode()):
+            total[start : start + part] += np.frombuffer(base64.b64decode(text))
+    return total
+
+
+def _walk_batches(net_b, columns: dict[str, str], seed: int, first_step: int, n_batches: int, tasks: int, row_id: str) -> Callable:
+    """Task side of an epoch: rows come sorted by the batch's place in the epoch; the first task gives the result."""
+
+    def shares(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table]]:
+        """The task's rows of each batch that it has any of."""
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            place = batch.column("_place").to_numpy()
+            for part in np.split(np.arange(len(place)), np.flatnonzero(np.diff(place)) + 1):
+                if len(part):
+                    if held and held[0].column("_place")[0].as_py() != place[part[0]]:
+                        yield held[0].column("_place")[0].as_py(), pa.Table.from_batches(held)
+                        held = []
+                    held.append(batch.slice(part[0], len(part)))
+        if held:
+            yield held[0].column("_place")[0].as_py(), pa.Table.from_batches(held)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        context = BarrierTaskContext.get()
+        given = dict(net_b.value)
+        optimiser = Adam(0.0)
+        vars(optimiser).update(given.pop("optimiser"))
+        net, size = Network(**given), sum(w.size for w in given["weights"])
+        mine, losses = shares(batches), []
+        ahead = next(mine, None)
+        for place in range(n_batches):
+            own = np.zeros(size + 2)
+            if ahead is not None and ahead[0] == place:
+                rows = ahead[1].combine_chunks()
+                data = {key: matrix(rows[name].combine_chunks()) for key, name in columns.items()}
+                rng = RowDraws(seed, first_step + place, rows[row_id].to_numpy()) if net.dropout else None
+                loss, found = gradient(net, data.pop("x"), data, rng)
+                own = np.concatenate([*[g.ravel() for g in found], [loss, rows.num_rows]])
+                ahead = next(mine, None)
+            total = _sum_over_tasks(context, own, tasks)
+            loss, slopes = _mean_slopes(net, total[:-2], total[-2], int(total[-1]))
+            net.weights = optimiser.move(net.weights, slopes)
+            losses += [float(loss), total[-1]]
+        if context.partitionId() == 0:
+            state = {"losses": np.array(losses)}
+            for kind, arrays in (("weights", net.weights), ("m", optimiser.m), ("v", optimiser.v)):
+                state[kind] = np.concatenate([a.ravel() for a in arrays])
+            for kind, numbers in state.items():
+                starts = range(0, len(numbers), BLOCK)
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "kind": pa.array([kind for _ in starts], pa.string()),
+                        "block": pa.array([s // BLOCK for s in starts], pa.int32()),
+                        "numbers": pa.array([numbers[s : s + BLOCK] for s in starts], pa.list_(pa.float64())),
+                    }
+                )
+
+    return run
+
+
+def train_epoch(rows: DataFrame, net: Network, optimiser: Adam, columns: dict[str, str], row_id: str, n_batches: int, seed: int = 0, first_step: int = 0):
+    """The network and the optimiser after all batches of an epoch, and the mean loss and number of rows of each batch.
+
+    ``rows`` have ``rank`` (from 0) and ``_place``, the place of their batch in the epoch; every place up to
+    ``n_batches`` holds a row. One stage of as many tasks as ranks, or as run at a time if those are fewer: each task
+    must have its place at once, and a lost one repeats the stage. In a step all tasks exchange a vector as long as the
+    weights through the driver. Sums are added by task, so weights follow the number of tasks by rounding alone.
+    """
+    sc = rows.sparkSession.sparkContext
+    ranks = (rows.agg(F.max("rank")).first()[0] or 0) + 1
+    tasks = max(1, min(int(ranks), sc.defaultParallelism))
+    names = list(dict.fromkeys([row_id, *columns.values()]))
+    dealt = rows.select("_place", (F.col("rank") % tasks).cast("int").alias("_task"), *names).repartitionById(tasks, F.col("_task"))
+    sorted_ = dealt.drop("_task").sortWithinPartitions("_place", row_id)
+    shared = sc.broadcast({**_plain(net), "optimiser": vars(optimiser)})
+    try:
+        walk = _walk_batches(shared, columns, seed, first_step, n_batches, tasks, row_id)
+        found = sorted_.mapInArrow(walk, _STATE, barrier=True).collect()
+    finally:
+        shared.destroy()
+    state = {k: np.concatenate([r["numbers"] for r in sorted(found, key=lambda r: r["block"]) if r["kind"] == k]) for k in ("losses", "weights", "m", "v")}
+    at = np.cumsum([0, *[w.size for w in net.weights]])
+    weights, m, v = ([state[k][a:b].reshape(w.shape) for a, b, w in zip(at, at[1:], net.weights)] for k in ("weights", "m", "v"))
+    moved = Adam(optimiser.lr)
+    moved.t, moved.m, moved.v = optimiser.t + n_batches, m, v
+    return replace(net, weights=weights), moved, [(float(a), int(b)) for a, b in state["losses"].reshape(-1, 2)]
 
 
-def _fit(df, net, columns, row_id, epochs, batch, lr, seed, world, files_per_rank, stored, validation) -> Network:
+def _fit(df, net, columns, row_id, epochs, batch, lr, seed, world, files_per_rank, stored, validation, reshuffle=False, steps_as_jobs=False) -> Network:
+    if reshuffle and steps_as_jobs:
+        raise ValueError("a batch of reshuffled rows lies in all files: a job would read them all for each step")
     spark = df.sparkSession
     kept = df.select(row_id, *dict.fromkeys(columns.values()))
     own = store_batches(kept, row_id, batch, seed, world, files_per_rank) if stored is None else stored
     optimiser, rng = copy.copy(net.optimiser) or Adam(lr), np.random.default_rng(seed)
     history, reports = list(net.history), list(net.reports)
-    step = len(history)
     try:
         for epoch in range(net.epochs + epochs):
-            # Later epochs take the stored batches in another order; a network trained before goes on after its epochs.
+            # A network trained before goes on after its epochs.
             order = range(own.n_batches) if epoch == 0 else rng.permutation(own.n_batches)
-            if epoch < net.epochs:
+            if epoch < net.epochs or not own.n_batches:
                 continue
-            losses, rows = 0.0, 0
-            for k in order:
-                loss, slopes, n = step_gradient(own.rows(spark, int(k)), net, columns, seed, step, row_id)
-                net = replace(net, weights=optimiser.move(net.weights, slopes))
-                history.append((epoch, step, float(loss), n))
-                losses, rows, step = losses + float(loss) * n, rows + n, step + 1
-            reports.append((epoch, "train_loss", losses / max(rows, 1)))
+            rows = own.table(spark)
+            if reshuffle and epoch:
+                rows = rank_batches(rows.withColumn("_new", permuted("position", own.n_rows, seed, epoch)), "_new", own.batch, own.world)
+                rows = rows.withColumn("_place", F.col("batch_id"))
+            elif epoch:
+                place = F.lit([int(k) for k in np.argsort(order)])
+                rows = rows.withColumn("_place", F.get(place, F.col("batch_id").cast("int")).cast("long"))
+            else:
+                rows = rows.withColumn("_place", F.col("batch_id"))
+            step = len(history)
+            if steps_as_jobs:
+                losses = []
+                for k, batch_id in enumerate(order):
+                    loss, slopes, n = step_gradient(own.rows(spark, int(batch_id)), net, columns, seed, step + k, row_id)
+                    net = replace(net, weights=optimiser.move(net.weights, slopes))
+                    losses.append((float(loss), n))
+            else:
+                net, optimiser, losses = train_epoch(rows, net, optimiser, columns, row_id, own.n_batches, seed, step)
+            history += [(epoch, step + k, loss, n) for k, (loss, n) in enumerate(losses)]
+            reports.append((epoch, "train_loss", sum(loss * n for loss, n in losses) / max(sum(n for _, n in losses), 1)))
             for name, held_out in (validation or {}).items():
                 reports.append((epoch, f"{name}_loss", mean_loss(held_out, net, columns)))
     finally:
@@ -352,23 +484,28 @@ def fit_mlp(
     stored: StoredBatches | None = None,
     validation: dict[str, DataFrame] | None = None,
     resume: Network | None = None,
+    reshuffle: bool = False,
+    steps_as_jobs: bool = False,
 ) -> Network:
     """Normalise, dense layers with SiLU, a linear layer; mean squared error, one update per batch over all tasks.
 
-    A batch is dealt to ``world`` ranks, and a step is one job of as many tasks; so the batch should grow with
-    ``world``. The stored rows go when training ends; ``stored`` (from ``store_batches``) is used instead and stays, for
+    A batch is dealt to ``world`` ranks, and an epoch is one stage of as many tasks (:func:`train_epoch`); so the batch
+    should grow with ``world``. Later epochs take the stored batches in another order or, with ``reshuffle``, all rows,
+    by a new permutation of their positions each epoch. The update is Adam's. An exchange inside a stage takes a second,
+    as barriers are polled; with ``world`` 1 there is none, and ``steps_as_jobs`` runs a job per batch instead, which is
+    faster while a job takes less than that. The stored rows go when training ends; ``stored`` (from ``store_batches``) is used instead and stays, for
     several fits over the same rows. After each epoch the training loss and the loss on each frame of ``validation``
     are added to ``reports`` as (epoch, ``train_loss`` or ``{name}_loss``, value). ``resume`` is a network to train for
     ``epochs`` more, as if it had not stopped.
     """
     if resume is not None:
-        return _fit(df, resume, {"x": x, "y": y}, row_id, epochs, batch, lr, seed, world, files_per_rank, stored, validation)
+        return _fit(df, resume, {"x": x, "y": y}, row_id, epochs, batch, lr, seed, world, files_per_rank, stored, validation, reshuffle, steps_as_jobs)
     mean, std = _record_stats(stats, x)
     if weights is None:
         lengths = df.select(F.size(x), F.size(y)).first()
         weights = initial_weights([lengths[0], *hidden, lengths[1]], seed)
     net = Network(weights, mean, std)
-    return _fit(df, net, {"x": x, "y": y}, row_id, epochs, batch, lr, seed, world, files_per_rank, stored, validation)
+    return _fit(df, net, {"x": x, "y": y}, row_id, epochs, batch, lr, seed, world, files_per_rank, stored, validation, reshuffle, steps_as_jobs)
 
 
 def fit_flux_heads(
@@ -393,6 +530,8 @@ def fit_flux_heads(
     files_per_rank: int = 1,
     stored: StoredBatches | None = None,
     validation: dict[str, DataFrame] | None = None,
+    reshuffle: bool = False,
+    steps_as_jobs: bool = False,
 ) -> Network:
     """Dense layers with penalties and dropout, two heads of levels x 2 fluxes, and the heating rates they imply.
 
@@ -403,7 +542,7 @@ def fit_flux_heads(
         n_in = df.select(F.size(x)).first()[0]
         weights = initial_weights([n_in, *[width] * depth, 4 * levels], seed, he=True)
     net = Network(weights, mean, std, dropout, l1, l2, levels, loss_weights or {})
-    return _fit(df, net, {"x": x, **targets}, row_id, epochs, batch, lr, seed, world, files_per_rank, stored, validation)
+    return _fit(df, net, {"x": x, **targets}, row_id, epochs, batch, lr, seed, world, files_per_rank, stored, validation, reshuffle, steps_as_jobs)
 
 
 def _score(net_b, x: str, pressure: str | None) -> Callable:
