@@ -11,6 +11,8 @@ from gridframe.functions import arrays, physics
 from gridframe.operators import moments, normalize, reshape
 from gridframe.operators.index import with_shard
 from gridframe.schema import FAMILIES, FEATURES, LAST_TIMESTEP, variables
+from gridframe.session import scratch_path
+from gridframe.sources import catalog
 from gridframe.sources.columns import every_nth, pick_variable, union_parts
 
 QUERIES, SQL, query = registry()
@@ -184,6 +186,18 @@ def _(spark, sf):
     return _rounded(stats, "array", big("pos"), "n")
 
 
+@query("a4_merged_moments", _FEATURE_STATS)
+def _(spark, sf):
+    """States by timestep and patch, the later timesteps added to the earlier ones, merged from what is stored."""
+    path = scratch_path(spark, "states")
+    records = reshape.features(columns(spark, sf))
+    keys = columns(spark, sf).select("column_id", "timestep", "patch")
+    for part in ("timestep < 1500", "timestep >= 1500"):
+        states = moments.position_states(records.join(keys.where(part), "column_id"), ["x", "y", "edge"], ["timestep", "patch"])
+        catalog.save_states(states, path)
+    return _rounded(moments.merge_states(catalog.load_states(spark, path)), "array", big("pos"), "n")
+
+
 @query("a4_position_moments_flattened", f"""WITH {FAM}, vals AS (
     SELECT 'x' AS "array", pos, v FROM flat_x UNION ALL SELECT 'y', pos, v FROM flat_y)
   SELECT "array", pos, count(*) AS n, {_MOMENTS} FROM vals GROUP BY ALL""")

@@ -11,7 +11,7 @@ from gridframe.functions.draws import hash_key
 from gridframe.operators import align, batches, evaluate, index, moments, reshape, split
 from gridframe.schema import COLUMNS, MATRIX, STATS, VECTOR
 from gridframe.session import scratch_path
-from gridframe.sources import catalog, shards
+from gridframe.sources import buckets, catalog, shards, zones
 from gridframe.sources import columns as source
 
 QUERIES, SQL, query = registry()
@@ -296,6 +296,16 @@ def _(spark, sf):
     return index.fetch_rows(stored, wanted, "o_orderkey", 320).withColumn("shard", big("shard"))
 
 
+@query("x2_fetch_indexed", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderkey IN (SELECT c_custkey * 7 FROM customer WHERE c_custkey % 9 = 0)")
+def _(spark, sf):
+    """Orders in files of consecutive ids; only files with a wanted id are opened."""
+    path, zoned = scratch_path(spark, "indexed"), scratch_path(spark, "zones")
+    orders = _orders(spark, sf)
+    zones.write_indexed(orders.repartitionByRange(16, "o_orderkey").sortWithinPartitions("o_orderkey"), path, zoned, "o_orderkey")
+    wanted = table(spark, sf, "customer").where("c_custkey % 9 = 0").select((F.col("c_custkey") * 7).alias("o_orderkey"))
+    return zones.fetch_indexed(spark, path, zoned, wanted, "o_orderkey", orders.schema)
+
+
 _HASH = "md5('42-' || o_orderkey)"
 
 
@@ -401,6 +411,24 @@ def _(spark, sf):
     return zipped.select("column_id", total("x").alias("x"), total("y").alias("y"), total(F.flatten("edge")).alias("edge"))
 
 
+@query("j1_zip_buckets", SQL["j1_zip_arrays"])
+def _(spark, sf):
+    """The same from tables stored in buckets of the position."""
+    records = columns(spark, sf)
+    flat, feats = reshape.flattened(records), reshape.features(records)
+    names, stored = [], {"x": flat.select("column_id", "x"), "y": flat.select("column_id", "y"), "edge": feats.select("column_id", "edge")}
+    for array, df in stored.items():
+        path = scratch_path(spark, f"buckets_{array}")
+        names.append(path.rpartition("/")[2].replace("-", "_"))
+        buckets.write_buckets(df, names[-1], path, 8)
+
+    def total(vector):
+        return rnd(F.aggregate(vector, F.lit(0.0), lambda s, v: s + v))
+
+    zipped = align.zip_buckets(spark, names)
+    return zipped.select("column_id", total("x").alias("x"), total("y").alias("y"), total(F.flatten("edge")).alias("edge"))
+
+
 # -- evaluation ------------------------------------------------------------------------------------------------------
 
 

@@ -54,6 +54,35 @@ def position_moments(df: DataFrame, arrays: Sequence[str], route: str = "explode
     return moments.select(name.alias("array"), "pos", "n", "mean", "std")
 
 
+def position_states(df: DataFrame, arrays: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """Mergeable moments of every part of the rows: (by..., array, pos, n, mean, m2), m2 the summed squared deviations."""
+    parts = []
+    for name in arrays:
+        value = F.col("value").cast("double")
+        long = df.select(*by, F.posexplode(as_vector(df, name)).alias("pos", "value")).groupBy(*by, "pos")
+        n, spread = F.count("value"), F.var_pop(value)
+        parts.append(long.agg(n.alias("n"), F.avg(value).alias("mean"), (spread * n).alias("m2")).withColumn("array", F.lit(name)))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out.select(*by, "array", "pos", "n", "mean", "m2")
+
+
+def merge_states(states: DataFrame) -> DataFrame:
+    """Count, mean and population deviation per array position from the states of all parts.
+
+    Each part's squared deviations are moved to the common mean, so nothing is lost where means are large. Parts without
+    a value do not count.
+    """
+    filled = states.where("n > 0")
+    n, mean = F.sum("n"), F.sum(F.col("n") * F.col("mean")) / F.sum("n")
+    common = filled.groupBy("array", "pos").agg(n.alias("total"), mean.alias("common"))
+    shift = F.col("mean") - F.col("common")
+    moved = filled.join(common, ["array", "pos"]).groupBy("array", "pos", "total", "common")
+    merged = moved.agg(F.sqrt(F.sum(F.col("m2") + F.col("n") * shift * shift) / F.col("total")).alias("std"))
+    return merged.select("array", "pos", F.col("total").alias("n"), F.col("common").alias("mean"), "std")
+
+
 def _summarized(df: DataFrame, name: str, groups: int = 64) -> DataFrame:
     """Vector summaries of a fixed number of row groups, merged per position: no task merges all partial vectors."""
     vectors = df.select((F.spark_partition_id() % groups).alias("g"), array_to_vector(as_vector(df, name)).alias("v"))

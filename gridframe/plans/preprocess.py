@@ -10,10 +10,10 @@ from pyspark.sql import types as T
 
 from gridframe.operators import reshape
 from gridframe.operators.index import plan_shards
-from gridframe.operators.moments import position_moments
+from gridframe.operators.moments import merge_states, position_moments, position_states
 from gridframe.operators.normalize import normalize
 from gridframe.schema import CATALOG, MATRIX, VECTOR
-from gridframe.sources.catalog import catalog_upsert, entry_of, load_stats, save_stats
+from gridframe.sources.catalog import catalog_upsert, entry_of, load_states, load_stats, save_states, save_stats
 from gridframe.sources.shards import write_graphs, write_shards
 
 BUILDERS = {"flattened": reshape.flattened, "features": reshape.features}
@@ -79,6 +79,15 @@ def build_stats(spark: SparkSession, root: str, step: int, kind: str) -> DataFra
     return load_stats(spark, path)
 
 
+def update_stats(spark: SparkSession, root: str, step: int, kind: str) -> DataFrame:
+    """Moments over all timesteps entered so far, of which only ``step`` is read: its states, shard by shard, are added to
+    the stored ones (or replace its own), and those are merged."""
+    table = read_table(spark, root, step, kind).withColumn("timestep", F.lit(step))
+    arrays = [a for a in ("x", "y", "edge") if a in table.columns]
+    save_states(position_states(table, arrays, ["timestep", "shard"]), f"{root}/states-{kind}")
+    return merge_states(load_states(spark, f"{root}/states-{kind}"))
+
+
 def normalized_table(spark: SparkSession, root: str, step: int, kind: str, arrays: Sequence[str] = ("x",)) -> DataFrame:
     """A stored table with arrays normalised by the stored statistics."""
     table = read_table(spark, root, step, kind)

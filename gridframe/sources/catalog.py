@@ -87,3 +87,14 @@ def save_stats(stats: DataFrame, path: str, mode: str = "overwrite") -> None:
 def load_stats(spark: SparkSession, path: str, arrays: Sequence[str] | None = None) -> DataFrame:
     stats = spark.read.schema(STATS).parquet(path)
     return stats.where(F.col("array").isin(list(arrays))) if arrays is not None else stats
+
+
+def save_states(states: DataFrame, path: str, step: str = "timestep") -> None:
+    """Add the states of new steps (array, pos, n, mean, m2 by ``step`` and whatever parts it has) to those stored; a
+    step that is given again replaces its own, and no other is touched."""
+    states.repartition(1, step).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(step).parquet(path)
+
+
+def load_states(spark: SparkSession, path: str, arrays: Sequence[str] | None = None) -> DataFrame:
+    states = spark.read.parquet(path)
+    return states.where(F.col("array").isin(list(arrays))) if arrays is not None else states
