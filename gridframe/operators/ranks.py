@@ -15,6 +15,49 @@ from gridframe.functions.arrays import int_div
 from gridframe.operators.index import with_row_id
 
 
+#: Bits of a key that one pass of a selection settles, and the lowest bigint.
+_DIGIT, _LOWEST = 16, -(1 << 63)
+
+
+def order_bits(value: Column) -> Column:
+    """A bigint that orders as the double does; null and NaN come last, and both zeros are one."""
+    number = value.cast("double") + F.lit(0.0)
+    bits = F.java_method(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), F.coalesce(number, F.lit(0.0))).cast("bigint")
+    ordered = F.when(bits < 0, bits.bitwiseXOR(F.lit((1 << 63) - 1))).otherwise(bits)
+    return F.when(value.isNull() | F.isnan(number), F.lit((1 << 63) - 1)).otherwise(ordered)
+
+
+def among_smallest(df: DataFrame, keys: Sequence[Column], count: int) -> Column:
+    """Whether a row is one of the ``count`` smallest by ``keys`` (bigint, not null), which together are unique.
+
+    A selection, not a sort: rows are counted by the first 16 bits of the first key, then those of the one bucket that
+    holds the boundary by the next 16, and so on, until a bucket is taken whole. A pass sends one row per bucket and
+    task, and the driver sees at most 65,536 counts. ``df`` is read once a pass: give a stored one.
+    """
+    if count <= 0:
+        return F.lit(False)
+    below, tied = F.lit(False), F.lit(True)
+    for key in keys:
+        bits, head = key.bitwiseXOR(F.lit(_LOWEST)), 0
+        for shift in range(64 - _DIGIT, -1, -_DIGIT):
+            same = tied & (F.shiftrightunsigned(bits, shift + _DIGIT) == head) if shift + _DIGIT < 64 else tied
+            digit = F.shiftrightunsigned(bits, shift).bitwiseAND(F.lit((1 << _DIGIT) - 1)).alias("digit")
+            sizes = df.where(same).groupBy(digit).agg(F.count("*").alias("n")).collect()
+            if shift + _DIGIT == 64 and sum(r["n"] for r in sizes) <= count:
+                return below | tied
+            for size in sorted(sizes):
+                if count <= size["n"]:
+                    break
+                count -= size["n"]
+            head = head << _DIGIT | size["digit"]
+            limit = F.lit(head + _LOWEST) if shift == 0 else F.lit(head)
+            up_to = key <= limit if shift == 0 else F.shiftrightunsigned(bits, shift) <= limit
+            if count == size["n"]:
+                return below | (tied & up_to)
+        below, tied = below | (tied & (key < limit)), tied & (key == limit)
+    raise ValueError("rows with equal keys cannot be told apart")
+
+
 def smaller_before(values: np.ndarray) -> np.ndarray:
     """For every place the number of smaller values at earlier places, by doubling blocks."""
     n, place = len(values), np.arange(len(values))

@@ -9,11 +9,12 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridframe.functions.arrays import int_div
 from gridframe.functions.draws import normal_draw, uniform_draw
-from gridframe.operators.index import with_group_position, with_row_id
-from gridframe.operators.ranks import running_rank
+from gridframe.operators.index import with_group_position
+from gridframe.operators.ranks import among_smallest, order_bits, running_rank
 from gridframe.session import cut
 
 
@@ -196,9 +197,12 @@ def early_stop(
     """Iteration at which each trial is stopped by successive halving: (trial, stopped_at).
 
     At every milestone the best 1 / factor (rounded up) of the trials still running go on, judged by their first report
-    at or after it; null and NaN metrics rank last. A trial that reports less stops by itself at its last iteration. There are log(max_t) rounds; each starts from the written ranking of the
-    round before.
+    at or after it; null and NaN metrics rank last, and equal ones by trial number. A trial that reports less stops by
+    itself at its last iteration. There are log(max_t) rounds; each selects from the written reports of the trials that
+    the round before left.
     """
+    if not isinstance(history.schema[trial].dataType, T.IntegralType):
+        raise TypeError(f"{trial} is no whole number")
     last = history.where(F.col(iteration) <= max_t).groupBy(trial).agg(F.max(iteration).alias("_last"))
     alive = last.select(trial)
     stopped = None
@@ -206,10 +210,10 @@ def early_stop(
         due = history.where(F.col(iteration).between(rung, max_t)).groupBy(trial)
         here = due.agg(F.min_by(F.struct(F.col(metric), F.col(iteration)), iteration).alias("_r"))
         here = here.select(trial, F.col(f"_r.{metric}").alias(metric), F.col(f"_r.{iteration}").cast("bigint").alias("_at_iteration"))
-        ranked = with_row_id(here.join(alive, trial, "left_semi"), [_best_first(metric, mode), F.col(trial)], "_rank")
-        # As many as are ranked here: the offsets are dense, so the count is the last rank plus one.
-        size = ranked.agg((F.max("_rank") + 1).alias("n")).select(F.ceil(F.coalesce("n", F.lit(0)) / factor)).scalar()
-        judged = ranked.withColumn("_keep", F.col("_rank") < size)
+        here = cut(here.join(alive, trial, "left_semi"))
+        value = F.col(metric).cast("double")
+        best = [order_bits(value if mode == "min" else -value), F.col(trial).cast("bigint")]
+        judged = here.withColumn("_keep", among_smallest(here, best, -(-here.count() // factor)))
         out = judged.where(~F.col("_keep")).select(trial, F.col("_at_iteration").alias("stopped_at"))
         stopped = out if stopped is None else stopped.unionByName(out)
         alive = judged.where("_keep").select(trial)

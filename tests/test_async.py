@@ -110,3 +110,29 @@ def test_live_search_equals_table_form(spark):
             rows.append((trial, at, i + 1, scores[trial][i]))
             at += 1
     assert live == plain_stops(rows, 9, 1, 3, 1)
+
+
+def test_selection_equals_sorting(spark):
+    rng = random.Random(8)
+    values = [None, float("nan"), 0.0, -0.0, float("inf"), -float("inf"), 1e-310, -2.5, -2.5, 2.5] + [rng.choice([rng.gauss(0, 9), 1.5]) for _ in range(90)]
+    rng.shuffle(values)
+    df = spark.createDataFrame([(i * 1_000_003 - 7, v) for i, v in enumerate(values)], "k long, v double").repartition(4).persist()
+    rank = lambda r: (float("inf") if r["v"] is None or r["v"] != r["v"] else r["v"] + 0.0, r["v"] is None or r["v"] != r["v"], r["k"])
+    rows = sorted(df.collect(), key=rank)
+    keys = [ranks.order_bits(df["v"]), df["k"]]
+    for count in (0, 1, 2, 3, 5, 11, 37, 60, 98, 99, 100, 200):
+        got = {r["k"] for r in df.where(ranks.among_smallest(df, keys, count)).collect()}
+        assert got == {r["k"] for r in rows[:count]}
+
+
+def test_early_stop_sorts_nothing(spark, monkeypatch):
+    """No range exchange: the best are selected."""
+    df = spark.createDataFrame([(t, i, float(t * 7 % 13)) for t in range(40) for i in range(1, 5)], "trial_id long, iteration int, score double")
+    plans, cut = [], trials.cut
+    monkeypatch.setattr(trials, "cut", lambda f: plans.append(f._jdf.queryExecution().executedPlan().toString()) or cut(f))
+    stopped = trials.early_stop(df, 4, 1, 2)
+    plans.append(stopped._jdf.queryExecution().executedPlan().toString())
+    assert len(plans) == 3 and not any("rangepartitioning" in p.lower() for p in plans)
+    assert sorted(r["stopped_at"] for r in stopped.collect()) == [1] * 20 + [2] * 10 + [4] * 10
+    with pytest.raises(TypeError):
+        trials.early_stop(df.withColumn("trial_id", df["trial_id"].cast("string")), 4, 1, 2)
