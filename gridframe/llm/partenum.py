@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridframe.llm.components import components
@@ -29,9 +29,10 @@ SLACK = 1.2
 SMALL = 16
 
 _BITS = np.uint64((1 << 48) - 1)
-_PACKED = "bucket int, entries binary, docs binary, doc_id long, n int, d1 long, d2 long, sketch array<long>"
-_FOUND = "kind int, a long, b long, n int, d1 long, d2 long, sketch array<long>"
+_PACKED = "bucket int, entries binary, docs binary, doc_id long, n int, least int, d1 long, d2 long, sketch array<long>"
+_FOUND = "kind int, a long, b long, n int, least int, d1 long, d2 long, sketch array<long>"
 INFO, PAIR, GROUP = 0, 1, 2
+_ANY = 1 << 30
 
 
 def shingle_sets(column: pa.Array, size: int = 5) -> tuple[np.ndarray, np.ndarray]:
@@ -80,8 +81,13 @@ def _sum(values: np.ndarray, of: np.ndarray, rows: int) -> np.ndarray:
     return out
 
 
-def _signatures(doc: np.ndarray, value: np.ndarray, n: np.ndarray, upper: bool) -> tuple[np.ndarray, np.ndarray]:
-    """(document, signature) of each set in its own band, or in the next one where it can have larger partners."""
+def _signatures(doc: np.ndarray, value: np.ndarray, n: np.ndarray, upper: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, signature) of each set in its own band, or in the next one where it can have larger partners; and how
+    many signatures a set shares at least with any that it links to in the band.
+
+    Of the blocks, at most ``K / 2`` have two differences; each other one has a part equal in both sets, which is a
+    signature unless it is empty in both.
+    """
     low, high = _bands(int(n.max()))
     band = np.searchsorted(high, n)
     takes_part = n > 0
@@ -106,7 +112,8 @@ def _signatures(doc: np.ndarray, value: np.ndarray, n: np.ndarray, upper: bool)
     with_empty = np.bincount(owner[::2][empty[::2] | empty[1::2]], minlength=len(n))
     keep = ~empty | (with_empty >= good)[owner]
     signature = mix(content + mix((band[owner].astype("uint64") << np.uint64(32)) | part.astype("uint64")))
-    return owner[keep], signature[keep]
+    least = np.where(takes_part, np.maximum(good - with_empty, 1), _ANY)
+    return owner[keep], signature[keep], least
 
 
 def _sketches(doc: np.ndarray, value: np.ndarray, n: np.ndarray) -> pa.Array:
@@ -136,21 +143,23 @@ def _pack(buckets: int):
                 d2 = _sum(mix(value + np.uint64(1 << 51)), doc, len(ids))
                 lists = _sketches(doc, value, n)
                 spread = (mix(ids.view("uint64")) % np.uint64(buckets)).astype("int32")
-                nothing = pa.nulls(len(ids), pa.binary())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(spread), nothing, nothing, pa.array(ids), pa.array(n.astype("int32")),
-                     pa.array(d1.view("int64")), pa.array(d2.view("int64")), lists],
-                    names=[f.split()[0] for f in _PACKED.split(", ")],
-                )
-                if not len(value):
-                    continue
                 # Equal sets of a slice send their signatures once.
                 order = np.lexsort((d2, d1, n))
                 first = np.zeros(len(ids), dtype=bool)
                 first[order] = np.append(True, (d1[order][1:] != d1[order][:-1]) | (d2[order][1:] != d2[order][:-1]) | (n[order][1:] != n[order][:-1]))
                 chosen = first[doc]
                 sizes = np.where(first, n, 0)
-                owner, signature = map(np.concatenate, zip(*(_signatures(doc[chosen], value[chosen], sizes, u) for u in (False, True))))
+                known = [_signatures(doc[chosen], value[chosen], sizes, upper) for upper in (False, True)] if len(value) else []
+                least = np.minimum(known[0][2], known[1][2]) if known else np.full(len(ids), _ANY)
+                nothing = pa.nulls(len(ids), pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(spread), nothing, nothing, pa.array(ids), pa.array(n.astype("int32")), pa.array(least.astype("int32")),
+                     pa.array(d1.view("int64")), pa.array(d2.view("int64")), lists],
+                    names=[f.split()[0] for f in _PACKED.split(", ")],
+                )
+                if not known:
+                    continue
+                owner, signature = (np.concatenate([k[i] for k in known]) for i in (0, 1))
                 bucket = (signature >> np.uint64(32)) % np.uint64(buckets)
                 key = np.unique((bucket << np.uint64(48)) | ((signature & np.uint64(0xFFFFFFFF)) << np.uint64(16)) | owner.astype("uint64"))
                 of = (key >> np.uint64(48)).astype("int64")
@@ -164,18 +173,18 @@ def _pack(buckets: int):
                 k = len(cuts)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(of[cuts].astype("int32")), pa.array(entries, pa.binary()), pa.array(tables, pa.binary()),
-                     pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()),
-                     pa.nulls(k, pa.list_(pa.int64()))],
+                     pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.int64()),
+                     pa.nulls(k, pa.int64()), pa.nulls(k, pa.list_(pa.int64()))],
                     names=[f.split()[0] for f in _PACKED.split(", ")],
                 )
 
     return run
 
 
-def _found(kind: int, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+def _found(kind: int, a: np.ndarray, b: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
     k = len(a)
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(k, kind, dtype="int32")), pa.array(a), pa.array(b), pa.nulls(k, pa.int32()),
+        [pa.array(np.full(k, kind, dtype="int32")), pa.array(a), pa.array(b), pa.array(n.astype("int32")), pa.nulls(k, pa.int32()),
          pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.list_(pa.int64()))],
         names=[f.split()[0] for f in _FOUND.split(", ")],
     )
@@ -189,7 +198,7 @@ def _match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if info.num_rows:
             kind = pa.array(np.full(info.num_rows, INFO, dtype="int32"))
             yield pa.RecordBatch.from_arrays(
-                [kind, info.column("doc_id"), pa.nulls(info.num_rows, pa.int64()), *[info.column(c) for c in ("n", "d1", "d2", "sketch")]],
+                [kind, info.column("doc_id"), pa.nulls(info.num_rows, pa.int64()), *[info.column(c) for c in ("n", "least", "d1", "d2", "sketch")]],
                 names=[f.split()[0] for f in _FOUND.split(", ")],
             )
         packed = batch.filter(batch.column("entries").is_valid())
@@ -209,6 +218,7 @@ def _match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _bucket(bucket: int, held: list) -> Iterator[pa.RecordBatch]:
+    """Pairs with the number of signatures they share here, and the members of larger groups with the group's size."""
     value, doc = map(np.concatenate, zip(*held))
     order = np.argsort(value, kind="stable")
     value, doc = value[order], doc[order]
@@ -234,14 +244,15 @@ def _bucket(bucket: int, held: list) -> Iterator[pa.RecordBatch]:
     star = np.flatnonzero(~small & (head != np.arange(len(value))))
     left, right = np.concatenate([*left, head[star]]), np.concatenate([*right, star])
     names, number = np.unique(doc, return_inverse=True)
-    pair = np.unique((number[left].astype("uint64") << np.uint64(32)) | number[right].astype("uint64"))
+    pair, times = np.unique((number[left].astype("uint64") << np.uint64(32)) | number[right].astype("uint64"), return_counts=True)
     for start in range(0, len(pair), 100_000):
         part = pair[start : start + 100_000]
-        yield _found(PAIR, names[(part >> np.uint64(32)).astype("int64")], names[(part & np.uint64(0xFFFFFFFF)).astype("int64")])
-    large = np.flatnonzero(~small)
+        ends = names[(part >> np.uint64(32)).astype("int64")], names[(part & np.uint64(0xFFFFFFFF)).astype("int64")]
+        yield _found(PAIR, *ends, times[start : start + 100_000])
+    large, members = np.flatnonzero(~small), np.repeat(size, size)
     for start in range(0, len(large), 100_000):
         part = large[start : start + 100_000]
-        yield _found(GROUP, (np.int64(bucket) << np.int64(32)) | value[part].astype("int64"), doc[part])
+        yield _found(GROUP, (np.int64(bucket) << np.int64(32)) | value[part].astype("int64"), doc[part], members[part])
 
 
 def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -321,6 +332,26 @@ def _folded(sketch: Column, other: Column) -> Column:
     ).otherwise(sketch)
 
 
+def _sharing(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs that can share as many signatures as linked sets do: those counted, in ``shared``, and at most all larger
+    groups of one of them. One is spared, as two signatures of a set may have one number."""
+    for side in ("a", "b"):
+        pairs = pairs.join(sets.select(F.col("doc").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("n", "least", "groups")]), side)
+    sizes = NUM * F.greatest("n_a", "n_b") <= DEN * F.least("n_a", "n_b")
+    enough = F.col("shared") + F.least("groups_a", "groups_b") >= F.greatest("least_a", "least_b") - 1
+    return pairs.where(sizes & enough).select("a", "b")
+
+
+def _rarest(groups: DataFrame, sets: DataFrame) -> DataFrame:
+    """Group memberships without the most frequent ones of each set, as many as linked sets share for certain but one.
+
+    The rarest signature that two linked sets share has all others that they share behind it, so it stays in both.
+    """
+    rank = F.row_number().over(Window.partitionBy("doc").orderBy(F.desc("size"), F.desc("sig")))
+    ranked = groups.join(sets.select("doc", "least"), "doc").withColumn("rank", rank)
+    return ranked.where(F.col("rank") >= F.col("least") - 1).select("sig", "doc")
+
+
 def _possible(pairs: DataFrame, info: DataFrame) -> DataFrame:
     """Pairs of different sets whose sizes and parity sketches leave a link possible."""
     side = lambda s: info.select(F.col("doc").alias(s), F.col("n").alias(f"n{s}"), F.col("sketch").alias(f"s{s}"))
@@ -349,8 +380,9 @@ def similar_components(docs: DataFrame, buckets: int | None = None) -> DataFrame
     The signature matches are kept on the executors' disks while they are read; a lost part is made again.
     Signature groups of up to SMALL sets give all pairs; larger ones give pairs with their first set, and, once linked
     sets share a component, every pair across the components that are left. So no link is lost, and a group of near
-    copies is compared once per set and signature at most. Sizes and parity sketches rule out pairs before sets are
-    fetched; sets are fetched for the documents of the other pairs only.
+    copies is compared once per set and signature at most. Linked sets share a known number of signatures at least:
+    pairs that cannot reach it, and the most frequent signatures that it makes needless, go before anything else is
+    joined to them. Sizes and parity sketches then rule out pairs; sets are fetched for the documents of the others only.
     """
     spark = docs.sparkSession
     buckets = buckets or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -360,20 +392,26 @@ def similar_components(docs: DataFrame, buckets: int | None = None) -> DataFrame
     dealt = packed.repartitionById(buckets, F.col("bucket")).sortWithinPartitions("bucket")
     found = dealt.mapInArrow(_match, _FOUND).persist(StorageLevel.DISK_ONLY)
 
-    info = found.where(f"kind = {INFO}").select(F.col("a").alias("doc_id"), "n", "d1", "d2", "sketch")
+    info = found.where(f"kind = {INFO}").select(F.col("a").alias("doc_id"), "n", "least", "d1", "d2", "sketch")
     digest = F.struct("n", "d1", "d2")
-    heads = info.where("n > 0").groupBy(digest.alias("digest")).agg(F.min("doc_id").alias("doc"), F.first("sketch").alias("sketch"))
-    heads = cut(heads.select("doc", "digest.*", "sketch"))
+    one = [F.min("doc_id").alias("doc"), F.min("least").alias("least"), F.first("sketch").alias("sketch")]
+    heads = info.where("n > 0").groupBy(digest.alias("digest")).agg(*one)
+    heads = cut(heads.select("doc", "digest.*", "least", "sketch"))
     member = cut(info.join(heads.select("doc", "n", "d1", "d2"), ["n", "d1", "d2"], "left").select("doc_id", "n", "doc"))
     to_head = member.where("doc IS NOT NULL").select("doc_id", "doc")
 
     def by_head(df: DataFrame, column: str) -> DataFrame:
         return df.join(to_head.select(F.col("doc_id").alias(column), "doc"), column).drop(column).withColumnRenamed("doc", column)
 
-    pairs = found.where(f"kind = {PAIR}").select("a", "b").distinct()
-    pairs = by_head(by_head(pairs, "a"), "b").where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    groups = by_head(found.where(f"kind = {GROUP}").select(F.col("a").alias("sig"), F.col("n").alias("size"), "b"), "b")
+    groups = cut(groups.distinct().withColumnRenamed("b", "doc"))
+    sets = heads.select("doc", "n", "least").join(groups.groupBy("doc").agg(F.count("*").alias("groups")), "doc", "left")
+    sets = cut(sets.withColumn("groups", F.coalesce("groups", F.lit(0))))
+    pairs = found.where(f"kind = {PAIR}").groupBy("a", "b").agg(F.sum("n").alias("n"))
+    pairs = by_head(by_head(pairs, "a"), "b").where("a <> b")
+    pairs = pairs.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.sum("n").alias("shared"))
     texts = known.where("text IS NOT NULL")
-    possible = cut(_possible(pairs.distinct(), heads))
+    possible = cut(_possible(_sharing(pairs, sets), heads))
     # One partner for each set first; the other pairs only where that has left them apart.
     tried = cut(possible.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
     edges = cut(_linked(tried, texts))
@@ -383,8 +421,7 @@ def similar_components(docs: DataFrame, buckets: int | None = None) -> DataFrame
         edges = cut(edges.union(_linked(others, texts)))
         parts = components(edges)
 
-    groups = by_head(found.where(f"kind = {GROUP}").select(F.col("a").alias("sig"), "b"), "b").distinct()
-    groups = groups.withColumnRenamed("b", "doc").join(parts.withColumnRenamed("node", "doc"), "doc", "left")
+    groups = _rarest(groups, sets).join(parts.withColumnRenamed("node", "doc"), "doc", "left")
     groups = cut(groups.withColumn("component", F.coalesce("component", "doc")))
     mixed = groups.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
     rest = groups.join(mixed.select("sig"), "sig", "left_semi").join(heads.select("doc", "n", "sketch"), "doc")

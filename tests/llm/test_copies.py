@@ -206,3 +206,26 @@ def test_items_of_one_id_fall_into_several_blocks(spark, monkeypatch):
     assert sum(sizes) == 40 and max(sizes) < 40
     with pytest.raises(ValueError):
         build(np.arange(65_536), pa.array(["x"] * 65_536), 0.1, 32)
+
+
+def test_linked_sets_share_the_least_number_of_signatures():
+    """The bound by which pairs and frequent signatures are left out, on pairs just similar enough."""
+    rng = np.random.default_rng(6)
+    tight = 0
+    for _ in range(300):
+        n = int(rng.integers(1, 400))
+        base = rng.integers(0, 1 << 48, 2 * n + 2, dtype="uint64")
+        # The greatest number of differences that still links, dealt to both sides at random.
+        apart = next(d for d in range(n, -1, -1) if partenum.DEN * (n - d // 2) >= partenum.NUM * (n + d - d // 2))
+        gone = int(rng.integers(0, apart // 2 + 1))
+        sets = [np.sort(base[:n]), np.sort(np.append(base[gone:n], base[n : n + apart - gone]))]
+        a, b = map(set, sets)
+        if partenum.DEN * len(a & b) < partenum.NUM * len(a | b):
+            continue
+        doc = np.repeat([0, 1], [len(s) for s in sets])
+        known = [partenum._signatures(doc, np.concatenate(sets), np.array([len(s) for s in sets]), u) for u in (False, True)]
+        mine = [{(int(s)) for k in known for s in k[1][k[0] == i]} for i in (0, 1)]
+        least = [min(int(k[2][i]) for k in known) for i in (0, 1)]
+        assert len(mine[0] & mine[1]) >= max(least)
+        tight += max(least) > 1
+    assert tight > 100
