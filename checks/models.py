@@ -9,7 +9,7 @@ from checks.search import _TOY, _toy_trials
 from checks.tables import LVL, columns, embeddings, registry, rnd, sql_rnd, table
 from gridframe.functions.arrays import node_targets
 from gridframe.operators import moments, reshape, split, trials
-from gridframe.plans import learn, search
+from gridframe.plans import learn, search, stored
 from gridframe.session import scratch_path
 
 QUERIES, SQL, query = registry()
@@ -153,6 +153,15 @@ def _(spark, sf):
     return scored.select("l_orderkey", F.col("l_linenumber").cast("bigint").alias("l_linenumber"), rnd(F.col("y_hat")[0]).alias("y_hat"))
 
 
+@query("m2_predict_stored", SQL["m2_predict"])
+def _(spark, sf):
+    """The network is written and read again; scoring is given nothing but its path."""
+    path = scratch_path(spark, "network")
+    stored.save_network(spark, learn.Network(_NET), path)
+    scored = stored.predict_stored(_measures(spark, sf), path, "x")
+    return scored.select("l_orderkey", F.col("l_linenumber").cast("bigint").alias("l_linenumber"), rnd(F.col("y_hat")[0]).alias("y_hat"))
+
+
 @query("m3_evaluate", f"WITH {_SCORED} SELECT 'test' AS stage, count(*) AS n, {sql_rnd('avg((y_hat - y) * (y_hat - y))')} AS mse FROM o")
 def _(spark, sf):
     out = learn.evaluate(_measures(spark, sf), learn.Network(_NET), "x", "y", "test")
@@ -309,14 +318,14 @@ def _(spark, sf):
     half = (df.count() + 7) // 8 * 4
     grid = trials.sample_space(spark.range(1).withColumnRenamed("id", "trial_id"), {"lr": trials.grid_search([0.01, 0.05, 0.2])}, seed=1)
     drawn = grid.select(F.col("grid_id").cast("bigint").alias("trial_id"), "lr")
-    stored = learn.store_batches(df, "o_orderkey", half, 42, 4)
+    kept = learn.store_batches(df, "o_orderkey", half, 42, 4)
 
     def fit(params):
-        net = _fit_line(df, lr=params["lr"], stored=stored)
+        net = _fit_line(df, lr=params["lr"], stored=kept)
         return [(step + 1, "train_loss", loss) for _, step, loss, _ in net.history]
 
     history = search.train_trials(drawn, fit, at_once=2)
-    stored.remove(spark)
+    kept.remove(spark)
     return history.withColumn("value", rnd(F.col("value"), 5))
 
 
@@ -342,16 +351,16 @@ def _(spark, sf):
     stats = moments.position_moments(df, ["x"])
     held = {"val": df.where("o_orderkey % 10 = 0")}
     drawn = spark.createDataFrame(list(enumerate(_RATES)), "trial_id bigint, lr double")
-    stored = learn.store_batches(df, "o_orderkey", whole, 42, 4)
+    kept = learn.store_batches(df, "o_orderkey", whole, 42, 4)
     start = [np.zeros((1, 1)), np.zeros(1)]
 
     def advance(params, state, done, until):
         net = learn.fit_mlp(
             df, "x", "y", "o_orderkey", stats, hidden=(), epochs=until - done, batch=whole, lr=params["lr"], world=4, weights=start,
-            stored=stored, validation=held, resume=state,
+            stored=kept, validation=held, resume=state,
         )
         return net, [(e + 1, name, v) for e, name, v in net.reports if e >= done and name == "val_loss"]
 
     history = search.train_until_stopped(drawn, advance, scratch_path(spark, "reports"), 2, 1, 3, "val_loss")
-    stored.remove(spark)
+    kept.remove(spark)
     return history.withColumn("value", rnd(F.col("value"), 4))

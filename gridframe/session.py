@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from urllib.parse import unquote, urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,3 +60,38 @@ def delete_path(spark: SparkSession, path: str) -> None:
     """Delete a folder this library wrote for its own use."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def list_files(spark: SparkSession, folder: str) -> list[str]:
+    """Names of what lies in a folder; none if there is no such folder."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(f.getPath().getName() for f in system.listStatus(target)) if system.exists(target) else []
+
+
+def create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Make a small file with its whole content, unless there is one of its name: of several writers one succeeds.
+
+    A local file appears by a link, others by a rename, which must fail on a file that is there (as in HDFS)."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(target.getParent())
+    begun = f"{path}.{uuid.uuid4().hex}.tmp"
+    if system.getUri().getScheme() == "file":
+        local = lambda p: unquote(urlparse(p).path) if p.startswith("file:") else p
+        with open(local(begun), "x") as out:
+            out.write(text)
+        try:
+            os.link(local(begun), local(path))
+        except FileExistsError:
+            return False
+        finally:
+            os.unlink(local(begun))
+        return True
+    out = system.create(spark._jvm.org.apache.hadoop.fs.Path(begun), False)
+    out.write(text.encode())
+    out.close()
+    done = not system.exists(target) and system.rename(spark._jvm.org.apache.hadoop.fs.Path(begun), target)
+    if not done:
+        system.delete(spark._jvm.org.apache.hadoop.fs.Path(begun), False)
+    return done

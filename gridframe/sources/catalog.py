@@ -1,17 +1,26 @@
 """Catalogue of written tables, keyed by (step, kind), and the stored statistics.
 
-The catalogue is a small Parquet table of versions: an update writes the whole next version and leaves the former ones.
+The catalogue is a log of commits. A writer stores its entries in a folder of its own and then makes the next file of the
+log, which names the folder; the file is made only if there is none of its number, so of two writers one takes the next
+number instead, and neither loses an entry. The later commit of a key counts. Every few commits the whole state is
+committed once more, from which readers begin.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from gridframe.operators.reshape import array_rank, element_type
 from gridframe.schema import CATALOG, STATS
+from gridframe.session import create_once, list_files
+
+#: Commits between two that hold the whole state.
+COMPACT = 8
 
 
 def describe_table(df: DataFrame, step: int, kind: str, shard: str | None = "shard") -> DataFrame:
@@ -40,31 +49,44 @@ def _one_length(low: Column, high: Column, what: str) -> Column:
     return F.when(F.min(low) < F.max(high), wrong.cast("int")).otherwise(F.max(high))
 
 
-def _newest(spark: SparkSession, path: str, complete: bool = True) -> int | None:
-    """The newest version that was written to its end, as its success marker says, or that was begun at all."""
-    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/version=*" + "/_SUCCESS" * complete)
-    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
-    folders = [f.getPath().getParent() if complete else f.getPath() for f in found]
-    return max((int(f.getName().partition("=")[2]) for f in folders), default=None)
+def _commits(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    """Number and folder of the commits from the last whole state on."""
+    names = [n for n in list_files(spark, f"{path}/log") if n.isdigit()]
+    starts = [k for k, n in enumerate(names) if int(n) % (COMPACT + 1) == 0 and k]
+    # Whole states stand at fixed numbers, so only the log's tail is read.
+    rows = spark.read.text([f"{path}/log/{n}" for n in names[starts[-1] if starts else 0 :]]).collect() if names else []
+    return sorted((int(number), folder) for number, folder in (r["value"].split(" ") for r in rows))
+
+
+def catalog_upsert(spark: SparkSession, path: str, entries: DataFrame) -> int:
+    """Insert or replace the given (step, kind) entries and keep the others; the number of the commit. Writers may work
+    at the same time: each tries again with the next number until it has one of its own."""
+    folder = f"data-{uuid.uuid4().hex}"
+    entries.select(*CATALOG.names).repartition(1).write.parquet(f"{path}/{folder}")
+    while True:
+        number = max((int(n) for n in list_files(spark, f"{path}/log") if n.isdigit()), default=0) + 1
+        if number % (COMPACT + 1) == 0:
+            _commit_state(spark, path, number)
+        elif create_once(spark, f"{path}/log/{number:012d}", f"{number} {folder}"):
+            return number
 
 
-def catalog_upsert(spark: SparkSession, path: str, entries: DataFrame) -> None:
-    """Insert or replace the given (step, kind) entries and keep the others. Of two writers at a time one fails."""
-    latest = _newest(spark, path)
-    if latest is not None:
-        kept = read_catalog(spark, path).join(entries, ["step", "kind"], "left_anti")
-        entries = kept.select(*CATALOG.names).unionByName(entries.select(*CATALOG.names))
-    begun = _newest(spark, path, complete=False)
-    version = 0 if begun is None else begun + 1
-    entries.repartition(1).write.mode("errorifexists").parquet(f"{path}/version={version}")
+def _commit_state(spark: SparkSession, path: str, number: int) -> None:
+    """Commit the whole state under a number kept for it; of several writers one does."""
+    folder = f"data-{uuid.uuid4().hex}"
+    read_catalog(spark, path).repartition(1).write.parquet(f"{path}/{folder}")
+    create_once(spark, f"{path}/log/{number:012d}", f"{number} {folder}")
 
 
 def read_catalog(spark: SparkSession, path: str) -> DataFrame:
-    """Every entry of the newest version."""
-    newest = _newest(spark, path)
-    if newest is None:
+    """Every entry in its latest commit."""
+    commits = _commits(spark, path)
+    if not commits:
         raise FileNotFoundError(path)
-    return spark.read.schema(CATALOG).parquet(f"{path}/version={newest}")
+    parts = [spark.read.schema(CATALOG).parquet(f"{path}/{folder}").withColumn("_at", F.lit(number)) for number, folder in commits]
+    every = reduce(DataFrame.unionByName, parts)
+    newest = every.groupBy("step", "kind").agg(F.max_by(F.struct(*CATALOG.names), "_at").alias("e"))
+    return newest.select("e.*")
 
 
 def catalog_get(spark: SparkSession, path: str, step: int, kind: str) -> DataFrame:
