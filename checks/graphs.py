@@ -181,3 +181,19 @@ def _(spark, sf):
     out = attention.path_attention(profiles(spark, sf).select("column_id", "m"), [TWO_HEADS], "m")
     levels = out.select("column_id", F.posexplode("out").alias("node", "out"))
     return _two(levels.withColumn("node", big("node")))
+
+
+def _record_graphs(spark, sf):
+    """Records with their nodes and the two-attribute edges of the edge term's query."""
+    records = profiles(spark, sf).select("column_id", node_targets("a", "b", "c", "d").alias("x"))
+    edges = pathgraph.attach_edges(profiles(spark, sf), ID, LEVELS)
+    edges = edges.select("column_id", "src", "dst", F.array(F.col("layer") / 10.0, F.lit(0.5)).alias("attr"))
+    return attention.with_edges(records, edges, attr="attr")
+
+
+@query("g4_record_attention", SQL["g4_attention_edge_term"])
+def _(spark, sf):
+    """The edge term inside the record: nothing but the edges' first grouping moves."""
+    out = attention.record_attention(_record_graphs(spark, sf), [replace(ONE_HEAD, edge=[[0.3, -0.2]])], attrs="attrs", concat_last=True)
+    nodes = out.select("column_id", F.posexplode("out").alias("node", "out"))
+    return _two(nodes.withColumn("node", big("node")))

@@ -27,3 +27,13 @@ def nested(block: np.ndarray) -> pa.Array:
         offsets = np.arange(count + 1, dtype=np.int64) * block.shape[axis]
         column = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), column)
     return column
+
+
+def ragged(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """A column of lists of equally long vectors: all vectors as one block, and where each row's begin and end."""
+    if column.null_count:
+        raise ValueError("arrays of a batch are missing")
+    ends = np.append(0, np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))).astype("int64")
+    inner = column.flatten()
+    width = int(inner.value_lengths()[0].as_py()) if len(inner) else 0
+    return (matrix(inner) if len(inner) else np.zeros((0, width))), ends
