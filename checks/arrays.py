@@ -8,7 +8,7 @@ from checks.tables import (
     FAM, LEVELS, LVL, PTS, VARS, big, columns, embeddings, long_matrix, long_vector, profiles, registry, rnd, sql_rnd, table,
 )
 from gridframe.functions import arrays, physics
-from gridframe.operators import moments, normalize, reshape
+from gridframe.operators import exact, moments, normalize, reshape
 from gridframe.operators.index import with_shard
 from gridframe.schema import FAMILIES, FEATURES, LAST_TIMESTEP, variables
 from gridframe.session import scratch_path
@@ -186,6 +186,14 @@ def _(spark, sf):
     return _rounded(stats, "array", big("pos"), "n")
 
 
+@query("a4_exact_sums", " UNION ALL ".join(f"""SELECT CAST({i} AS BIGINT) AS pos, count(*) AS n,
+  CAST(sum(CAST({c} * CAST(1152921504606846976 AS DOUBLE) AS HUGEINT)) AS VARCHAR) AS units FROM lineitem""" for i, c in enumerate(["l_extendedprice", "l_discount * l_quantity"])))
+def _(spark, sf):
+    """Sums of measures to the last bit, in units of 2 ** -60: nothing is rounded on either side."""
+    lines = table(spark, sf, "lineitem").select(F.array("l_extendedprice", F.col("l_discount") * F.col("l_quantity")).alias("v"))
+    return exact.exact_moments(lines, ["v"], unit=-60).select(big("pos"), "n", "units")
+
+
 @query("a4_merged_moments", _FEATURE_STATS)
 def _(spark, sf):
     """States by timestep and patch, the later timesteps added to the earlier ones, merged from what is stored."""
