@@ -8,7 +8,7 @@ from checks.tables import (
     FAM, LEVELS, LVL, PTS, VARS, big, columns, embeddings, long_matrix, long_vector, profiles, registry, rnd, sql_rnd, table,
 )
 from gridframe.functions import arrays, physics
-from gridframe.operators import exact, moments, normalize, reshape
+from gridframe.operators import exact, moments, normalize, reshape, screening
 from gridframe.operators.index import with_shard
 from gridframe.schema import FAMILIES, FEATURES, LAST_TIMESTEP, variables
 from gridframe.session import scratch_path
@@ -284,6 +284,22 @@ def _(spark, sf):
     return pairs.withColumn("corr", rnd(F.col("corr")))
 
 
+_ALIKE = """z AS (SELECT vec_id, list_concat(e, [e[i + 1] + CAST(0.25 AS DOUBLE) * e[(i * 7 + 3) % 64 + 1] FOR i IN range(24)]) AS e FROM
+  (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings)),
+  q AS (SELECT vec_id, unnest(range(88)) AS pos, unnest(e) AS v FROM z),
+  c AS (SELECT a.pos AS "left", b.pos AS "right", corr(a.v, b.v) AS corr FROM q a JOIN q b ON a.vec_id = b.vec_id AND a.pos < b.pos GROUP BY ALL)"""
+
+
+@query("a13_sketched_pairs", f"""WITH {_ALIKE} SELECT "left", "right", {sql_rnd('corr', 5)} AS corr FROM c WHERE abs(corr) >= 0.9""")
+def _(spark, sf):
+    """The embeddings' positions and 24 more that are mostly copies of one of them."""
+    own = F.transform("embedding", lambda v: v.cast("double"))
+    blend = lambda i: F.get("e", i) + F.lit(0.25) * F.get("e", (i * 7 + 3) % 64)
+    wide = embeddings(spark, sf).select("column_id", own.alias("e"))
+    wide = wide.select("column_id", F.concat("e", F.transform(F.sequence(F.lit(0), F.lit(23)), blend)).alias("v"))
+    return screening.correlated_positions(wide, "v", "column_id", 0.9).withColumn("corr", rnd(F.col("corr"), 5))
+
+
 @query("a13_position_pairs", f"""WITH {PTS} SELECT a.pos AS "left", b.pos AS "right", {sql_rnd('corr(a.v, b.v)')} AS corr, abs(corr(a.v, b.v)) >= 0.1 AS redundant
   FROM pts a JOIN pts b ON a.column_id = b.column_id AND a.pos < b.pos GROUP BY a.pos, b.pos""")
 def _(spark, sf):
