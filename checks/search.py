@@ -82,6 +82,17 @@ def _(spark, sf):
                         *[big(c) for c in ("layers", "units", "steps", "qsteps", "width", "double_width")], "activation")
 
 
+@query("o1_flux_space", f"""SELECT c_custkey AS trial_id, {sql_rnd(f'ln({_log(1e-6, 1e-4, "learning_rate")})')} AS lr,
+  CAST([128, 256, 512][CAST(floor({_u('width')} * 3) AS BIGINT) + 1] AS BIGINT) AS width, CAST(floor(1 + {_u('depth')} * 9) AS BIGINT) AS depth,
+  {sql_rnd(f'ln({_log(1e-5, 1e-2, "l1")})')} AS l1, {sql_rnd(f'ln({_log(1e-5, 1e-2, "l2")})')} AS l2,
+  [true, false][CAST(floor({_u('dropout')} * 2) AS BIGINT) + 1] AS dropout, 'swish' AS activation FROM customer""")
+def _(spark, sf):
+    """The flux model's space; rates by their logarithm."""
+    drawn = trials.sample_space(_trials(spark, sf), trials.flux_space(), seed=SEED)
+    logs = [rnd(F.log(c)).alias(n) for n, c in (("lr", "learning_rate"), ("l1", "l1"), ("l2", "l2"))]
+    return drawn.select("trial_id", *logs, big("width"), "depth", "dropout", "activation")
+
+
 @query("o1_grid_search", """SELECT c_custkey AS trial_id, i * 2 + j AS grid_id, [64, 128, 256][i + 1] AS width, [true, false][j + 1] AS dropout
   FROM customer, range(3) r(i), range(2) s(j)""")
 def _(spark, sf):

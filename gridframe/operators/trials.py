@@ -79,6 +79,19 @@ def grid_search(values: Sequence[Any]) -> Draw:
     return Draw("grid_search", (list(values),))
 
 
+def flux_space() -> dict[str, Draw]:
+    """What the flux model's search draws. The bounds and choices are fixed values."""
+    return {
+        "learning_rate": loguniform(1e-6, 1e-4),
+        "width": choice([128, 256, 512]),
+        "depth": randint(1, 10),
+        "l1": loguniform(1e-5, 1e-2),
+        "l2": loguniform(1e-5, 1e-2),
+        "dropout": choice([True, False]),
+        "activation": choice(["swish"]),
+    }
+
+
 def _value(draw: Draw, trial: str, seed, name: str) -> Column:
     u = uniform_draw(trial, seed, name)
     kind, args = draw.kind, draw.args

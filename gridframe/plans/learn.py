@@ -43,7 +43,7 @@ BETA_1, BETA_2, ADAM_FLOOR = 0.9, 0.999, 1e-8
 
 @dataclass
 class Network:
-    """Dense layers with SiLU between them. ``levels`` set: two flux heads of levels x 2 with heating rates."""
+    """Dense layers with an activation between them. ``levels`` set: two flux heads of levels x 2 with heating rates."""
 
     weights: list[np.ndarray]
     mean: np.ndarray | None = None
@@ -57,6 +57,7 @@ class Network:
     reports: list[tuple[int, str, float]] = field(default_factory=list)
     optimiser: Adam | None = None
     epochs: int = 0
+    activation: str = "silu"
 
 
 def _plain(net: Network) -> dict:
@@ -96,21 +97,36 @@ class RowDraws:
         return (_mixed(self.rows[:, None] + _mixed(units)[None]) >> np.uint64(11)) / 2.0**53
 
 
+def activated(kind: str, z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Values and slopes of an activation: ``silu`` (also called ``swish``), ``relu``, ``tanh`` or ``sigmoid``."""
+    if kind == "relu":
+        return np.maximum(z, 0.0), (z > 0).astype("f8")
+    if kind == "tanh":
+        value = np.tanh(z)
+        return value, 1.0 - value * value
+    gate = 1.0 / (1.0 + np.exp(-z))
+    if kind == "sigmoid":
+        return gate, gate * (1.0 - gate)
+    if kind in ("silu", "swish"):
+        return z * gate, gate + z * gate * (1.0 - gate)
+    raise ValueError(f"unknown activation {kind}")
+
+
 def forward(net: Network, x: np.ndarray, rng: np.random.Generator | RowDraws | None = None):
-    """Output of a batch, and per layer its input, its sigmoid and the mask of kept units."""
+    """Output of a batch, and per layer its input, the slope of its activation and the mask of kept units."""
     a = x if net.mean is None else (x - net.mean) / (net.std + EPSILON)
     trace = []
     for k in range(0, len(net.weights), 2):
         z = a @ net.weights[k] + net.weights[k + 1]
         if k + 2 == len(net.weights):
-            trace.append((a, None, None, None))
+            trace.append((a, None, None))
             return z, trace
-        gate = 1.0 / (1.0 + np.exp(-z))
+        value, bend = activated(net.activation, z)
         keep = None
         if rng is not None and net.dropout:
             keep = (rng.random(z.shape) >= net.dropout) / (1.0 - net.dropout)
-        trace.append((a, z, gate, keep))
-        a = z * gate if keep is None else z * gate * keep
+        trace.append((a, bend, keep))
+        a = value if keep is None else value * keep
     raise ValueError("a network needs at least one layer")
 
 
@@ -151,11 +167,10 @@ def gradient(net: Network, x: np.ndarray, truth: dict[str, np.ndarray], rng=None
     loss, back = loss_and_slope(net, out, truth)
     found: list[np.ndarray] = []
     for k in range(len(trace) - 1, -1, -1):
-        a, _, _, _ = trace[k]
-        found[:0] = [a.T @ back, back.sum(axis=0)]
+        found[:0] = [trace[k][0].T @ back, back.sum(axis=0)]
         if k:
-            _, z, gate, keep = trace[k - 1]
-            back = (back @ net.weights[2 * k].T) * (gate + z * gate * (1.0 - gate))
+            _, bend, keep = trace[k - 1]
+            back = (back @ net.weights[2 * k].T) * bend
             back = back if keep is None else back * keep
     return loss, found
 
@@ -434,29 +449,42 @@ def _fit(df, net, columns, row_id, epochs, batch, lr, seed, world, files_per_ran
             history += [(epoch, step + k, loss, n) for k, (loss, n) in enumerate(losses)]
             reports.append((epoch, "train_loss", sum(loss * n for loss, n in losses) / max(sum(n for _, n in losses), 1)))
             for name, held_out in (validation or {}).items():
-                reports.append((epoch, f"{name}_loss", mean_loss(held_out, net, columns)))
+                reports += [(epoch, f"{name}_{measure}", value) for measure, value in held_out_losses(held_out, net, columns).items()]
     finally:
         if stored is None:
             own.remove(spark)
     return replace(net, history=history, reports=reports, optimiser=optimiser, epochs=net.epochs + epochs)
 
 
-def mean_loss(df: DataFrame, net: Network, columns: dict[str, str]) -> float:
-    """The loss of training without penalties and dropout, over all rows: one row per task reaches the driver's sum."""
+def held_out_losses(df: DataFrame, net: Network, columns: dict[str, str]) -> dict[str, float]:
+    """The loss of training without penalties and dropout, over all rows, and the mean absolute error of flux heads' short-
+    and long-wave heating rates (``hr_sw_mae``, ``hr_lw_mae``): one row per task reaches the driver's sum."""
     shared = df.sparkSession.sparkContext.broadcast(_plain(net))
+    bands = ("sw", "lw") if net.levels is not None else ()
 
     def run(batches):
-        net, loss, rows = Network(**shared.value), 0.0, 0
+        net, totals, rows = Network(**shared.value), np.zeros(1 + len(bands)), 0
         for batch in batches:
             if batch.num_rows:
                 data = {key: matrix(batch.column(name)) for key, name in columns.items()}
-                loss += loss_and_slope(net, forward(net, data.pop("x"))[0], data)[0]
+                out = forward(net, data.pop("x"))[0]
+                totals[0] += loss_and_slope(net, out, data)[0]
+                half = out.shape[1] // 2
+                for i, band in enumerate(bands):
+                    rate, _ = heating(out[:, i * half : (i + 1) * half].reshape(len(out), net.levels, 2), data["pressure"])
+                    totals[i + 1] += np.abs(rate - data[f"hr_{band}"]).mean(axis=1).sum()
                 rows += batch.num_rows
-        yield pa.RecordBatch.from_pydict({"loss": [loss], "n_rows": pa.array([rows], pa.int64())})
+        yield pa.RecordBatch.from_pydict({"totals": pa.array([totals], pa.list_(pa.float64())), "n_rows": pa.array([rows], pa.int64())})
 
-    sums = df.select(*dict.fromkeys(columns.values())).mapInArrow(run, "loss double, n_rows bigint")
-    total = sums.agg(F.sum("loss").alias("loss"), F.sum("n_rows").alias("n")).first()
-    return total["loss"] / total["n"] if total["n"] else float("nan")
+    sums = df.select(*dict.fromkeys(columns.values())).mapInArrow(run, "totals array<double>, n_rows bigint")
+    names = ["loss", *[f"hr_{band}_mae" for band in bands]]
+    total = sums.agg(F.sum("n_rows").alias("n"), *[F.sum(F.get("totals", F.lit(i))).alias(name) for i, name in enumerate(names)]).first()
+    return {name: total[name] / total["n"] if total["n"] else float("nan") for name in names}
+
+
+def mean_loss(df: DataFrame, net: Network, columns: dict[str, str]) -> float:
+    """The loss over held-out rows."""
+    return held_out_losses(df, net, columns)["loss"]
 
 
 def _record_stats(stats: DataFrame | None, array: str):
@@ -532,16 +560,21 @@ def fit_flux_heads(
     validation: dict[str, DataFrame] | None = None,
     reshuffle: bool = False,
     steps_as_jobs: bool = False,
+    activation: str = "silu",
+    resume: Network | None = None,
 ) -> Network:
     """Dense layers with penalties and dropout, two heads of levels x 2 fluxes, and the heating rates they imply.
 
-    ``targets`` names the columns of sw, lw (levels x 2), hr_sw, hr_lw (levels - 1) and pressure (levels).
+    ``targets`` names the columns of sw, lw (levels x 2), hr_sw, hr_lw (levels - 1) and pressure (levels). Frames of
+    ``validation`` also report the heating rates' absolute errors; ``resume`` is a network to train on.
     """
+    if resume is not None:
+        return _fit(df, resume, {"x": x, **targets}, row_id, epochs, batch, lr, seed, world, files_per_rank, stored, validation, reshuffle, steps_as_jobs)
     mean, std = _record_stats(stats, x)
     if weights is None:
         n_in = df.select(F.size(x)).first()[0]
         weights = initial_weights([n_in, *[width] * depth, 4 * levels], seed, he=True)
-    net = Network(weights, mean, std, dropout, l1, l2, levels, loss_weights or {})
+    net = Network(weights, mean, std, dropout, l1, l2, levels, loss_weights or {}, activation=activation)
     return _fit(df, net, {"x": x, **targets}, row_id, epochs, batch, lr, seed, world, files_per_rank, stored, validation, reshuffle, steps_as_jobs)
 
 

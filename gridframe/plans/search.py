@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridframe.operators.trials import milestones
+from gridframe.plans import learn
 
 HISTORY = "trial_id bigint, iteration bigint, name string, value double"
 
@@ -172,3 +173,46 @@ def train_async(
                 if rung + 1 < len(stops) and goes_on(rung, rows):
                     waiting.append((number, params, state, rung + 1))
     return spark.read.schema(HISTORY).option("recursiveFileLookup", "true").parquet(path)
+
+
+def search_flux_heads(
+    trials: DataFrame,
+    df: DataFrame,
+    x: str,
+    targets: dict[str, str],
+    row_id: str,
+    validation: DataFrame,
+    path: str,
+    levels: int,
+    stats: DataFrame | None = None,
+    max_t: int = 50,
+    grace: int = 10,
+    factor: int = 4,
+    batch: int = 256,
+    seed: int = 42,
+    world: int = 1,
+    dropout: float = 0.5,
+    at_once: int = 4,
+) -> DataFrame:
+    """History of the flux model's search (``train_loss``, ``val_loss``, ``val_hr_sw_mae``, ``val_hr_lw_mae`` by epoch).
+
+    ``trials`` hold ``trial_id`` and what :func:`gridframe.operators.trials.flux_space` draws; a true ``dropout`` there
+    takes the rate given here. Trials are judged by ``val_loss`` under asynchronous halving, an epoch being an iteration,
+    and all train on rows that are stored once.
+    """
+    spark = df.sparkSession
+    kept = learn.store_batches(df.select(row_id, x, *targets.values()), row_id, batch, seed, world)
+
+    def advance(params: dict[str, Any], state: Any, done: int, until: int) -> tuple:
+        rate = dropout if params["dropout"] else 0.0
+        net = learn.fit_flux_heads(
+            df, x, targets, row_id, levels, stats, int(params["width"]), int(params["depth"]), params["l1"], params["l2"], rate,
+            params["learning_rate"], until - done, batch, seed, world, stored=kept, validation={"val": validation},
+            activation=params["activation"], resume=state,
+        )
+        return net, [(epoch + 1, name, value) for epoch, name, value in net.reports if epoch >= done]
+
+    try:
+        return train_async(trials, advance, path, max_t, grace, factor, "val_loss", at_once=at_once)
+    finally:
+        kept.remove(spark)

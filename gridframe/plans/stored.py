@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from gridframe.plans.learn import BLOCK, Adam, Network, predict
 
 NETWORK = "part string, layer int, at bigint, shape array<bigint>, numbers array<double>, settings string"
-_PLAIN = ("dropout", "l1", "l2", "levels", "loss_weights", "reports", "epochs")
+_PLAIN = ("dropout", "l1", "l2", "levels", "loss_weights", "reports", "epochs", "activation")
 
 
 def _arrays(net: Network) -> dict[str, list[np.ndarray]]:
