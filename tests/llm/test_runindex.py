@@ -190,3 +190,43 @@ def test_query_equals_plain_version(spark, sf):
     got = sorted(map(tuple, queries.QUERIES["op12_run_index"](spark, sf).collect()), key=repr)
     assert got == plain(rows, 400)
     assert sum(r[2] for r in got) > 0
+
+
+def dealt_again(spark, monkeypatch, rows, size, grams):
+    """Stretches made after the first dealing, and whether the result is that of the plain version."""
+    numbers, stored = [], runindex._stored
+
+    def counted(df, name):
+        out = stored(df, name)
+        numbers.extend([out.count()] if name == "rows" else [])
+        return out
+
+    with monkeypatch.context() as patch:
+        patch.setattr(runindex, "_stored", counted)
+        docs = spark.createDataFrame(rows, DOCS).repartition(5)
+        assert digests(runindex.remove_repeats(docs, size, grams)) == plain(rows, size)
+    return sum(numbers[1:])
+
+
+def passage_in_many_surroundings(copies, n=60):
+    rng = random.Random(12)
+    noise = lambda k: "".join(rng.choice("abcdefgh") for _ in range(k))
+    passage, texts = noise(700), []
+    for _ in range(n):
+        texts.append(noise(500) + passage + noise(500))
+    texts += texts[: n // 2] * (copies - 1)
+    return list(enumerate(texts))
+
+
+def test_copies_are_not_dealt_out_again(spark, monkeypatch):
+    """Stretches of a crowded anchor go on once each, however many places they have."""
+    monkeypatch.setattr(runindex, "MOST_BYTES", 12_000)
+    few, many = (dealt_again(spark, monkeypatch, passage_in_many_surroundings(c), 400, (64, 320)) for c in (2, 6))
+    assert few == many > 0
+
+
+def test_crowded_windows_are_not_dealt_out_one_by_one(spark, monkeypatch):
+    """Longer and longer runs leave a few stretches for each surrounding of a passage, not one for each window."""
+    monkeypatch.setattr(runindex, "MOST_BYTES", 12_000)
+    rows = passage_in_many_surroundings(1)
+    assert 0 < dealt_again(spark, monkeypatch, rows, 400, (64, 320)) < 60 * len(rows)
