@@ -88,7 +88,7 @@ def _(spark, sf):
 @query("s8_read_shards", f"WITH {FAM} SELECT column_id, pos, v AS value FROM flat_x")
 def _(spark, sf):
     path = scratch_path(spark, "flattened")
-    shards.write_shards(reshape.flattened(columns(spark, sf)), path, 20)
+    shards.write_shards(reshape.flattened(columns(spark, sf)), path, 20, uneven=True)
     return long_vector(shards.read_shards(spark, path, ["x"], FLATTENED, ["column_id"]), ["column_id"], "x")
 
 

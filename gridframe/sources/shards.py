@@ -26,6 +26,15 @@ def _writer(df: DataFrame, mode: str) -> DataFrameWriter:
     return writer
 
 
+def _equal_parts(n_rows: int, num_shards: int, uneven: bool) -> tuple[int, int]:
+    """Rows of a shard, and the number of shards: with ``uneven`` the rows left over fill further ones, the last of
+    which may be short."""
+    size = n_rows // num_shards
+    if n_rows % num_shards and not (uneven and size):
+        raise ValueError(f"{n_rows} rows cannot be cut into {num_shards} equal shards")
+    return size, -(-n_rows // size) if size else num_shards
+
+
 def write_shards(
     df: DataFrame,
     path: str,
@@ -34,17 +43,18 @@ def write_shards(
     n_rows: int | None = None,
     mode: str = "overwrite",
     files_per_shard: int = 1,
+    uneven: bool = False,
 ) -> None:
     """Equal shards of consecutive rows, rows in order, one file each (or a few, where a shard is more than a task
     should write).
 
     ``row_id`` is dense. The row count is taken from the caller (the catalogue knows it) or counted, and must be a
-    multiple of ``num_shards``: see ``plan_shards``.
+    multiple of ``num_shards`` (see ``plan_shards``) or, with ``uneven``, at least as large: shards then have
+    ``n_rows // num_shards`` rows, and those left over follow in further shards, the last one short.
     """
     n_rows = df.count() if n_rows is None else n_rows
-    if n_rows % num_shards:
-        raise ValueError(f"{n_rows} rows cannot be cut into {num_shards} equal shards")
-    shards = rechunk_rows(df, row_id, n_rows // num_shards, num_shards, files_per_shard)
+    size, num_shards = _equal_parts(n_rows, num_shards, uneven)
+    shards = rechunk_rows(df, row_id, size, num_shards, files_per_shard)
     _writer(shards, mode).partitionBy("shard").parquet(path)
 
 
