@@ -67,7 +67,7 @@ def _(spark, sf):
     FROM col JOIN tpl ON col.level = tpl.layer, n GROUP BY ALL""")
 def _(spark, sf):
     path = scratch_path(spark, "graphs")
-    shards.write_graphs(_features(spark, sf), path, 10)
+    shards.write_graphs(_features(spark, sf), path, 10, uneven=True)
 
     def total(vector):
         return rnd(F.aggregate(vector, F.lit(0.0), lambda s, v: s + v)).alias("total")

@@ -130,20 +130,20 @@ def write_graphs(
     n_columns: int | None = None,
     row_id: str = "column_id",
     mode: str = "overwrite",
+    uneven: bool = False,
 ) -> None:
     """Node and edge tables of the records' path graphs, grouped by the shard a record came from.
 
     Records read from a shard stack carry ``shard`` and lie together already: their graphs are written where they are
-    built. Others are laid out in ``num_shards`` and stored once, as records, which are far smaller than their edges;
-    both tables are built from what was stored, which is then deleted.
+    built. Others are laid out in ``num_shards`` (``uneven`` as in ``write_shards``) and stored once, as records, which are
+    far smaller than their edges; both tables are built from what was stored, which is then deleted.
     """
     stored = None
     if "shard" not in features.columns:
         n_columns = features.count() if n_columns is None else n_columns
-        if n_columns % num_shards:
-            raise ValueError(f"{n_columns} rows cannot be cut into {num_shards} equal shards")
+        size, num_shards = _equal_parts(n_columns, num_shards, uneven)
         stored = scratch_path(features.sparkSession, "features")
-        laid_out = rechunk_rows(features, row_id, n_columns // num_shards, num_shards)
+        laid_out = rechunk_rows(features, row_id, size, num_shards)
         _writer(laid_out, "overwrite").partitionBy("shard").parquet(stored)
         features = features.sparkSession.read.parquet(stored)
     for name, build in (("nodes", graph_nodes), ("edges", graph_edges)):
