@@ -96,7 +96,7 @@ def _(spark, sf):
     path = scratch_path(spark, "graphs")
     feats = _features(spark, sf)
     n = feats.count()
-    shards.write_graphs(feats, path, 10, n)
+    shards.write_graphs(feats, path, 10, n, uneven=True)
     nodes, edges = pathgraph.graph_get(spark.read.parquet(f"{path}/nodes"), spark.read.parquet(f"{path}/edges"), 137, n // 10)
     one = nodes.select(F.lit("node").alias("part"), "column_id", F.col("node").alias("src"), F.col("node").alias("dst"))
     return one.unionByName(edges.select(F.lit("edge").alias("part"), "column_id", "src", "dst"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from __spark_entry__ import oracle_sql, queries
 from gridframe.sources import shards
 
-NAMES = ["s8_read_shards", "s10_read_shard", "k7_write_graphs"]
+NAMES = ["s8_read_shards", "s10_read_shard", "k7_write_graphs", "g5_graph_get"]
 
 
 @pytest.fixture(scope="module")
