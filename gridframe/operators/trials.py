@@ -155,17 +155,18 @@ def running_score(
     """Sum of the scores of a trial up to each iteration.
 
     Iterations are cut into blocks: each block is summed up to each row on its own, then the total of the blocks before
-    it is added. One trial with most of the rows is thus spread over many tasks.
+    it is added. One trial with most of the rows is thus spread over many tasks. That total goes ahead of its block as a
+    row of its own: there are as many totals as trials at least, and a join of them might be broadcast.
     """
     cut_up = history.withColumn("_block", int_div(iteration, block))
     totals = cut_up.groupBy(trial, "_block").agg(F.sum(score).alias("_t"))
     before = F.sum("_t").over(W.partitionBy(trial).orderBy("_block").rowsBetween(W.unboundedPreceding, -1))
     totals = totals.select(trial, "_block", F.coalesce(before, F.lit(0.0)).alias("_before"))
-    within = F.sum(score).over(W.partitionBy(trial, "_block").orderBy(iteration).rowsBetween(W.unboundedPreceding, 0))
-    totals = totals.select(F.col(trial).alias("_trial"), F.col("_block").alias("_of"), "_before")
-    same = F.col(trial).eqNullSafe(F.col("_trial")) & F.col("_block").eqNullSafe(F.col("_of"))
-    out = cut_up.withColumn("_within", within).join(totals, same)
-    return out.select(*history.columns, (F.col("_before") + F.col("_within")).alias(name))
+    report = F.col("_before").isNull()
+    up_to = W.partitionBy(trial, "_block").orderBy(report, iteration).rowsBetween(W.unboundedPreceding, 0)
+    summed = F.first("_before").over(up_to) + F.sum(score).over(up_to)
+    out = cut_up.unionByName(totals, allowMissingColumns=True).withColumn(name, summed)
+    return out.where(report).select(*history.columns, name)
 
 
 def reports(history: DataFrame, names: Sequence[str], trial: str = "trial_id", iteration: str = "iteration") -> DataFrame:
