@@ -33,3 +33,10 @@ def test_running_score_over_blocks(spark, block):
     for t, i, _, score in rows:
         if score is not None:
             assert got[t, i] == pytest.approx(sum(s for u, j, _, s in rows if u == t and s is not None and (j is None or j <= i)))
+
+
+def test_best_trial_joins_nothing(spark):
+    best = trials.best_trial(_toy(spark, 100), "score", ["p", "cumulate"])
+    assert "Join" not in _plan(best) and "Broadcast" not in _plan(best)
+    row = best.first()
+    assert (row.trial_id, row.p, row.cumulate, row.score) == (9, 6, False, pytest.approx(1 / 17))
