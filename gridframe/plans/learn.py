@@ -1,8 +1,8 @@
 """Regression training and scoring as Spark jobs.
 
 Rows are shuffled once and stored by rank in the shared folder. An epoch is one job, however many batches it has: a
-barrier stage in which every task walks the batches of its ranks in order, sums the gradient of its rows, adds the sums
-of all tasks, and moves its own copy of the weights as the others do. The driver holds nothing but the weights.
+barrier stage in which every task walks the batches of its ranks in order, sums the gradient of its rows a part at a
+time, adds the sums of all tasks, and moves its own copy of the weights as the others do. The driver holds nothing but the weights.
 ``step_gradient`` is a single step as a job of its own, for batches that no stage walks.
 """
 
@@ -34,6 +34,9 @@ from gridframe.session import delete_path, scratch_path
 # Values of one block of summed gradients: what one reducing task holds at a time.
 BLOCK = 8192
 
+# Rows of a batch that a task takes through the network at a time.
+SLICE = 4096
+
 # Values that the tasks of a step exchange at a time, all together: some tens of MB as text.
 EXCHANGE = 1 << 22
 
@@ -334,19 +337,13 @@ def _sum_over_tasks(context: BarrierTaskContext, own: np.ndarray, tasks: int) ->
 def _walk_batches(net_b, columns: dict[str, str], seed: int, first_step: int, n_batches: int, tasks: int, row_id: str) -> Callable:
     """Task side of an epoch: rows come sorted by the batch's place in the epoch; the first task gives the result."""
 
-    def shares(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table]]:
-        """The task's rows of each batch that it has any of."""
-        held: list[pa.RecordBatch] = []
+    def shares(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
+        """The task's rows of each batch that it has any of, as they come: a batch may take many parts."""
         for batch in batches:
             place = batch.column("_place").to_numpy()
             for part in np.split(np.arange(len(place)), np.flatnonzero(np.diff(place)) + 1):
-                if len(part):
-                    if held and held[0].column("_place")[0].as_py() != place[part[0]]:
-                        yield held[0].column("_place")[0].as_py(), pa.Table.from_batches(held)
-                        held = []
-                    held.append(batch.slice(part[0], len(part)))
-        if held:
-            yield held[0].column("_place")[0].as_py(), pa.Table.from_batches(held)
+                for at in range(0, len(part), SLICE):
+                    yield int(place[part[0]]), batch.slice(part[at], min(SLICE, len(part) - at))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = BarrierTaskContext.get()
@@ -357,13 +354,17 @@ def _walk_batches(net_b, columns: dict[str, str], seed: int, first_step: int, n_
         mine, losses = shares(batches), []
         ahead = next(mine, None)
         for place in range(n_batches):
-            own = np.zeros(size + 2)
-            if ahead is not None and ahead[0] == place:
-                rows = ahead[1].combine_chunks()
-                data = {key: matrix(rows[name].combine_chunks()) for key, name in columns.items()}
-                rng = RowDraws(seed, first_step + place, rows[row_id].to_numpy()) if net.dropout else None
+            own, widths = np.zeros(size + 2), None
+            while ahead is not None and ahead[0] == place:
+                rows = ahead[1]
+                data = {key: matrix(rows.column(name)) for key, name in columns.items()}
+                lengths = [block.shape[1] for block in data.values()]
+                if widths not in (None, lengths):
+                    raise ValueError("arrays of a batch differ in length")
+                widths = lengths
+                rng = RowDraws(seed, first_step + place, rows.column(row_id).to_numpy(zero_copy_only=False)) if net.dropout else None
                 loss, found = gradient(net, data.pop("x"), data, rng)
-                own = np.concatenate([*[g.ravel() for g in found], [loss, rows.num_rows]])
+                own += np.concatenate([*[g.ravel() for g in found], [loss, rows.num_rows]])
                 ahead = next(mine, None)
             total = _sum_over_tasks(context, own, tasks)
             loss, slopes = _mean_slopes(net, total[:-2], total[-2], int(total[-1]))
